@@ -1,0 +1,233 @@
+"""Report R: the risk-metrics report, one row per entity and full fiscal year."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
+from gradeledger.functions.scalars import (
+    compact_date,
+    date_of_key,
+    day_month_year,
+    end_of,
+    entity_version_key,
+    guarded_ratio,
+    money,
+    money_or_zero,
+    newest,
+    oldest,
+    start_of,
+    zero,
+    zoned_text,
+)
+from gradeledger.operators.accounts import account_groups
+from gradeledger.operators.dedup import distinct_on
+from gradeledger.operators.matching import in_scope
+from gradeledger.operators.reuse import shared
+from gradeledger.operators.statements import change_vs_previous, choose_statement_version
+from gradeledger.plans.matched import (
+    STATEMENT_TIES,
+    final_rating_r,
+    perimeter,
+    perimeter_statements,
+    union_all,
+)
+from gradeledger.sources.tables import METRICS, ReportSource
+
+SCOPE_KEYS = ("generation", "entityid", "statementid", "financialid")
+
+# Output name to statement metric, for metrics shown as zero when missing.
+SHOWN = {
+    "csh": "cashandequivalents", "ebitda": "ebitda", "eqty": "totequityreserves",
+    "nt_incm": "netprofit", "sales_revenue": "salesrevenues",
+    "netfixedassets": "netfixedassets", "totalassets": "totalassets",
+    "commonsharecapital": "commonsharecapital", "totalliabilities": "totalliabilities",
+    "grossprofit": "grossprofit", "ebit": "ebit", "workingcapital": "workingcapital",
+    "flowsoperationalactivity": "dcfcffrmoperact",
+    "flowsinvestmentactivity": "dcfcffrominvestact",
+    "flowsfinancingactivity": "dcfcffromfinact", "grossprofitmargin": "grossprofitmargin",
+    "netprofitmargin": "netprofitmargin", "ebitdamargin": "ebitdamargin",
+    "totalliabilitiestototalequity": "debttoequity", "returnonassets": "returnonassets",
+    "returnonequity": "returnontoteqres", "currentratio": "currentratio",
+    "quickratio": "quickratio",
+}
+# Output name to account group, shown as zero when missing.
+SHOWN_GROUPS = {
+    "gdwill": "goodwill", "inventory": "inventories", "nettradereceivables": "net_receivables",
+    "tradepayable": "trade_payables", "totalbankingdebt": "total_debt",
+    "shorttermbankingdebt": "short_debt", "longtermbankingdebt": "long_debt",
+    "balancedividendspayable": "dividends",
+}
+
+REPORT_R_COLUMNS = (
+    "cdi", "afm", "csh", "ebitda", "eqty", "gdwill", "nt_incm", "sales_revenue",
+    "netfixedassets", "inventory", "nettradereceivables", "totalassets", "commonsharecapital",
+    "tradepayable", "totalbankingdebt", "shorttermbankingdebt", "longtermbankingdebt",
+    "totalliabilities", "grossprofit", "ebit", "profitbeforetax", "workingcapital",
+    "flowsoperationalactivity", "flowsinvestmentactivity", "flowsfinancingactivity",
+    "chgcommonsharecapital_chgsharepremium", "balancedividendspayable", "grossprofitmargin",
+    "netprofitmargin", "ebitdamargin", "totalbankingdebttoebitda", "netbankingdebttoebitda",
+    "totalliabilitiestototalequity", "returnonassets", "returnonequity", "interestcoverage",
+    "currentratio", "quickratio", "fnc_year", "creditcommitteedate", "publish_date",
+    "approveddate", "reference_date", "entityid",
+)
+
+# Among statements of one year: newest version, then the largest id *as a number*.
+YEAR_ORDER_R = (
+    newest("sourcepopulateddate_financial"), newest("statementid"),
+    newest("versionid_financial"), newest("pkid_"),
+)
+CAPITAL = ("commonsharecapital", "sharepremium")
+
+
+def perimeter_r(source: ReportSource, cfg: ReportConfig) -> DataFrame:
+    """The statements in scope of report R's final ratings."""
+    return perimeter(final_rating_r(source, cfg), cfg)
+
+
+def _approved_in_window(df: DataFrame, cfg: ReportConfig):
+    """Old ratings are bounded by approval time only when their data is read."""
+    return df.where(
+        (F.col("generation") != OLD)
+        | (
+            (F.col("approveddate") >= start_of(cfg.go_live))
+            & (F.col("approveddate") <= end_of(cfg.ref_date))
+        )
+    )
+
+
+def _scope_of(scope: DataFrame, generation: str, *columns: str) -> DataFrame:
+    return scope.where(F.col("generation") == generation).select(*SCOPE_KEYS, *columns)
+
+
+def macros_new(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    """New balances in scope, the latest per account."""
+    found = in_scope(
+        source.load_balances(NEW, cfg.account_codes), _scope_of(scope, NEW),
+        ["financialid", "statementid"],
+    )
+    return distinct_on(
+        found,
+        ["entityid", "financialid", "statementid", "accountid"],
+        [newest("sourcepopulateddate_"), newest("versionid_"), newest("originbalance"),
+         newest("originrounding")],
+    )
+
+
+def macros_old(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    """Old balances in scope, every version."""
+    return in_scope(
+        source.load_balances(OLD, cfg.account_codes),
+        _scope_of(_approved_in_window(scope, cfg), OLD),
+        ["financialid", "statementid"],
+    )
+
+
+def macros_all(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    cols = [*SCOPE_KEYS, "accountid", "versionid_", "sourcepopulateddate_",
+            "originrounding", "originbalance"]
+    return union_all(
+        [m(source, cfg, scope).select(*cols) for m in (macros_old, macros_new)]
+    )
+
+
+def groups_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    return account_groups(macros_all(source, cfg, scope), cfg.accounts, cfg.rounding_map)
+
+
+def share_capital_base(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    """Latest version of each statement in scope, whatever its length or time."""
+    found = union_all([
+        perimeter_statements(scope, source, cfg, g, list(CAPITAL)).select(
+            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "statementyear", "statementmonths",
+            "statementdatekey_", "versionid_financial", "sourcepopulateddate_financial",
+            "approveddate", *CAPITAL,
+        )
+        for g in GENERATIONS
+    ])
+    return distinct_on(
+        found, ["generation", "pkid_"],
+        [newest("sourcepopulateddate_financial"), *STATEMENT_TIES],
+    )
+
+
+def capital_change(base: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Change of share capital and premium against the statement before."""
+    when = "statementdatekey_" if cfg.lag_order == "date" else "statementyear"
+    order = [oldest(c) for c in dict.fromkeys((when, "statementid", "pkid_"))]
+    return change_vs_previous(
+        base, ["entityid", "cdicode", "afm", "financialid"], order, CAPITAL
+    )
+
+
+def share_capital_change(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    return capital_change(share_capital_base(source, cfg, scope), cfg)
+
+
+def report_r_years(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    """One full-year statement per entity and fiscal year, with all its metrics."""
+    window = _approved_in_window(scope, cfg)
+    found = union_all([
+        perimeter_statements(window, source, cfg, g, list(METRICS))
+        .where(F.col("statementmonths") == cfg.statement_months)
+        .select(
+            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "versionid_rating", "statementyear",
+            "statementdatekey_", "creditcommitteedate", "approveddate", "versionid_financial",
+            "sourcepopulateddate_financial", "sourcepopulateddate_rating", *METRICS,
+        )
+        for g in GENERATIONS
+    ])
+    chosen = choose_statement_version(
+        found, ["generation", "pkid_"], "sourcepopulateddate_financial",
+        "sourcepopulateddate_rating", STATEMENT_TIES,
+    )
+    return distinct_on(
+        chosen, ["entityid", "versionid_rating", "cdicode", "afm", "statementyear"], YEAR_ORDER_R
+    )
+
+
+def report_r_metrics(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame | None = None
+) -> DataFrame:
+    """The 44 columns. Statements are chosen first; the account groups, made in one
+    pass, and the share-capital change then join to the chosen rows only."""
+    if scope is None:
+        scope = shared(perimeter_r(source, cfg), cfg.sharing)
+    years = report_r_years(source, cfg, scope)
+    groups = groups_in_scope(source, cfg, scope)
+    change = distinct_on(
+        share_capital_change(source, cfg, scope), SCOPE_KEYS,
+        [newest("statementdatekey_"), newest("pkid_")],
+    ).select(*SCOPE_KEYS, *[f"chg_{c}" for c in CAPITAL])
+    wide = years.join(groups, list(SCOPE_KEYS), "left").join(change, list(SCOPE_KEYS), "left")
+
+    debt, cash = money("total_debt"), money("cashandequivalents")
+    made = {
+        "cdi": F.col("cdicode"),
+        "afm": F.col("afm"),
+        **{name: money_or_zero(metric) for name, metric in SHOWN.items()},
+        **{name: money_or_zero(group) for name, group in SHOWN_GROUPS.items()},
+        "profitbeforetax": money("profitbeforetax"),
+        "chgcommonsharecapital_chgsharepremium": money(
+            money("chg_commonsharecapital") + money("chg_sharepremium")
+        ),
+        "totalbankingdebttoebitda": guarded_ratio(debt, "ebitda"),
+        "netbankingdebttoebitda": guarded_ratio(F.coalesce(debt, zero()) - cash, "ebitda"),
+        "interestcoverage": guarded_ratio("ebitda", "interest", null_as_zero=True),
+        "fnc_year": F.col("statementyear").cast("string"),
+        "creditcommitteedate": day_month_year("creditcommitteedate"),
+        "publish_date": compact_date(date_of_key("statementdatekey_")),
+        "approveddate": zoned_text("approveddate"),
+        "reference_date": F.lit(cfg.ref_date.strftime("%Y%m%d")),
+        "entityid": entity_version_key("entityid", "versionid_rating"),
+    }
+    return wide.select(*[made[name].alias(name) for name in REPORT_R_COLUMNS])
+
+
+def report_r(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame | None = None
+) -> DataFrame:
+    """Report R. Each entity comes from one generation, so the metrics rows are
+    already unique on (entity, customer, tax id, year)."""
+    return report_r_metrics(source, cfg, scope)
