@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeledger.functions.scalars import presence_flag
+from gradeledger.functions.scalars import newest, presence_flag
 from gradeledger.operators.dedup import distinct_on
 
 
@@ -48,7 +48,7 @@ def match_asof(
     right_ts: str,
     strict: bool = True,
     order: Sequence[Column] | None = None,
-    bucket: str = "MONTH",
+    bucket: str = "month",
 ) -> DataFrame:
     """Add to each row the latest version of its key before its own time.
 
@@ -66,7 +66,8 @@ def match_asof(
     probe, version = (0, 1) if strict else (1, 0)
 
     def at(ts: str) -> list[Column]:
-        return [F.col(ts).alias("_ts"), F.date_trunc(bucket, F.col(ts)).alias("_bucket")]
+        start = F.trunc(F.col(ts).cast("date"), bucket)
+        return [F.col(ts).alias("_ts"), start.alias("_bucket")]
 
     best = distinct_on(versions.where(F.col(right_ts).isNotNull()), [*keys, right_ts], tie)
     known = best.select(
@@ -102,6 +103,30 @@ def match_asof(
     return df.join(answers, [*keys, left_ts])
 
 
+def latest_before(
+    df: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    order: Sequence[Column] = (),
+    splits: int = 8,
+) -> DataFrame:
+    """As-of match for at most one row per key: the latest version strictly before it.
+
+    With one row per key the join yields no more rows than there are versions. The
+    versions of a key are split, the row copied to each split, so that the top-1
+    behind the join starts in every split and only its winners are shuffled.
+    """
+    payload = [c for c in versions.columns if c not in keys]
+    split = F.pmod(F.xxhash64(*payload), F.lit(splits)).cast("int")
+    asked = df.withColumn("_split", F.explode(F.array(*[F.lit(i) for i in range(splits)])))
+    pairs = asked.join(versions.withColumn("_split", split), [*keys, "_split"]).drop("_split")
+    return distinct_on(
+        pairs.where(F.col(right_ts) < F.col(left_ts)), keys, [newest(right_ts), *order]
+    )
+
+
 def in_scope(df: DataFrame, perimeter: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` that the perimeter asks for, with the perimeter's columns.
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeledger.config import ReportConfig
 from gradeledger.operators.reuse import shared
-from gradeledger.plans.report_p import report_p
-from gradeledger.plans.report_r import perimeter_r, report_r
+from gradeledger.plans.position import report_p
+from gradeledger.plans.risk import perimeter_r, report_r
 from gradeledger.sources.sinks import append_audit, audit_record, write_report
 from gradeledger.sources.tables import ReportSource
 

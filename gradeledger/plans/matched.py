@@ -18,7 +18,12 @@ from gradeledger.config import FINANCIALS, NEW, NON_FINANCIALS, OLD, ReportConfi
 from gradeledger.functions import context
 from gradeledger.functions.scalars import end_of, newest
 from gradeledger.operators.dedup import distinct_on
-from gradeledger.operators.matching import attach_grade, match_asof, match_pinned_version
+from gradeledger.operators.matching import (
+    attach_grade,
+    latest_before,
+    match_asof,
+    match_pinned_version,
+)
 from gradeledger.operators.ratings import (
     ENTITY_ORDER,
     FINAL_ORDER_P,
@@ -31,7 +36,7 @@ from gradeledger.operators.ratings import (
     split_by_model,
     usable_context,
 )
-from gradeledger.sources.tables import ReportSource, in_portfolio
+from gradeledger.sources.tables import ReportSource, in_portfolio, tagged_union
 
 # Order among matched versions of one rating record: latest entity data, then as ties.
 ASOF_ORDER = (ENTITY_ORDER[0], *RATING_ORDER[:2], *ENTITY_ORDER[1:])
@@ -152,9 +157,9 @@ def best_asof(ratings: DataFrame, source, cfg: ReportConfig, generation: str) ->
     if generation == OLD:
         ratings = distinct_on(ratings, ["pkid_", "entityid"], RATING_ORDER)
     last = distinct_on(approved(ratings), ["entityid"], RATING_ORDER)
-    matched = match_asof(
+    matched = latest_before(
         last, nonfin_entities(source, cfg, generation), ["entityid"],
-        "sourcepopulateddate_rating", "sourcepopulateddate_entity", order=ENTITY_ORDER[1:],
+        "sourcepopulateddate_rating", "sourcepopulateddate_entity", ENTITY_ORDER[1:],
     )
     return _kind(matched, NON_FINANCIALS)
 
@@ -174,12 +179,10 @@ def final_rating_p(source, cfg: ReportConfig) -> DataFrame:
 
 def graded(ratings: DataFrame, source) -> DataFrame:
     """Grades for ratings of both generations; the better of repeated ones."""
-    grades = union_all([
-        distinct_on(
-            source.load_entity_rating(g), ["approveid"], [F.col("finalgrade").desc_nulls_last()]
-        ).withColumn("generation", F.lit(g))
-        for g in (OLD, NEW)
-    ])
+    grades = distinct_on(
+        tagged_union(source.load_entity_rating(OLD), source.load_entity_rating(NEW)),
+        ["generation", "approveid"], [F.col("finalgrade").desc_nulls_last()],
+    )
     scale = source.load_rating_scale().select(
         F.col("ratingscalekey_").alias("finalgrade"), "ratingscalevalue"
     )

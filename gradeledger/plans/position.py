@@ -15,6 +15,7 @@ from gradeledger.functions.scalars import (
 )
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.ratings import split_by_model
+from gradeledger.operators.reuse import shared
 from gradeledger.operators.statements import choose_statement_version
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -38,15 +39,16 @@ YEAR_ORDER_P = (
 YEAR_KEYS = ("entityid", "cdicode", "afm", "statementyear")
 
 
-def chosen_statements(
-    source: ReportSource, cfg: ReportConfig, generations=GENERATIONS, strict: bool = False
-) -> DataFrame:
-    """The chosen version of each statement in scope of report P's final ratings.
+def perimeter_p(source: ReportSource, cfg: ReportConfig) -> DataFrame:
+    """The statements in scope of report P's final ratings."""
+    return perimeter(final_rating_p(source, cfg), cfg).where(F.col("match_kind") == FINANCIALS)
 
-    ``strict`` leaves out statements that have no version known at rating time.
-    """
-    scope = perimeter(final_rating_p(source, cfg), cfg).where(F.col("match_kind") == FINANCIALS)
-    found = union_all([
+
+def statements_in_scope(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame, generations=GENERATIONS
+) -> DataFrame:
+    """Every version of the statements in scope, with the report's two amounts."""
+    return union_all([
         perimeter_statements(scope, source, cfg, g, ["salesrevenues", "totalassets"]).select(
             "pkid_", "generation", "entityid", "cdicode", "afm", "ratingscalevalue", "finalgrade",
             "approveddate", "nextreviewdate", "modelid", "statementyear", "statement_text",
@@ -55,6 +57,17 @@ def chosen_statements(
         )
         for g in generations
     ])
+
+
+def chosen_statements(
+    source: ReportSource, cfg: ReportConfig, generations=GENERATIONS, strict: bool = False
+) -> DataFrame:
+    """The chosen version of each statement in scope of report P's final ratings.
+
+    ``strict`` leaves out statements that have no version known at rating time.
+    """
+    scope = shared(perimeter_p(source, cfg), cfg.sharing)
+    found = statements_in_scope(source, cfg, scope, generations)
     if strict:
         found = found.where("sourcepopulateddate_financial <= sourcepopulateddate_rating")
     return choose_statement_version(
@@ -63,7 +76,7 @@ def chosen_statements(
     )
 
 
-def _labels(df: DataFrame) -> DataFrame:
+def year_labels(df: DataFrame) -> DataFrame:
     """The report's twelve text columns."""
     return df.select(
         F.col("cdicode").alias("cdi"),
@@ -91,7 +104,7 @@ def statement_per_year(
 
 def report_p_years(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     """Report P's columns for every fiscal year in scope."""
-    return _labels(statement_per_year(source, cfg))
+    return year_labels(statement_per_year(source, cfg))
 
 
 def report_p(source: ReportSource, cfg: ReportConfig) -> DataFrame:
@@ -105,7 +118,7 @@ def report_p(source: ReportSource, cfg: ReportConfig) -> DataFrame:
         ["entityid", "cdicode", canonical_tax_id("afm")],
         [newest(F.col("statementyear").cast("string")), *YEAR_ORDER_P],
     )
-    return _labels(latest)
+    return year_labels(latest)
 
 
 def report_p_nonfin(source: ReportSource, cfg: ReportConfig) -> DataFrame:
@@ -115,4 +128,4 @@ def report_p_nonfin(source: ReportSource, cfg: ReportConfig) -> DataFrame:
         (F.col("generation") != OLD) | (F.col("approvalstatus") == cfg.approved_status)
     )
     empty = ("statementyear", "salesrevenues", "totalassets")
-    return _labels(listed.select("*", *[F.lit(None).cast("string").alias(c) for c in empty]))
+    return year_labels(listed.select("*", *[F.lit(None).cast("string").alias(c) for c in empty]))
