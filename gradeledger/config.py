@@ -41,8 +41,9 @@ class ReportConfig:
 
     ``pinned_models`` is the model set matched by pinned entity version; ``None``
     means the financials models. ``portfolio=None`` lifts the portfolio filter.
-    ``sharing`` says how report R keeps its perimeter, which several joins read:
-    ``persist``, ``checkpoint`` (reliable, for long lineages) or ``none``.
+    ``sharing`` says how results that several joins read are kept: ``persist``,
+    ``checkpoint`` (reliable, for long lineages) or ``none``. ``splits`` is the number
+    of places the rows of one join key may go to.
     """
 
     ref_date: date
@@ -58,6 +59,7 @@ class ReportConfig:
     rounding_map: Mapping[int, int] = field(default=ROUNDING_FACTORS)
     accounts: Mapping[str, tuple[int, ...]] = field(default=ACCOUNT_GROUPS)
     sharing: str = "persist"
+    splits: int = 8
 
     def __post_init__(self):
         if self.lag_order not in ("date", "year"):

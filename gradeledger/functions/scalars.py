@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 from decimal import Decimal
 
@@ -26,6 +26,14 @@ def oldest(c: str | Column) -> Column:
     return col(c).asc_nulls_last()
 
 
+def sort_keys(order: Iterable[str | Column]) -> list[Column]:
+    """Sort columns from names: ``-x`` newest first, ``x`` oldest first; columns stay."""
+    return [
+        o if isinstance(o, Column) else newest(o[1:]) if o.startswith("-") else oldest(o)
+        for o in order
+    ]
+
+
 def start_of(day: date) -> Column:
     """First instant of a day. Comparing with it, rather than casting the column
     to a date, lets the filter reach the parquet scan."""

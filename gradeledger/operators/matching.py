@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeledger.functions.scalars import newest, presence_flag
+from gradeledger.functions.scalars import presence_flag
 from gradeledger.operators.dedup import distinct_on
 
 
@@ -47,7 +47,7 @@ def match_asof(
     left_ts: str,
     right_ts: str,
     strict: bool = True,
-    order: Sequence[Column] | None = None,
+    order: Sequence[str | Column] | None = None,
     bucket: str = "month",
 ) -> DataFrame:
     """Add to each row the latest version of its key before its own time.
@@ -62,7 +62,7 @@ def match_asof(
     are reduced before they are shuffled.
     """
     payload = [c for c in versions.columns if c not in keys and c != right_ts]
-    tie = list(order) if order is not None else [F.col(c).asc_nulls_last() for c in payload]
+    tie = payload if order is None else order
     probe, version = (0, 1) if strict else (1, 0)
 
     def at(ts: str) -> list[Column]:
@@ -109,7 +109,7 @@ def latest_before(
     keys: Sequence[str],
     left_ts: str,
     right_ts: str,
-    order: Sequence[Column] = (),
+    order: Sequence[str | Column] = (),
     splits: int = 8,
 ) -> DataFrame:
     """As-of match for at most one row per key: the latest version strictly before it.
@@ -118,19 +118,32 @@ def latest_before(
     versions of a key are split, the row copied to each split, so that the top-1
     behind the join starts in every split and only its winners are shuffled.
     """
-    payload = [c for c in versions.columns if c not in keys]
-    split = F.pmod(F.xxhash64(*payload), F.lit(splits)).cast("int")
-    asked = df.withColumn("_split", F.explode(F.array(*[F.lit(i) for i in range(splits)])))
-    pairs = asked.join(versions.withColumn("_split", split), [*keys, "_split"]).drop("_split")
+    pairs = in_scope(versions, df, keys, splits)
     return distinct_on(
-        pairs.where(F.col(right_ts) < F.col(left_ts)), keys, [newest(right_ts), *order]
+        pairs.where(F.col(right_ts) < F.col(left_ts)), keys, [f"-{right_ts}", *order]
     )
 
 
-def in_scope(df: DataFrame, perimeter: DataFrame, on: Sequence[str]) -> DataFrame:
+def in_scope(
+    df: DataFrame,
+    perimeter: DataFrame,
+    on: Sequence[str],
+    splits: int = 1,
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows of ``df`` that the perimeter asks for, with the perimeter's columns.
 
     The perimeter grows with the number of entities, so no broadcast is forced:
-    adaptive execution broadcasts it only when its measured size allows.
+    adaptive execution broadcasts it only when its measured size allows. With
+    ``splits`` the rows of one key go to that many places and the perimeter is copied
+    to each, so a key that holds a large part of ``df`` does not end in one task.
+    Use it where a grouping by the same key follows the join: without the split both
+    would share one partitioning, and adaptive execution could not divide it.
     """
+    if splits > 1:
+        rest = [c for c in df.columns if c not in on]
+        place = F.pmod(F.xxhash64(*rest), F.lit(splits)).cast("int")
+        places = F.explode(F.array(*[F.lit(i) for i in range(splits)]))
+        df, perimeter = df.withColumn("_split", place), perimeter.withColumn("_split", places)
+        return df.join(perimeter, [*on, "_split"]).drop("_split")
     return df.join(perimeter, list(on))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.config import NEW, ReportConfig
 from gradeledger.functions import context
-from gradeledger.functions.scalars import end_of, newest, oldest, start_of
+from gradeledger.functions.scalars import end_of, start_of
 from gradeledger.operators.dedup import distinct_on
 
 RATING_COLUMNS = (
@@ -62,21 +62,18 @@ def approved(df: DataFrame) -> DataFrame:
     return df.where(F.col("approveddate").isNotNull() & F.col("islatestapprovedscenario"))
 
 
-def old_first() -> Column:
-    return (F.col("generation") == NEW).asc()
-
-
-# Total orders. The leading keys are the reports' own; the rest only fix ties.
-ENTITY_ORDER = (newest("sourcepopulateddate_entity"), oldest("cdicode"), oldest("afm"))
-RATING_ORDER = (newest("sourcepopulateddate_rating"), newest("versionid_"), newest("pkid_"))
+# Total orders, as for ``distinct_on``. The leading keys are the reports' own; the rest
+# only fix ties. ``-generation`` puts "old" before "new".
+ENTITY_ORDER = ("-sourcepopulateddate_entity", "cdicode", "afm")
+RATING_ORDER = ("-sourcepopulateddate_rating", "-versionid_", "-pkid_")
 LATEST_PAIR_ORDER = (ENTITY_ORDER[0], *RATING_ORDER, *ENTITY_ORDER[1:])
-FINAL_ORDER_P = (RATING_ORDER[0], old_first(), *RATING_ORDER[1:])
-FINAL_ORDER_R = (RATING_ORDER[0], ENTITY_ORDER[0], old_first(), *RATING_ORDER[1:],
+FINAL_ORDER_P = (RATING_ORDER[0], "-generation", *RATING_ORDER[1:])
+FINAL_ORDER_R = (RATING_ORDER[0], ENTITY_ORDER[0], "-generation", *RATING_ORDER[1:],
                  *ENTITY_ORDER[1:])
 
 
 def final_rating(
-    df: DataFrame, keys: Sequence[str] = ("entityid",), order: Sequence[Column] = FINAL_ORDER_P
+    df: DataFrame, keys: Sequence[str] = ("entityid",), order: Sequence[str | Column] = FINAL_ORDER_P
 ) -> DataFrame:
     """The last approved rating per key."""
     return distinct_on(approved(df), keys, order)

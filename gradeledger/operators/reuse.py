@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,25 @@ def shared(df: DataFrame, mode: str) -> DataFrame:
             context.setCheckpointDir(shared_dir(df.sparkSession))
         return df.checkpoint(eager=True)
     return df
+
+
+class Keeper:
+    """``shared`` for one run: remembers what it kept, to let go of it afterwards."""
+
+    def __init__(self, mode: str):
+        self.mode = mode
+        self.kept: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        kept = shared(df, self.mode)
+        self.kept.append(kept)
+        return kept
+
+    def release(self) -> None:
+        if self.mode == "persist":
+            for df in self.kept:
+                df.unpersist()
+        self.kept.clear()
+
+
+Keep = Callable[[DataFrame], DataFrame]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeledger.functions.scalars import col, money
+from gradeledger.functions.scalars import money, sort_keys
 from gradeledger.operators.dedup import distinct_on
 
 
@@ -21,7 +21,7 @@ def choose_statement_version(
     key: Sequence[str],
     version_ts: str,
     anchor_ts: str,
-    ties: Sequence[Column] = (),
+    ties: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Per key the latest version known at the anchor time, else the earliest later one.
 
@@ -45,7 +45,7 @@ def change_vs_previous(
     cols: Sequence[str],
 ) -> DataFrame:
     """Add ``prev_<c>`` and ``chg_<c>``: each column against the row before it."""
-    ahead = Window.partitionBy(*partition).orderBy(*[col(o) for o in order])
+    ahead = Window.partitionBy(*partition).orderBy(*sort_keys(order))
     for c in cols:
         df = df.withColumn(f"prev_{c}", F.lag(c, 1).over(ahead))
     return df.select(

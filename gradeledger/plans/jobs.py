@@ -10,9 +10,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeledger.config import ReportConfig
-from gradeledger.operators.reuse import shared
+from gradeledger.operators.reuse import Keeper
 from gradeledger.plans.position import report_p
-from gradeledger.plans.risk import perimeter_r, report_r
+from gradeledger.plans.risk import report_r
 from gradeledger.sources.sinks import append_audit, audit_record, write_report
 from gradeledger.sources.tables import ReportSource
 
@@ -20,48 +20,60 @@ log = logging.getLogger(__name__)
 
 
 def _run(
-    spark: SparkSession, function: str, target: str, out: str, ref_date: date,
-    build: Callable[[], DataFrame], clock: Callable[[], datetime],
+    spark: SparkSession,
+    function: str,
+    target: str,
+    out: str,
+    cfg: ReportConfig,
+    build: Callable[[Keeper], DataFrame],
+    clock: Callable[[], datetime],
 ) -> bool:
     """Success flag. A failure anywhere is logged and leaves the old snapshot."""
-    now = clock()
+    now, keeper = clock(), Keeper(cfg.sharing)
     try:
-        count = write_report(build(), f"{out}/{target}", ref_date)
+        count = write_report(build(keeper), f"{out}/{target}", cfg.ref_date)
         message, ok = f"{target} has been populated", True
     except Exception as failure:
         count, ok = 0, False
         message = f"Failure in function: {function}: {failure}"
         log.warning("%s", message)
+    finally:
+        keeper.release()
     append_audit(spark, f"{out}/etl_log", audit_record(function, target, count, message, now))
     return ok
 
 
+def _config(cfg: ReportConfig | None, ref_date: date) -> ReportConfig:
+    return replace(cfg, ref_date=ref_date) if cfg else ReportConfig(ref_date)
+
+
 def run_report_p(
-    spark: SparkSession, source: ReportSource, ref_date: date, out: str,
-    cfg: ReportConfig | None = None, clock: Callable[[], datetime] = datetime.now,
+    spark: SparkSession,
+    source: ReportSource,
+    ref_date: date,
+    out: str,
+    cfg: ReportConfig | None = None,
+    clock: Callable[[], datetime] = datetime.now,
 ) -> bool:
     """Write report P for a date below ``out``; ``cfg`` selects a revision."""
-    cfg = replace(cfg, ref_date=ref_date) if cfg else ReportConfig(ref_date)
+    cfg = _config(cfg, ref_date)
     return _run(
-        spark, "run_report_p", "report_p", out, ref_date, lambda: report_p(source, cfg), clock
+        spark, "run_report_p", "report_p", out, cfg,
+        lambda keep: report_p(source, cfg, keep), clock,
     )
 
 
 def run_report_r(
-    spark: SparkSession, source: ReportSource, ref_date: date, out: str,
-    cfg: ReportConfig | None = None, clock: Callable[[], datetime] = datetime.now,
+    spark: SparkSession,
+    source: ReportSource,
+    ref_date: date,
+    out: str,
+    cfg: ReportConfig | None = None,
+    clock: Callable[[], datetime] = datetime.now,
 ) -> bool:
-    """Write report R for a date below ``out``; the perimeter is kept for the run only."""
-    cfg = replace(cfg, ref_date=ref_date) if cfg else ReportConfig(ref_date)
-    kept: list[DataFrame] = []
-
-    def build() -> DataFrame:
-        kept.append(shared(perimeter_r(source, cfg), cfg.sharing))
-        return report_r(source, cfg, kept[0])
-
-    try:
-        return _run(spark, "run_report_r", "report_r", out, ref_date, build, clock)
-    finally:
-        if cfg.sharing == "persist":
-            for df in kept:
-                df.unpersist()
+    """Write report R for a date below ``out``; ``cfg`` selects a revision."""
+    cfg = _config(cfg, ref_date)
+    return _run(
+        spark, "run_report_r", "report_r", out, cfg,
+        lambda keep: report_r(source, cfg, keep), clock,
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.config import FINANCIALS, NEW, NON_FINANCIALS, OLD, ReportConfig
 from gradeledger.functions import context
-from gradeledger.functions.scalars import end_of, newest
+from gradeledger.functions.scalars import end_of
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import (
     attach_grade,
@@ -160,6 +160,7 @@ def best_asof(ratings: DataFrame, source, cfg: ReportConfig, generation: str) ->
     matched = latest_before(
         last, nonfin_entities(source, cfg, generation), ["entityid"],
         "sourcepopulateddate_rating", "sourcepopulateddate_entity", ENTITY_ORDER[1:],
+        cfg.splits,
     )
     return _kind(matched, NON_FINANCIALS)
 
@@ -259,4 +260,4 @@ def perimeter_statements(
     )
 
 
-STATEMENT_TIES = (newest("approveddate"), newest("versionid_financial"))
+STATEMENT_TIES = ("-approveddate", "-versionid_financial")

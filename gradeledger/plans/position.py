@@ -15,7 +15,7 @@ from gradeledger.functions.scalars import (
 )
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.ratings import split_by_model
-from gradeledger.operators.reuse import shared
+from gradeledger.operators.reuse import Keep, Keeper
 from gradeledger.operators.statements import choose_statement_version
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -33,8 +33,7 @@ REPORT_P_COLUMNS = (
 
 # Among statements of one year: newest version, then the largest id *as text*.
 YEAR_ORDER_P = (
-    newest("sourcepopulateddate_financial"), newest("statement_text"),
-    newest("versionid_financial"), newest("pkid_"),
+    "-sourcepopulateddate_financial", "-statement_text", "-versionid_financial", "-pkid_",
 )
 YEAR_KEYS = ("entityid", "cdicode", "afm", "statementyear")
 
@@ -60,13 +59,18 @@ def statements_in_scope(
 
 
 def chosen_statements(
-    source: ReportSource, cfg: ReportConfig, generations=GENERATIONS, strict: bool = False
+    source: ReportSource,
+    cfg: ReportConfig,
+    generations=GENERATIONS,
+    strict: bool = False,
+    keep: Keep | None = None,
 ) -> DataFrame:
     """The chosen version of each statement in scope of report P's final ratings.
 
     ``strict`` leaves out statements that have no version known at rating time.
     """
-    scope = shared(perimeter_p(source, cfg), cfg.sharing)
+    keep = keep or Keeper(cfg.sharing)
+    scope = keep(perimeter_p(source, cfg))
     found = statements_in_scope(source, cfg, scope, generations)
     if strict:
         found = found.where("sourcepopulateddate_financial <= sourcepopulateddate_rating")
@@ -107,14 +111,14 @@ def report_p_years(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     return year_labels(statement_per_year(source, cfg))
 
 
-def report_p(source: ReportSource, cfg: ReportConfig) -> DataFrame:
+def report_p(source: ReportSource, cfg: ReportConfig, keep: Keep | None = None) -> DataFrame:
     """Report P: the latest fiscal year per entity, customer and canonical tax id.
 
     Choosing the statement of each year and then the latest year are two steps of
     one order, so one window does both.
     """
     latest = distinct_on(
-        chosen_statements(source, cfg),
+        chosen_statements(source, cfg, keep=keep),
         ["entityid", "cdicode", canonical_tax_id("afm")],
         [newest(F.col("statementyear").cast("string")), *YEAR_ORDER_P],
     )

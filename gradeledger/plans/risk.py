@@ -15,8 +15,6 @@ from gradeledger.functions.scalars import (
     guarded_ratio,
     money,
     money_or_zero,
-    newest,
-    oldest,
     start_of,
     zero,
     zoned_text,
@@ -24,7 +22,7 @@ from gradeledger.functions.scalars import (
 from gradeledger.operators.accounts import account_groups
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import in_scope
-from gradeledger.operators.reuse import shared
+from gradeledger.operators.reuse import Keep, Keeper
 from gradeledger.operators.statements import change_vs_previous, choose_statement_version
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -75,10 +73,12 @@ REPORT_R_COLUMNS = (
 
 # Among statements of one year: newest version, then the largest id *as a number*.
 YEAR_ORDER_R = (
-    newest("sourcepopulateddate_financial"), newest("statementid"),
-    newest("versionid_financial"), newest("pkid_"),
+    "-sourcepopulateddate_financial", "-statementid", "-versionid_financial", "-pkid_",
 )
 CAPITAL = ("commonsharecapital", "sharepremium")
+# What a balance is worth, and where its rows go when a statement is split.
+AMOUNT = ("accountid", "originrounding", "originbalance")
+LATEST_BALANCE = ("-sourcepopulateddate_", "-versionid_", "-originbalance", "-originrounding")
 
 
 def perimeter_r(source: ReportSource, cfg: ReportConfig) -> DataFrame:
@@ -105,13 +105,12 @@ def macros_new(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
     """New balances in scope, the latest per account."""
     found = in_scope(
         source.load_balances(NEW, cfg.account_codes), _scope_of(scope, NEW),
-        ["financialid", "statementid"],
+        ["financialid", "statementid"], cfg.splits, AMOUNT,
     )
     return distinct_on(
         found,
         ["entityid", "financialid", "statementid", "accountid"],
-        [newest("sourcepopulateddate_"), newest("versionid_"), newest("originbalance"),
-         newest("originrounding")],
+        LATEST_BALANCE,
     )
 
 
@@ -120,7 +119,7 @@ def macros_old(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
     return in_scope(
         source.load_balances(OLD, cfg.account_codes),
         _scope_of(_approved_in_window(scope, cfg), OLD),
-        ["financialid", "statementid"],
+        ["financialid", "statementid"], cfg.splits, AMOUNT,
     )
 
 
@@ -136,48 +135,52 @@ def groups_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -
     return account_groups(macros_all(source, cfg, scope), cfg.accounts, cfg.rounding_map)
 
 
-def share_capital_base(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
-    """Latest version of each statement in scope, whatever its length or time."""
-    found = union_all([
-        perimeter_statements(scope, source, cfg, g, list(CAPITAL)).select(
-            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "statementyear", "statementmonths",
-            "statementdatekey_", "versionid_financial", "sourcepopulateddate_financial",
-            "approveddate", *CAPITAL,
+def statements_in_scope(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame, columns=METRICS
+) -> DataFrame:
+    """Every version of the statements in scope, with the wanted metrics."""
+    return union_all([
+        perimeter_statements(scope, source, cfg, g, list(columns)).select(
+            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "versionid_rating", "statementyear",
+            "statementmonths", "statementdatekey_", "creditcommitteedate", "approveddate",
+            "versionid_financial", "sourcepopulateddate_financial", "sourcepopulateddate_rating",
+            *columns,
         )
         for g in GENERATIONS
     ])
+
+
+def share_capital_base(found: DataFrame) -> DataFrame:
+    """Latest version of each statement in scope, whatever its length or time."""
     return distinct_on(
-        found, ["generation", "pkid_"],
-        [newest("sourcepopulateddate_financial"), *STATEMENT_TIES],
+        found.select(
+            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "statementyear", "statementmonths",
+            "statementdatekey_", "versionid_financial", "sourcepopulateddate_financial",
+            "approveddate", *CAPITAL,
+        ),
+        ["generation", "pkid_"],
+        ["-sourcepopulateddate_financial", *STATEMENT_TIES],
     )
 
 
 def capital_change(base: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Change of share capital and premium against the statement before."""
     when = "statementdatekey_" if cfg.lag_order == "date" else "statementyear"
-    order = [oldest(c) for c in dict.fromkeys((when, "statementid", "pkid_"))]
     return change_vs_previous(
-        base, ["entityid", "cdicode", "afm", "financialid"], order, CAPITAL
+        base, ["entityid", "cdicode", "afm", "financialid"], [when, "statementid", "pkid_"],
+        CAPITAL,
     )
 
 
-def share_capital_change(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
-    return capital_change(share_capital_base(source, cfg, scope), cfg)
+def share_capital_change(found: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return capital_change(share_capital_base(found), cfg)
 
 
-def report_r_years(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+def report_r_years(found: DataFrame, cfg: ReportConfig) -> DataFrame:
     """One full-year statement per entity and fiscal year, with all its metrics."""
-    window = _approved_in_window(scope, cfg)
-    found = union_all([
-        perimeter_statements(window, source, cfg, g, list(METRICS))
-        .where(F.col("statementmonths") == cfg.statement_months)
-        .select(
-            "pkid_", *SCOPE_KEYS, "cdicode", "afm", "versionid_rating", "statementyear",
-            "statementdatekey_", "creditcommitteedate", "approveddate", "versionid_financial",
-            "sourcepopulateddate_financial", "sourcepopulateddate_rating", *METRICS,
-        )
-        for g in GENERATIONS
-    ])
+    found = _approved_in_window(found, cfg).where(
+        F.col("statementmonths") == cfg.statement_months
+    )
     chosen = choose_statement_version(
         found, ["generation", "pkid_"], "sourcepopulateddate_financial",
         "sourcepopulateddate_rating", STATEMENT_TIES,
@@ -188,17 +191,22 @@ def report_r_years(source: ReportSource, cfg: ReportConfig, scope: DataFrame) ->
 
 
 def report_r_metrics(
-    source: ReportSource, cfg: ReportConfig, scope: DataFrame | None = None
+    source: ReportSource, cfg: ReportConfig, keep: Keep | None = None
 ) -> DataFrame:
     """The 44 columns. Statements are chosen first; the account groups, made in one
-    pass, and the share-capital change then join to the chosen rows only."""
-    if scope is None:
-        scope = shared(perimeter_r(source, cfg), cfg.sharing)
-    years = report_r_years(source, cfg, scope)
+    pass, and the share-capital change then join to the chosen rows only.
+
+    Two results are kept because two or more branches read them: the perimeter, and
+    the statements found in it.
+    """
+    keep = keep or Keeper(cfg.sharing)
+    scope = keep(perimeter_r(source, cfg))
+    found = keep(statements_in_scope(source, cfg, scope))
+    years = report_r_years(found, cfg)
     groups = groups_in_scope(source, cfg, scope)
     change = distinct_on(
-        share_capital_change(source, cfg, scope), SCOPE_KEYS,
-        [newest("statementdatekey_"), newest("pkid_")],
+        share_capital_change(found, cfg), SCOPE_KEYS,
+        ["-statementdatekey_", "-pkid_"],
     ).select(*SCOPE_KEYS, *[f"chg_{c}" for c in CAPITAL])
     wide = years.join(groups, list(SCOPE_KEYS), "left").join(change, list(SCOPE_KEYS), "left")
 
@@ -225,9 +233,7 @@ def report_r_metrics(
     return wide.select(*[made[name].alias(name) for name in REPORT_R_COLUMNS])
 
 
-def report_r(
-    source: ReportSource, cfg: ReportConfig, scope: DataFrame | None = None
-) -> DataFrame:
+def report_r(source: ReportSource, cfg: ReportConfig, keep: Keep | None = None) -> DataFrame:
     """Report R. Each entity comes from one generation, so the metrics rows are
     already unique on (entity, customer, tax id, year)."""
-    return report_r_metrics(source, cfg, scope)
+    return report_r_metrics(source, cfg, keep)

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
-from gradeledger.functions.scalars import newest, oldest
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import in_scope
-from gradeledger.operators.ratings import final_rating, old_first
+from gradeledger.operators.ratings import final_rating
 from gradeledger.operators.statements import change_vs_previous
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -19,14 +18,19 @@ from gradeledger.plans.matched import (
     union_all,
 )
 from gradeledger.plans.position import statement_per_year, year_labels
-from gradeledger.plans.risk import CAPITAL, SCOPE_KEYS, share_capital_base
+from gradeledger.plans.risk import (
+    AMOUNT,
+    CAPITAL,
+    LATEST_BALANCE,
+    SCOPE_KEYS,
+    share_capital_base,
+    statements_in_scope,
+)
 from gradeledger.sources.tables import ReportSource
 
-LATEST_BALANCE = (
-    newest("sourcepopulateddate_"), newest("versionid_"), newest("originbalance"),
-    newest("originrounding"),
-)
 STATEMENT_KEYS = ("entityid", "financialid", "statementid")
+# What the choice of the pinned balance version reads.
+LATEST = ("sourcepopulateddate_", "accountid", "versionid_")
 
 
 def strict_asof(source: ReportSource, cfg: ReportConfig) -> DataFrame:
@@ -38,7 +42,7 @@ def rank_per_version(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     """The final rating per rating record and version instead of per entity."""
     return final_rating(
         ratings_union(source, cfg), ["entityid", "pkid_", "versionid_"],
-        [newest("sourcepopulateddate_rating"), old_first()],
+        ["-sourcepopulateddate_rating", "-generation"],
     )
 
 
@@ -51,10 +55,13 @@ def balance_pinned(source: ReportSource, cfg: ReportConfig, scope: DataFrame) ->
         F.col("sourcepopulateddate_") < F.col("sourcepopulateddate_rating")
     )
     pinned = distinct_on(
-        in_scope(source.load_balances(NEW), rating, on).where(earlier), STATEMENT_KEYS,
-        [newest("sourcepopulateddate_"), oldest("accountid"), newest("versionid_")],
+        in_scope(source.load_balances(NEW), rating, on, cfg.splits, LATEST).where(earlier),
+        STATEMENT_KEYS,
+        ["-sourcepopulateddate_", "accountid", "-versionid_"],
     ).select(*STATEMENT_KEYS, "versionid_")
-    found = in_scope(source.load_balances(NEW, cfg.account_codes), rating, on).where(earlier)
+    found = in_scope(
+        source.load_balances(NEW, cfg.account_codes), rating, on, cfg.splits, AMOUNT
+    ).where(earlier)
     return (
         found.join(pinned, [*STATEMENT_KEYS, "versionid_"])
         .select(*STATEMENT_KEYS, "versionid_", "accountid", "sourcepopulateddate_",
@@ -79,7 +86,8 @@ def reviewed_only(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     )
     wanted = scope.join(reviewed, ["financialid", "statementid", "statement_version"])
     found = in_scope(
-        source.load_balances(NEW, cfg.account_codes), wanted, ["financialid", "statementid", "id_"]
+        source.load_balances(NEW, cfg.account_codes), wanted,
+        ["financialid", "statementid", "id_"], cfg.splits, AMOUNT,
     )
     return distinct_on(found, [*STATEMENT_KEYS, "accountid"], LATEST_BALANCE)
 
@@ -104,7 +112,7 @@ def _known_statements(source: ReportSource, cfg: ReportConfig, scope: DataFrame)
         parts.append(statements.join(rating, ["entityid", "financialid"]))
     return distinct_on(
         union_all(parts).where("sourcepopulateddate_financial <= sourcepopulateddate_rating"),
-        ["generation", "pkid_"], [newest("sourcepopulateddate_financial"), *STATEMENT_TIES],
+        ["generation", "pkid_"], ["-sourcepopulateddate_financial", *STATEMENT_TIES],
     )
 
 
@@ -114,15 +122,14 @@ def prior_year_seed(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -
     Seed rows carry ``exclude_from_rating``, the others ``include_in_rating``.
     """
     owner = ["entityid", "cdicode", "afm"]
-    base = share_capital_base(source, cfg, scope)
+    base = share_capital_base(statements_in_scope(source, cfg, scope, CAPITAL))
     first = base.groupBy(*owner).agg(F.min("statementyear").alias("first_year"))
     known = _known_statements(source, cfg, scope).alias("k")
     same_owner = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in owner]
     before = F.col("k.statementyear") == F.col("f.first_year") - 1
     seeds = distinct_on(
         known.join(first.alias("f"), [*same_owner, before]).select("k.*"), owner,
-        [newest("statementyear"), newest("sourcepopulateddate_financial"),
-         newest("versionid_financial"), newest("pkid_")],
+        ["-statementyear", "-sourcepopulateddate_financial", "-versionid_financial", "-pkid_"],
     )
     cols = ["pkid_", *SCOPE_KEYS, "cdicode", "afm", "statementyear", "statementmonths",
             "statementdatekey_", "versionid_financial", "sourcepopulateddate_financial", *CAPITAL]
@@ -132,5 +139,5 @@ def prior_year_seed(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -
     ])
     return change_vs_previous(
         both, [*owner, "financialid"],
-        [oldest("statementdatekey_"), oldest("statementid"), oldest("pkid_")], CAPITAL,
+        ["statementdatekey_", "statementid", "pkid_"], CAPITAL,
     )
