@@ -141,7 +141,7 @@ def in_scope(
     would share one partitioning, and adaptive execution could not divide it.
     """
     if splits > 1:
-        rest = [c for c in df.columns if c not in on]
+        rest = spread or [c for c in df.columns if c not in on]
         place = F.pmod(F.xxhash64(*rest), F.lit(splits)).cast("int")
         places = F.explode(F.array(*[F.lit(i) for i in range(splits)]))
         df, perimeter = df.withColumn("_split", place), perimeter.withColumn("_split", places)

@@ -3,10 +3,14 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from gradeledger.config import ReportConfig
 from gradeledger.sources.tables import METRICS, SCHEMAS, ReportSource
 
-CFG = ReportConfig(ref_date=date(2023, 9, 29), sharing="none")
+CFG = ReportConfig(ref_date=date(2023, 9, 29))
 
 
 def at(text: str) -> datetime:
@@ -21,24 +25,13 @@ class MemorySource(ReportSource):
         self.rows = tables
 
     def raw(self, name):
-        names = [part.split()[0] for part in _parts(SCHEMAS[name])]
-        rows = [tuple(r.get(c) for c in names) for r in self.rows.get(name, [])]
-        unknown = {k for r in self.rows.get(name, []) for k in r} - set(names)
+        schema = StructType.fromDDL(SCHEMAS[name])
+        rows = self.rows.get(name, [])
+        unknown = {k for r in rows for k in r} - set(schema.names)
         assert not unknown, unknown
-        return self.spark.createDataFrame(rows, SCHEMAS[name])
-
-
-def _parts(schema: str):
-    """Top-level columns of a schema text; commas inside decimal(…) do not count."""
-    depth, part = 0, ""
-    for ch in schema:
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
-            yield part.strip()
-            part = ""
-        else:
-            part += ch
-    yield part.strip()
+        full = [{c: r.get(c) for c in schema.names} for r in rows]
+        table = pa.Table.from_pylist(full, schema=to_arrow_schema(schema))
+        return self.spark.createDataFrame(table, schema)
 
 
 def rating(new: bool, entity: int, day: str, **more):
