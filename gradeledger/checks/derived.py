@@ -10,9 +10,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gradeledger.config import ReportConfig
-from gradeledger.sources.tables import METRICS, ReportSource
+from gradeledger.sources.tables import METRICS, SCHEMAS, ReportSource
 
 CONFIG = ReportConfig(ref_date=date(2000, 9, 29), go_live=date(1996, 1, 6))
 
@@ -177,6 +178,16 @@ class DerivedSource(ReportSource):
         return (df if keep is None else df.where(keep)).selectExpr(*_select(columns))
 
 
+def store(spark: SparkSession, sf_dir: str, root: str) -> ReportSource:
+    """Write the derived tables in their stored types, and a source that reads them."""
+    derived = DerivedSource(spark, sf_dir)
+    for name, ddl in SCHEMAS.items():
+        types = StructType.fromDDL(ddl)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in types]
+        derived.table(name).select(*typed).repartition(8).write.parquet(f"{root}/{name}")
+    return ReportSource(spark, root)
+
+
 DUCK_ROWS = {
     "customer_versions": "customer CROSS JOIN (VALUES (1), (2), (3)) v(ver)",
     "customer_statements":

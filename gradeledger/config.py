@@ -43,7 +43,8 @@ class ReportConfig:
     means the financials models. ``portfolio=None`` lifts the portfolio filter.
     ``sharing`` says how results that several joins read are kept: ``persist``,
     ``checkpoint`` (reliable, for long lineages) or ``none``. ``splits`` is the number
-    of places the rows of one join key may go to.
+    of places the rows of one join key may go to; two are enough to let adaptive
+    execution divide a hot key further.
     """
 
     ref_date: date
@@ -59,7 +60,7 @@ class ReportConfig:
     rounding_map: Mapping[int, int] = field(default=ROUNDING_FACTORS)
     accounts: Mapping[str, tuple[int, ...]] = field(default=ACCOUNT_GROUPS)
     sharing: str = "persist"
-    splits: int = 8
+    splits: int = 2
 
     def __post_init__(self):
         if self.lag_order not in ("date", "year"):

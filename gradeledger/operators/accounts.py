@@ -18,18 +18,14 @@ def scaled_balances(
     rounding_map: Mapping[int, int] = ROUNDING_FACTORS,
     by: Sequence[str] = GROUP_KEYS,
 ) -> DataFrame:
-    """Distinct (keys, account, amount): a repeated amount counts once, a differing
-    one counts again. The distinct spreads over accounts and amounts, so one heavy
-    statement does not end in one task."""
-    return balances.select(
-        *by, "accountid", scale_amount("originbalance", "originrounding", rounding_map).alias("amount")
-    ).distinct()
+    """(keys, account, amount in units), one row per balance."""
+    amount = scale_amount("originbalance", "originrounding", rounding_map)
+    return balances.select(*by, "accountid", amount.alias("amount"))
 
 
-def account_groups(
-    balances: DataFrame,
+def sum_groups(
+    amounts: DataFrame,
     groups: Mapping[str, Sequence[int]] = ACCOUNT_GROUPS,
-    rounding_map: Mapping[int, int] = ROUNDING_FACTORS,
     by: Sequence[str] = GROUP_KEYS,
 ) -> DataFrame:
     """One row per key with a column per group; NULL where the group has no balance.
@@ -44,7 +40,22 @@ def account_groups(
         else:
             total = signed_sum("amount", "accountid", codes)
         aggregates.append(total.cast("decimal(37,2)").alias(name))
-    return scaled_balances(balances, rounding_map, by).groupBy(*by).agg(*aggregates)
+    return amounts.groupBy(*by).agg(*aggregates)
+
+
+def account_groups(
+    balances: DataFrame,
+    groups: Mapping[str, Sequence[int]] = ACCOUNT_GROUPS,
+    rounding_map: Mapping[int, int] = ROUNDING_FACTORS,
+    by: Sequence[str] = GROUP_KEYS,
+) -> DataFrame:
+    """Every group from one pass: a repeated amount of an account counts once, a
+    differing one counts again.
+
+    The distinct spreads over accounts and amounts, so one heavy statement does not
+    end in one task.
+    """
+    return sum_groups(scaled_balances(balances, rounding_map, by).distinct(), groups, by)
 
 
 def account_group_for(df: DataFrame, group: str, **keys) -> DataFrame:

@@ -110,7 +110,7 @@ def latest_before(
     left_ts: str,
     right_ts: str,
     order: Sequence[str | Column] = (),
-    splits: int = 8,
+    splits: int = 2,
 ) -> DataFrame:
     """As-of match for at most one row per key: the latest version strictly before it.
 
@@ -139,6 +139,9 @@ def in_scope(
     to each, so a key that holds a large part of ``df`` does not end in one task.
     Use it where a grouping by the same key follows the join: without the split both
     would share one partitioning, and adaptive execution could not divide it.
+
+    ``spread`` names the columns that decide the place, by default all others; name
+    those that are read anyway, so that the scan stays narrow.
     """
     if splits > 1:
         rest = spread or [c for c in df.columns if c not in on]

@@ -19,7 +19,7 @@ from gradeledger.functions.scalars import (
     zero,
     zoned_text,
 )
-from gradeledger.operators.accounts import account_groups
+from gradeledger.operators.accounts import scaled_balances, sum_groups
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import in_scope
 from gradeledger.operators.reuse import Keep, Keeper
@@ -132,7 +132,11 @@ def macros_all(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
 
 
 def groups_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
-    return account_groups(macros_all(source, cfg, scope), cfg.accounts, cfg.rounding_map)
+    """The account groups of every statement in scope. New balances are one per
+    account already; only old ones need the distinct of ``account_groups``."""
+    old = scaled_balances(macros_old(source, cfg, scope), cfg.rounding_map).distinct()
+    new = scaled_balances(macros_new(source, cfg, scope), cfg.rounding_map)
+    return sum_groups(old.unionByName(new), cfg.accounts)
 
 
 def statements_in_scope(
@@ -202,8 +206,12 @@ def report_r_metrics(
     keep = keep or Keeper(cfg.sharing)
     scope = keep(perimeter_r(source, cfg))
     found = keep(statements_in_scope(source, cfg, scope))
+    return assemble(found, groups_in_scope(source, cfg, scope), cfg)
+
+
+def assemble(found: DataFrame, groups: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Chosen statements, account groups and share-capital change to report columns."""
     years = report_r_years(found, cfg)
-    groups = groups_in_scope(source, cfg, scope)
     change = distinct_on(
         share_capital_change(found, cfg), SCOPE_KEYS,
         ["-statementdatekey_", "-pkid_"],

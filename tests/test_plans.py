@@ -2,16 +2,18 @@
 
 import re
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from gradeledger.checks.derived import TABLES, DerivedSource
+from gradeledger.checks.derived import DerivedSource, store
 from gradeledger.checks.derived import CONFIG as DERIVED
 from gradeledger.config import NEW, OLD
-from gradeledger.operators import distinct_on
+from gradeledger.operators import account_groups, distinct_on
 from gradeledger.plans import matched, report_p, report_r
-from gradeledger.plans.risk import groups_in_scope, perimeter_r
-from gradeledger.sources.tables import SCHEMAS, ReportSource
+from gradeledger.plans.risk import groups_in_scope, macros_old, perimeter_r
+from gradeledger.sources.tables import ReportSource
 
 SF = "/root/testdata/sf0.001"
 CFG = replace(DERIVED, sharing="none")
@@ -20,13 +22,7 @@ CFG = replace(DERIVED, sharing="none")
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """The derived tables written as the source tables they stand for."""
-    root, derived = str(tmp_path_factory.mktemp("source")), DerivedSource(spark, SF)
-    for name in TABLES:
-        typed = spark.createDataFrame([], SCHEMAS[name]).schema
-        derived.table(name).selectExpr(
-            *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in typed]
-        ).write.parquet(f"{root}/{name}")
-    return ReportSource(spark, root)
+    return store(spark, SF, str(tmp_path_factory.mktemp("source")))
 
 
 def plan(df) -> str:
@@ -86,6 +82,42 @@ def test_report_p_reads_two_metrics(stored):
         assert "salesrevenues" in read and "ebitda" not in read
 
 
+@pytest.mark.parametrize("splits", [1, 2])
+def test_hot_statement_is_divided(spark, stored, splits):
+    """One statement holds most balances: with the split its join is divided at run
+    time, without it the grouping behind pins the whole statement to one task."""
+    hot = stored.table("balance_old")
+    hot = hot.where("statementid = 3").withColumn("financialid", F.lit(1)).crossJoin(
+        spark.range(40).select(F.col("id").cast("int").alias("copy"))
+    ).withColumn("originbalance", F.expr("CAST(originbalance + copy AS DECIMAL(19,2))"))
+    source = ReportSource(spark, stored.root)
+    source._tables["balance_old"] = hot.drop("copy").repartition(16).unionByName(
+        stored.table("balance_old")
+    )
+    scope = spark.createDataFrame(
+        [("old", e, s, e, datetime(1999, 1, 1)) for e in range(150) for s in range(1, 6)],
+        "generation string, entityid int, statementid int, financialid int, "
+        "approveddate timestamp_ntz",
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        df = account_groups(macros_old(source, replace(CFG, splits=splits), scope))
+        df.collect()
+        assert ("skew=true" in plan(df)) == (splits > 1)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_split_join_leaves_room_for_skew_handling(spark, stored):
     """A shuffle follows the balance join, so adaptive execution may divide a hot key."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
