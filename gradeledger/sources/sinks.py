@@ -38,12 +38,15 @@ def write_report(df: DataFrame, path: str, ref_date: date) -> int:
 
 
 def read_report(spark: SparkSession, path: str, ref_date: date | None = None) -> DataFrame:
-    """The snapshot of a reference date, by default the latest one."""
+    """The snapshot of a reference date, by default the latest one that has rows.
+
+    The latest date is a subquery on the partition column, so other dates are pruned.
+    """
     if ref_date is not None:
         return spark.read.parquet(_partition(path, ref_date))
     history = spark.read.parquet(path)
-    latest = history.agg(F.max("ref_date").alias("ref_date"))
-    return history.join(F.broadcast(latest), "ref_date").drop("ref_date")
+    latest = history.agg(F.max("ref_date")).scalar()
+    return history.where(F.col("ref_date") == latest).drop("ref_date")
 
 
 def register_view(

@@ -37,7 +37,7 @@ def test_stored_tables_give_the_same_report(spark, stored):
     derived = DerivedSource(spark, SF)
     for report in (report_p, report_r):
         ours, theirs = (
-            sorted(map(str, report(s, CFG).collect())) for s in (stored, derived)
+            sorted(map(str, report(s, DERIVED).collect())) for s in (stored, derived)
         )
         assert ours == theirs and ours
 
