@@ -26,8 +26,8 @@ ACCOUNTS = (
 
 RATING = {
     "pkid_": "o_orderkey",
-    "financialcontext": """CASE WHEN o_orderkey % 29 = 0 THEN '###' WHEN o_orderkey % 31 = 0 THEN '0'
-        ELSE concat(CAST(o_custkey AS STRING), ':1;', CAST(o_orderkey % 3 + 1 AS STRING), '#',
+    "financialcontext": """CASE WHEN o_orderkey % 29 = 0 THEN '###'
+        WHEN o_orderkey % 31 = 0 THEN '0' ELSE concat(CAST(o_custkey AS STRING), ':1;', CAST(o_orderkey % 3 + 1 AS STRING), '#',
         CAST(o_orderkey % 3 + 1 AS STRING), ':1;', CAST(o_orderkey % 3 + 2 AS STRING), ':2;',
         CAST(o_orderkey % 3 + 3 AS STRING), ':1') END""",
     "entityid": "CAST(o_custkey AS STRING)",

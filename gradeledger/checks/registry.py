@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeledger.checks.derived import CONFIG, DerivedSource
-from gradeledger.checks.oracle import RATING_ORDER, first_per, ratio, scaled, with_steps, zoned
+from gradeledger.checks.oracle import first_per, ratio, scaled, with_steps, zoned
 from gradeledger.config import ACCOUNT_GROUPS, NEW, OLD, ROUNDING_FACTORS, ReportConfig
 from gradeledger.functions import context, scalars
 from gradeledger.operators import (
     account_group_for,
-    account_groups,
     attach_grade,
     diff_reports,
     distinct_on,

@@ -73,7 +73,9 @@ FINAL_ORDER_R = (RATING_ORDER[0], ENTITY_ORDER[0], "-generation", *RATING_ORDER[
 
 
 def final_rating(
-    df: DataFrame, keys: Sequence[str] = ("entityid",), order: Sequence[str | Column] = FINAL_ORDER_P
+    df: DataFrame,
+    keys: Sequence[str] = ("entityid",),
+    order: Sequence[str | Column] = FINAL_ORDER_P,
 ) -> DataFrame:
     """The last approved rating per key."""
     return distinct_on(approved(df), keys, order)

@@ -256,7 +256,10 @@ def perimeter_statements(
             .where(F.col("approvalstatus") == cfg.approved_status)
         )
     return found.withColumnsRenamed(
-        {"versionid_": "versionid_financial", "sourcepopulateddate_": "sourcepopulateddate_financial"}
+        {
+            "versionid_": "versionid_financial",
+            "sourcepopulateddate_": "sourcepopulateddate_financial",
+        }
     )
 
 

@@ -87,8 +87,8 @@ def test_hot_statement_is_divided(spark, stored, splits):
     """One statement holds most balances: with the split its join is divided at run
     time, without it the grouping behind pins the whole statement to one task."""
     hot = stored.table("balance_old")
-    hot = hot.where("statementid = 3").withColumn("financialid", F.lit(1)).crossJoin(
-        spark.range(40).select(F.col("id").cast("int").alias("copy"))
+    hot = hot.where("statementid = 3").withColumn("financialid", F.lit(1)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.lit(39)))
     ).withColumn("originbalance", F.expr("CAST(originbalance + copy AS DECIMAL(19,2))"))
     source = ReportSource(spark, stored.root)
     source._tables["balance_old"] = hot.drop("copy").repartition(16).unionByName(
