@@ -16,8 +16,10 @@ document may lack at most ``slack = n - ceil(n * num / den)`` of them in any par
    all with all; those already in one component are not compared again. What is left when
    rounds no longer help (documents of different components under one signature) is compared
    in full, so no link between components is lost.
-5. *Verification.* Low parts of the sets rule out most pairs; for the rest, the exact sets
-   of the documents concerned are made again from their texts.
+5. *Verification.* Each set has a bit map: bit i is the parity of its tokens that hash to i.
+   Two maps differ in no more bits than the sets differ in tokens, which rules out most pairs
+   inside the join that finds them; for the rest, the exact sets of the documents concerned
+   are made again from their texts.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
@@ -40,8 +42,13 @@ RARE = 48
 GROUPS = 8
 #: The low part of a set, as a multiple of the shortest prefix.
 LOW_PART = 1.5
-#: Rounds with one pivot per signature.
-PIVOT_ROUNDS = 5
+#: Rounds with one pivot per signature, at most.
+PIVOT_ROUNDS = 2
+#: Pairs left per row at which the rest is compared in full.
+FEW_PAIRS = 1000
+#: Words of 64 bits in a set's bit map.
+MAP_WORDS = 16
+MAPS = [f"m{i}" for i in range(MAP_WORDS)]
 #: Bits of the filter that selects the texts needed again (1 MB at most).
 FILTER_BITS = 1 << 23
 
@@ -55,8 +62,18 @@ def low_size(n: int, num: int, den: int) -> int:
     return min(n, int(LOW_PART * (slack(n, num, den) + 1)) + 2)
 
 
+def bit_maps(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of MAP_WORDS integers per set: the parities of its tokens by their hash."""
+    size = 64 * MAP_WORDS
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    slots = (np.concatenate(sets).view(np.uint64) >> np.uint64(32)) % np.uint64(size) if sets else rows
+    counts = np.bincount(rows * size + slots.astype(np.int64), minlength=len(sets) * size) & 1
+    return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(sets), MAP_WORDS)
+
+
 def document_sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, sid, n, low): set digest (null without words), size, smallest token hashes."""
+    """(doc_id, sid, n, low, m0, m1, ...): set digest (null without words), size, smallest token
+    hashes, and bit map."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,11 +82,12 @@ def document_sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
             low = [s[: low_size(len(s), num, den)] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sids, pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()), list_column(low)],
-                ["doc_id", "sid", "n", "low"],
+                 pa.array([len(s) for s in sets], pa.int64()), list_column(low),
+                 *(pa.array(np.ascontiguousarray(m)) for m in bit_maps(sets).T)],
+                ["doc_id", "sid", "n", "low", *MAPS],
             )
 
-    schema = "doc_id long, sid binary, n long, low array<long>"
+    schema = "doc_id long, sid binary, n long, low array<long>, " + ", ".join(f"{m} long" for m in MAPS)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, schema)
 
 
@@ -177,106 +195,85 @@ def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     made = made.mapInArrow(work, "doc_id long, sid binary, tokens array<long>")
     return (
         nodes.select("nid", "n", "doc_id", "sid")
-        .join(made, (nodes["doc_id"].eqNullSafe(made["doc_id"])) & (nodes["sid"] == made["sid"]))
+        .join(made.drop("doc_id"), "sid")
         .select("nid", "n", "tokens")
         .dropDuplicates(["nid"])
     )
 
 
-def _overlap(num: int, den: int, what: str, columns: tuple[str, str]):
-    """Filter of pairs (a, b, na, nb and two token lists), as a mapInArrow function."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            keep = np.zeros(len(na), bool)
-            for i, (x, y) in enumerate(zip(*(list_rows(batch, c) for c in columns), strict=True)):
-                need = -(-num * int(na[i] + nb[i]) // (num + den))
-                if what == "low":  # tokens up to the lesser last one are known of both
-                    last = min(x[-1], y[-1])
-                    x = x if len(x) == na[i] and len(y) == nb[i] else x[: np.searchsorted(x, last, "right")]
-                    y = y[: np.searchsorted(y, last, "right")] if len(y) < nb[i] or len(x) < na[i] else y
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[i] = min(na[i] - len(x) + both, nb[i] - len(y) + both) >= need
-                else:
-                    keep[i] = len(np.intersect1d(x, y, assume_unique=True)) >= need
-            kept = batch.filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays(
-                [kept.column(c) for c in ("a", "b", "na", "nb")], ["a", "b", "na", "nb"]
-            )
-
-    return work
+def _may_link(num: int, den: int, x: str = "a", y: str = "b") -> Column:
+    """Whether sizes nx, ny and bit maps x.m0 ..., y.m0 ... leave room for a link."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = sum((F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MAPS), F.lit(0))
+    # |x| + |y| - 2 |common| with |common| >= num / (num + den) * (|x| + |y|)
+    return (nx * den >= ny * num) & (ny * den >= nx * num) & (differ * (num + den) <= (nx + ny) * (den - num))
 
 
 class _Verifier:
     """Finds which candidate pairs link."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, num: int, den: int):
-        self.docs, self.nodes, self.width, self.num, self.den = docs, nodes, width, num, den
-
-    def _filter(self, pairs: DataFrame, lists: DataFrame, what: str) -> DataFrame:
-        left = lists.select(F.col("nid").alias("a"), F.col("list").alias("la"))
-        right = lists.select(F.col("nid").alias("b"), F.col("list").alias("lb"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "la", "lb")
-        return both.mapInArrow(
-            _overlap(self.num, self.den, what, ("la", "lb")), "a long, b long, na long, nb long"
-        )
+        self.docs, self.width, self.num, self.den = docs, width, num, den
+        self.ids = nodes.select("nid", "n", "doc_id", "sid")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb) that reach the threshold."""
-        some = stored(self._filter(pairs, self.nodes.withColumnRenamed("low", "list"), "low"), "likely")
-        ends = some.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-        wanted = stored(self.nodes.drop("low").join(ends, "nid", "left_semi"), "wanted")
-        sets = _tokens_again(self.docs, wanted, self.width).withColumnRenamed("tokens", "list")
-        return stored(self._filter(some, stored(sets, "sets"), "all"), "links")
-
-
-def _sizes_fit(num: int, den: int) -> Column:
-    return (F.least("na", "nb") * den) >= (F.greatest("na", "nb") * num)
-
-
-def _linked(buckets: DataFrame, verify: _Verifier, num: int, den: int) -> DataFrame:
-    """(node, comp) from (sig, nid, n); see the module's fourth step."""
+        """The pairs (a, b) whose exact sets reach the threshold."""
+        num, den = self.num, self.den
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                both = zip(list_rows(batch, "la"), list_rows(batch, "lb"), strict=True)
+                keep = np.zeros(batch.num_rows, bool)
+                for i, (x, y) in enumerate(both):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    keep[i] = den * common >= num * (len(x) + len(y) - common)
+                yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
+        wanted = stored(self.ids.join(ends, "nid", "left_semi"), "wanted")
+        sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
+        left = sets.select(F.col("nid").alias("a"), F.col("tokens").alias("la"))
+        right = sets.select(F.col("nid").alias("b"), F.col("tokens").alias("lb"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb")
+        return stored(both.mapInArrow(work, "a long, b long"), "verified")
+
+
+def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, den: int) -> DataFrame:
+    """(node, comp) from (sig, nid); see the module's fourth step."""
     links: DataFrame | None = None
     comp = buckets.sparkSession.createDataFrame([], "node long, comp long")
     tried: DataFrame | None = None
+    maps = nodes.select("nid", "n", *MAPS)
     for turn in range(PIVOT_ROUNDS + 1):
         named = buckets.join(comp.withColumnRenamed("node", "nid"), "nid", "left").select(
-            "sig", "nid", "n", F.coalesce("comp", "nid").alias("comp")
+            "sig", "nid", F.coalesce("comp", "nid").alias("comp")
+        )
+        several = named.groupBy("sig").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")
         )
-        live = stored(
-            named.join(
-                named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-                .where("lo <> hi").select("sig", "m"), "sig",
-            ), "live",
-        )
-        per_part = live.groupBy("sig", "comp").agg(F.count("*").alias("k"))
-        left = live.select(F.count("*").alias("rows"), F.sum("m").alias("pairs")).first()
+        live = stored(named.join(several.where("lo <> hi").select("sig", "size"), "sig"), "live")
+        left = live.select(F.count("*").alias("rows"), F.sum("size").alias("pairs")).first()
         if not left["rows"]:
             break
-        within = per_part.select(F.sum(F.col("k") * F.col("k"))).first()[0]
-        last = turn == PIVOT_ROUNDS or left["pairs"] - within <= 8 * left["rows"]
-        b = live.select("sig", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+        within = live.groupBy("sig", "comp").agg(F.count("*").alias("k")).select(F.sum(F.col("k") * F.col("k")))
+        last = turn == PIVOT_ROUNDS or left["pairs"] - within.first()[0] <= FEW_PAIRS * left["rows"]
         if last:
-            a = live.select("sig", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-            near = (F.col("nx") * den >= F.col("ny") * num) & (F.col("ny") * den >= F.col("nx") * num)
-            met = a.join(b, (a["sig"] == b["sig"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & near)
+            rows = live.drop("size").join(maps, "nid")
+            met = rows.alias("a").join(rows.alias("b"), (
+                (F.col("a.sig") == F.col("b.sig")) & (F.col("a.nid") < F.col("b.nid"))
+                & (F.col("a.comp") != F.col("b.comp")) & _may_link(num, den)
+            )).select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b")).distinct()
         else:
             pick = F.xxhash64(F.lit(turn), "nid")
-            a = live.groupBy("sig").agg(
-                F.min_by("nid", pick).alias("x"), F.min_by("n", pick).alias("nx"), F.min_by("comp", pick).alias("cx")
-            )
-            met = a.join(b, "sig").where("cx <> cy")
-        pairs = met.select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-            F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"),
-            F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb"),
-        ).where(_sizes_fit(num, den)).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        new = verify.links(pairs).select("a", "b")
+            pivots = live.groupBy("sig").agg(F.min_by("nid", pick).alias("p"), F.min_by("comp", pick).alias("pc"))
+            met = live.join(pivots, "sig").where("pc <> comp")
+            met = met.select(F.least("p", "nid").alias("a"), F.greatest("p", "nid").alias("b")).distinct()
+            met = met.join(maps.alias("a"), F.col("a") == F.col("a.nid"))
+            met = met.join(maps.alias("b"), F.col("b") == F.col("b.nid")).where(_may_link(num, den))
+            met = met.select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b"))
+        pairs = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = verify.links(pairs)
         links = new if links is None else links.unionByName(new)
         comp = components(links)
         if last:
@@ -311,14 +308,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     signed = stored(
         _sign(tokens.join(_frequent_of(tokens, frequent), "nid", "left").withColumns(fill), num, den), "signed"
     )
-    whole = stored(nodes.drop("low").join(signed.where("sig is null"), "nid", "left_semi"), "whole")
+    ids = nodes.select("nid", "n", "doc_id", "sid")
+    whole = stored(ids.join(signed.where("sig is null"), "nid", "left_semi"), "whole")
     again = stored(_tokens_again(docs, whole, width), "again")
     more = _sign(again.join(_frequent_of(again, frequent), "nid", "left").withColumns(fill), num, den)
     signed = signed.where("sig is not null").unionByName(stored(more, "more"))
 
     shared = signed.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")
-    buckets = stored(signed.join(shared, "sig").select("sig", "nid", "n"), "buckets")
-    comp = _linked(buckets, _Verifier(docs, nodes, width, num, den), num, den)
+    buckets = stored(signed.join(shared, "sig").select("sig", "nid"), "buckets")
+    comp = _linked(buckets, nodes, _Verifier(docs, nodes, width, num, den), num, den)
 
     named = nodes.select("nid", "sid", "doc_id").join(comp.withColumnRenamed("node", "nid"), "nid", "left")
     named = named.select("sid", "doc_id", F.coalesce("comp", "nid").alias("comp"))
@@ -330,9 +328,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     )
 
 
-def _first_of(key: str):
-    from pyspark.sql import Window
-
+def _first_of(key: str) -> WindowSpec:
     return Window.partitionBy(key).orderBy(F.col("doc_id").asc_nulls_last())
 
 

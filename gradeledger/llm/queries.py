@@ -49,7 +49,7 @@ WITH RECURSIVE w AS (
 ), s AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
         WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
     FROM w
 ), n AS (
     SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
