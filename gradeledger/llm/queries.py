@@ -9,10 +9,14 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gradeledger.llm.bpe import encode_decode
 from gradeledger.llm.jaccard import jaccard_components
 
+#: The vocabulary file of the BPE query.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ROOT = Path(__file__).resolve().parents[2]
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +43,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests = ("ids_sha256", "decoded_sha256")
+    return encode_decode(table(spark, sf_dir, "documents"), VOCABULARY, digests)
+
+
 _WORDS = r"regexp_extract_all(lower_text, '[^\x20\x09-\x0D]+')"
 
 OP4_SQL = f"""
@@ -70,6 +79,7 @@ FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
 
 QUERIES: dict[str, Query] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op8_bpe_encoding": op8_bpe_encoding,
 }
 
 ORACLES: dict[str, str] = {
