@@ -29,7 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
@@ -46,6 +46,8 @@ LOW_PART = 1.5
 PIVOT_ROUNDS = 2
 #: Pairs left per row at which the rest is compared in full.
 FEW_PAIRS = 1000
+#: Rounds in which only one pair of each component is verified.
+SPANNING_ROUNDS = 2
 #: Words of 64 bits in a set's bit map.
 MAP_WORDS = 16
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
@@ -204,9 +206,8 @@ def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 def _may_link(num: int, den: int, x: str = "a", y: str = "b") -> Column:
     """Whether sizes nx, ny and bit maps x.m0 ..., y.m0 ... leave room for a link."""
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = sum((F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MAPS), F.lit(0))
     # |x| + |y| - 2 |common| with |common| >= num / (num + den) * (|x| + |y|)
-    return (nx * den >= ny * num) & (ny * den >= nx * num) & (differ * (num + den) <= (nx + ny) * (den - num))
+    return (nx * den >= ny * num) & (ny * den >= nx * num) & (_differ(x, y) * (num + den) <= (nx + ny) * (den - num))
 
 
 class _Verifier:
@@ -238,14 +239,49 @@ class _Verifier:
         return stored(both.mapInArrow(work, "a long, b long"), "verified")
 
 
+def _differ(x: str = "a", y: str = "b") -> Column:
+    """Bits in which the maps x.m0 ... and y.m0 ... differ."""
+    return sum((F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MAPS), F.lit(0))
+
+
+class _Settled:
+    """Links found so far, and the components that they make: ``comp`` (node, comp)."""
+
+    def __init__(self, verify: _Verifier, spark: SparkSession):
+        self.verify = verify
+        self.links: DataFrame | None = None
+        self.comp = spark.createDataFrame([], "node long, comp long")
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Verifies candidates (a, b, differ) until each has both ends in one component or is
+        known to be no link. At first only the most alike pair of each component is verified,
+        which makes most of the others needless; then all that are left."""
+        for turn in range(SPANNING_ROUNDS + 1):
+            ends = self.comp
+            for side in ("a", "b"):
+                names = ends.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+                pairs = pairs.join(names, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+            pairs = stored(pairs.where("ca <> cb"), "open")
+            if pairs.isEmpty():
+                return
+            chosen = pairs.select("a", "b")
+            if turn < SPANNING_ROUNDS:
+                each = pairs.select(F.explode(F.array("ca", "cb")).alias("c"), F.struct("differ", "a", "b").alias("p"))
+                chosen = each.groupBy("c").agg(F.min("p").alias("p")).select("p.a", "p.b").distinct()
+            chosen = stored(chosen, "chosen")
+            new = self.verify.links(chosen)
+            self.links = new if self.links is None else self.links.unionByName(new)
+            self.comp = components(self.links)
+            pairs = pairs.join(chosen, ["a", "b"], "left_anti").drop("ca", "cb")
+
+
 def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, den: int) -> DataFrame:
     """(node, comp) from (sig, nid); see the module's fourth step."""
-    links: DataFrame | None = None
-    comp = buckets.sparkSession.createDataFrame([], "node long, comp long")
-    tried: DataFrame | None = None
+    found = _Settled(verify, buckets.sparkSession)
     maps = nodes.select("nid", "n", *MAPS)
+    pair = [F.col("a.nid").alias("a"), F.col("b.nid").alias("b"), _differ().alias("differ")]
     for turn in range(PIVOT_ROUNDS + 1):
-        named = buckets.join(comp.withColumnRenamed("node", "nid"), "nid", "left").select(
+        named = buckets.join(found.comp.withColumnRenamed("node", "nid"), "nid", "left").select(
             "sig", "nid", F.coalesce("comp", "nid").alias("comp")
         )
         several = named.groupBy("sig").agg(
@@ -262,23 +298,18 @@ def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, d
             met = rows.alias("a").join(rows.alias("b"), (
                 (F.col("a.sig") == F.col("b.sig")) & (F.col("a.nid") < F.col("b.nid"))
                 & (F.col("a.comp") != F.col("b.comp")) & _may_link(num, den)
-            )).select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b")).distinct()
+            )).select(*pair).distinct()
         else:
             pick = F.xxhash64(F.lit(turn), "nid")
             pivots = live.groupBy("sig").agg(F.min_by("nid", pick).alias("p"), F.min_by("comp", pick).alias("pc"))
             met = live.join(pivots, "sig").where("pc <> comp")
-            met = met.select(F.least("p", "nid").alias("a"), F.greatest("p", "nid").alias("b")).distinct()
-            met = met.join(maps.alias("a"), F.col("a") == F.col("a.nid"))
-            met = met.join(maps.alias("b"), F.col("b") == F.col("b.nid")).where(_may_link(num, den))
-            met = met.select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b"))
-        pairs = stored(met if tried is None else met.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = verify.links(pairs)
-        links = new if links is None else links.unionByName(new)
-        comp = components(links)
+            met = met.select(F.least("p", "nid").alias("x"), F.greatest("p", "nid").alias("y")).distinct()
+            met = met.join(maps.alias("a"), F.col("x") == F.col("a.nid"))
+            met = met.join(maps.alias("b"), F.col("y") == F.col("b.nid")).where(_may_link(num, den)).select(*pair)
+        found.settle(stored(met, "pairs"))
         if last:
             break
-    return comp
+    return found.comp
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
