@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeledger.llm.bpe import encode_decode
 from gradeledger.llm.jaccard import jaccard_components
+from gradeledger.llm.rules import judge
 
 #: The vocabulary file of the BPE query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +40,11 @@ def ship(spark: SparkSession) -> None:
     sys.path[:] = [p for p in sys.path if p != str(archive)]
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "verdict", "kept"]
+    return judge(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
@@ -77,12 +83,54 @@ SELECT n.doc_id, n.n AS n_shingles, min(other) AS component_id
 FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
 """
 
+OP2_SQL = r"""
+WITH w AS (
+    SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), again AS (
+    SELECT doc_id, i FROM windows JOIN (SELECT doc_id, g FROM windows GROUP BY ALL HAVING count(*) > 1) USING (doc_id, g)
+), covered AS (
+    SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM again) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, count(*) AS n, count(DISTINCT l) AS d
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+    SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        coalesce(lines.n, 0) AS n_lines, coalesce(lines.n - lines.d, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+), f AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        (10 * n_symbols > 2 * n_words)::INT + (word_chars NOT BETWEEN 2 * n_words AND 15 * n_words)::INT AS hard,
+        (n_lines >= 4 AND 2 * n_dup_lines > n_lines)::INT + (10 * n_repeat_words > 3 * n_words)::INT AS mild
+    FROM m
+), h AS (
+    SELECT source, count(*)::DOUBLE AS n, sum((base_failed OR hard + mild > 0)::INT)::DOUBLE AS failed FROM f WHERE source IS NOT NULL GROUP BY source
+), a AS (
+    SELECT sum(failed) / sum(n) AS mean, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS room, count(*) - 1 AS k FROM h
+), v AS (
+    SELECT sum(n * (failed / n - mean) ** 2) AS spread, any_value(mean) AS mean, any_value(room) AS room, any_value(k) AS k FROM h, a
+), p AS (
+    SELECT mean, CASE WHEN mean > 0 AND mean < 1 AND room > 0
+        THEN 1 / least(greatest((spread / (mean * (1 - mean)) - k) / room, 1e-6), 0.5) - 1 ELSE 1 END AS weight FROM v
+), r AS (
+    SELECT source, (failed + mean * weight) / (n + weight) AS rate, mean FROM h, p
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    CASE WHEN rate >= 0.5 THEN 'poor' WHEN rate <= mean THEN 'good' ELSE 'plain' END AS verdict,
+    NOT base_failed AND coalesce(rate < 0.5, true) AND hard = 0 AND mild <= CASE WHEN rate < 0.5 AND rate <= mean THEN 1 ELSE 0 END AS kept
+FROM f LEFT JOIN r USING (source)
+"""
+
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op8_bpe_encoding": op8_bpe_encoding,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_quality_rules": OP2_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
 }
 
