@@ -29,12 +29,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
 from gradeledger.llm.components import components
-from gradeledger.llm.store import join_small, stored
+from gradeledger.llm.store import BROADCAST_ROWS, join_small, stored
 
 #: Nodes that may hold a token in their low part before it counts as frequent.
 RARE = 48
@@ -47,9 +47,9 @@ PIVOT_ROUNDS = 2
 #: Pairs left per row at which the rest is compared in full.
 FEW_PAIRS = 1000
 #: Rounds in which only one pair of each component is verified.
-SPANNING_ROUNDS = 2
+SPANNING_ROUNDS = 1
 #: Words of 64 bits in a set's bit map.
-MAP_WORDS = 16
+MAP_WORDS = 8
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
 #: Bits of the filter that selects the texts needed again (1 MB at most).
 FILTER_BITS = 1 << 23
@@ -197,9 +197,9 @@ def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     made = made.mapInArrow(work, "doc_id long, sid binary, tokens array<long>")
     return (
         nodes.select("nid", "n", "doc_id", "sid")
-        .join(made.drop("doc_id"), "sid")
+        .withColumnRenamed("doc_id", "_id")
+        .join(made, (F.col("_id").eqNullSafe(F.col("doc_id"))) & (nodes["sid"] == made["sid"]))
         .select("nid", "n", "tokens")
-        .dropDuplicates(["nid"])
     )
 
 
@@ -211,12 +211,17 @@ def _may_link(num: int, den: int, x: str = "a", y: str = "b") -> Column:
 
 
 class _Verifier:
-    """Finds which candidate pairs link."""
+    """Finds which candidate pairs link. ``prepare`` makes the exact sets of their documents."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, num: int, den: int):
         self.docs, self.width, self.num, self.den = docs, width, num, den
         self.ids = nodes.select("nid", "n", "doc_id", "sid")
 
+    def prepare(self, pairs: DataFrame) -> None:
+        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "ends")
+        wanted = stored(join_small(self.ids, ends, ["nid"], "left_semi", spread=F.col("n")), "wanted")
+        self.sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose exact sets reach the threshold."""
         num, den = self.num, self.den
@@ -230,12 +235,11 @@ class _Verifier:
                     keep[i] = den * common >= num * (len(x) + len(y) - common)
                 yield batch.filter(pa.array(keep)).select(["a", "b"])
 
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-        wanted = stored(self.ids.join(ends, "nid", "left_semi"), "wanted")
-        sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
-        left = sets.select(F.col("nid").alias("a"), F.col("tokens").alias("la"))
-        right = sets.select(F.col("nid").alias("b"), F.col("tokens").alias("lb"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb")
+        left = self.sets.select(F.col("nid").alias("a"), F.col("tokens").alias("la"))
+        right = self.sets.select(F.col("nid").alias("b"), F.col("tokens").alias("lb"))
+        if pairs.count() <= BROADCAST_ROWS:
+            pairs = F.broadcast(pairs)
+        both = left.join(pairs, "a").join(right, "b").select("a", "b", "la", "lb")
         return stored(both.mapInArrow(work, "a long, b long"), "verified")
 
 
@@ -256,6 +260,7 @@ class _Settled:
         """Verifies candidates (a, b, differ) until each has both ends in one component or is
         known to be no link. At first only the most alike pair of each component is verified,
         which makes most of the others needless; then all that are left."""
+        self.verify.prepare(pairs)
         for turn in range(SPANNING_ROUNDS + 1):
             ends = self.comp
             for side in ("a", "b"):
@@ -324,10 +329,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     stay rows of their own. A null doc_id takes part; its component is the smallest id that
     isn't null there. Further columns are ignored. An empty table gives no rows.
     """
-    sets = stored(document_sets(docs, width, num, den), "sets")
-    by_id = F.row_number().over(_first_of("sid"))
-    nodes = sets.where("n > 0").withColumn("r", by_id).where("r = 1").drop("r")
-    nodes = stored(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    sets = document_sets(docs, width, num, den).withColumn("nid", F.monotonically_increasing_id())
+    sets = stored(sets, "sets")
+    ids = sets.where("n > 0").select("sid", "nid", "doc_id")
+    firsts = stored(
+        ids.groupBy("sid").agg(F.min("nid").alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("k")),
+        "firsts",
+    )
+    copies = stored(ids.join(firsts.where("k > 1").select("sid", "first"), "sid").where("nid <> first").select("nid"), "copies")
+    nodes = join_small(sets.where("n > 0"), copies, ["nid"], "left_anti", spread=F.col("nid"))
 
     tokens = nodes.select("nid", "n", F.col("low").alias("tokens"))
     frequent = stored(
@@ -343,15 +353,18 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     whole = stored(ids.join(signed.where("sig is null"), "nid", "left_semi"), "whole")
     again = stored(_tokens_again(docs, whole, width), "again")
     more = _sign(again.join(_frequent_of(again, frequent), "nid", "left").withColumns(fill), num, den)
-    signed = signed.where("sig is not null").unionByName(stored(more, "more"))
+    signed = signed.where("sig is not null").unionByName(stored(more, "more")).select("nid", "sig")
 
-    shared = signed.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")
-    buckets = stored(signed.join(shared, "sig").select("sig", "nid"), "buckets")
+    # of the signatures that the same nodes share, one is enough
+    members = [F.bit_xor(F.xxhash64(F.lit(i), "nid")).alias(f"x{i}") for i in (1, 2)]
+    shared = signed.groupBy("sig").agg(F.count("*").alias("m"), *members).where("m > 1")
+    shared = stored(shared.groupBy("m", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig"), "shared")
+    buckets = stored(join_small(signed, shared, ["sig"], "left_semi", spread=F.col("nid")).distinct(), "buckets")
     comp = _linked(buckets, nodes, _Verifier(docs, nodes, width, num, den), num, den)
 
-    named = nodes.select("nid", "sid", "doc_id").join(comp.withColumnRenamed("node", "nid"), "nid", "left")
-    named = named.select("sid", "doc_id", F.coalesce("comp", "nid").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    named = firsts.join(comp.withColumnRenamed("node", "first"), "first", "left")
+    named = named.select("sid", "least", F.coalesce("comp", "first").alias("comp"))
+    least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_set = named.select("sid", "comp").join(least, "comp").select("sid", "component_id")
     return sets.select("doc_id", "sid", F.col("n").alias("n_shingles")).join(by_set, "sid", "left").select(
         "doc_id", "n_shingles",
@@ -359,10 +372,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     )
 
 
-def _first_of(key: str) -> WindowSpec:
-    return Window.partitionBy(key).orderBy(F.col("doc_id").asc_nulls_last())
-
-
 def one_per_group(docs: DataFrame, **how) -> DataFrame:
     """The documents of which one of each group of near-duplicates stays: that with the
     component's smallest doc_id. Equal rows under that id stay once. Columns are unchanged."""
