@@ -11,9 +11,13 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gradeledger.llm.bpe import encode_decode
+from gradeledger.llm.fingerprint import fingerprints
+from gradeledger.llm.importance import classify
 from gradeledger.llm.jaccard import jaccard_components
+from gradeledger.llm.mixing import draws
 from gradeledger.llm.rules import judge
 
 #: The vocabulary file of the BPE query.
@@ -45,15 +49,29 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = draws(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.size("copies")).alias("taken")
+    return drawn.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = ("ids_sha256", "decoded_sha256")
     return encode_decode(table(spark, sf_dir, "documents"), VOCABULARY, digests)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _WORDS = r"regexp_extract_all(lower_text, '[^\x20\x09-\x0D]+')"
 
 OP4_SQL = f"""
@@ -126,7 +144,10 @@ FROM f LEFT JOIN r USING (source)
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op3_document_fingerprints": op3_document_fingerprints,
+    "op5_source_mixing": op5_source_mixing,
     "op8_bpe_encoding": op8_bpe_encoding,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
