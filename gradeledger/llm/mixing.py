@@ -2,7 +2,7 @@
 
 The mix holds as many words as all sources together. A source whose target is q times its
 words and a rest is taken q times whole; the rest is a random part of it. For that, the
-documents of a source are dealt by a hash into about sqrt(documents) blocks, blocks are put
+documents of a source are dealt by a hash into sqrt(documents) blocks at most, which are put
 in a random order, and whole blocks are taken until the rest is reached; of the block on the
 border, documents that still fit are taken in random order. Both orders are sorted within a source or a
 block and hold about sqrt(documents) rows, so no task sees a whole source.
@@ -31,6 +31,8 @@ from gradeledger.llm.words import words
 SEED = 20
 #: Output shards.
 SHARDS = 64
+#: Documents in a block, about, where a source is small.
+LEAST_BLOCK = 256
 #: A source is repeated this often at most.
 REPEATS = 3
 
@@ -118,7 +120,7 @@ def draws(
     names, sizes = [r["source"] for r in known], [r["size"] for r in known]
     of = [weights.get(n, 0.0) for n in names] if isinstance(weights, Mapping) else [weights[i % len(weights)] for i in range(len(names))]
     goal = targets(sizes, of)
-    blocks = [1 << int(np.ceil(np.log2(max(r["n"], 1)) / 2)) for r in known]
+    blocks = [1 << max(0, int(min(np.ceil(np.log2(r["n"]) / 2), np.log2(r["n"] / LEAST_BLOCK)))) for r in known]
     whole = [int(g // s) if s else 0 for g, s in zip(goal, sizes, strict=True)]
     plan = stored(spark.createDataFrame(
         [(n, i, int(s), float(g), b, w, float(g - w * s)) for i, (n, s, g, b, w) in enumerate(zip(names, sizes, goal, blocks, whole, strict=True))],

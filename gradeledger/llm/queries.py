@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeledger.llm.bpe import encode_decode
+from gradeledger.llm.chat import BLOCK, END, START, maximal_conversations
 from gradeledger.llm.fingerprint import fingerprints
 from gradeledger.llm.importance import classify
 from gradeledger.llm.jaccard import jaccard_components
+from gradeledger.llm.licenses import TEMPLATES, THRESHOLD, WORD, scan, template_words
 from gradeledger.llm.mixing import draws
 from gradeledger.llm.rules import judge
+from gradeledger.llm.warc import round_trip
 
 #: The vocabulary file of the BPE query.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +47,11 @@ def ship(spark: SparkSession) -> None:
     sys.path[:] = [p for p in sys.path if p != str(archive)]
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in the directory <source>/<lang>."""
+    return scan(table(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "verdict", "kept"]
     return judge(table(spark, sf_dir, "documents")).select(*columns)
@@ -63,11 +71,19 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maximal_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = ("ids_sha256", "decoded_sha256")
     return encode_decode(table(spark, sf_dir, "documents"), VOCABULARY, digests)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -141,7 +157,102 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN r USING (source)
 """
 
+OP7_SQL = f"""
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), n AS (
+    SELECT *, row_number() OVER w AS position, row_number() OVER (PARTITION BY conv_id) AS any_row,
+        list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS prefix
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+), m AS (
+    SELECT conv_id, max(position) AS n_turns FROM n GROUP BY conv_id
+), whole AS (
+    SELECT prefix, n_turns, min(conv_id) AS conv_id, count(*) AS n_logged
+    FROM n JOIN m USING (conv_id) WHERE position = n_turns GROUP BY prefix, n_turns
+), proper AS (
+    SELECT DISTINCT prefix FROM n JOIN m USING (conv_id) WHERE position < n_turns
+), kept AS (
+    SELECT conv_id, n_turns, n_logged FROM whole WHERE prefix NOT IN (SELECT prefix FROM proper)
+), parts AS (
+    SELECT conv_id, n_turns, n_logged, turn // {BLOCK} AS block,
+        string_agg('{START}' || coalesce(role, '') || chr(10) || coalesce(text, '') || '{END}' || chr(10), '' ORDER BY position) AS text
+    FROM n JOIN kept USING (conv_id) GROUP BY ALL
+)
+SELECT conv_id, n_turns, n_logged, (row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1)::INT AS part, text FROM parts
+"""
+
+OP9_SQL = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (
+    SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p
+), f AS (
+    SELECT payload_digest, min(page_id) AS first FROM d GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM d JOIN f USING (payload_digest)
+"""
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{w}', {c})" for i, w, c in template_words())
+_NAME_ROWS = ", ".join(f"({i}, '{name}')" for i, (name, _) in enumerate(TEMPLATES))
+
+OP1_SQL = f"""
+WITH tw(template, word, c) AS (VALUES {_TEMPLATE_ROWS}), names(template, license) AS (VALUES {_NAME_ROWS}),
+d AS (
+    SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, concat_ws('/', source, lang) AS dir,
+        lower(coalesce(text, '')) AS t, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM documents
+), total AS (SELECT count(*) AS n FROM d),
+df AS (
+    SELECT word, count(*) AS f FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM d) WHERE word IN (SELECT word FROM tw) GROUP BY word
+), idf AS (
+    SELECT word, ln((1 + n) / (1 + coalesce(f, 0))) + 1 AS idf FROM (SELECT DISTINCT word FROM tw) LEFT JOIN df USING (word), total
+), norm AS (
+    SELECT template, sqrt(sum((c * idf) ** 2)) AS len FROM tw JOIN idf USING (word) GROUP BY template
+), vec AS (
+    SELECT template, word, c * idf / len AS weight FROM tw JOIN idf USING (word) JOIN norm USING (template)
+), lines AS (
+    SELECT doc_id, i AS line, regexp_extract_all(ls[i], '{WORD}') AS w
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(t, chr(10)) AS ls FROM d))
+), tok AS (
+    SELECT doc_id, line, word, count(*) AS tf FROM (SELECT doc_id, line, unnest(w) AS word FROM lines) GROUP BY ALL
+), wt AS (
+    SELECT doc_id, line, word, tf * coalesce(idf, ln(1 + n) + 1) AS w FROM tok LEFT JOIN idf USING (word), total
+), ln_ AS (
+    SELECT doc_id, line, sqrt(sum(w * w)) AS len FROM wt GROUP BY ALL
+), dots AS (
+    SELECT doc_id, line, template, sum(w * weight) AS dot FROM wt JOIN vec USING (word) GROUP BY ALL
+), sc AS (
+    SELECT doc_id, line, template, dot / len AS score FROM dots JOIN ln_ USING (doc_id, line) WHERE dot / len >= {THRESHOLD}
+), one AS (
+    SELECT doc_id, line, template, round(score, 9) AS score FROM sc
+    QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY round(score, 9) DESC, template) = 1
+), best AS (
+    SELECT doc_id, score, template FROM one QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, template) = 1
+), counted AS (
+    SELECT doc_id, count(*) AS k, sum(len(w)) AS lw FROM one JOIN lines USING (doc_id, line) GROUP BY doc_id
+), own AS (
+    SELECT d.doc_id, path, dir, license, score, coalesce(k, 0) AS k, lw, len(w) AS n
+    FROM d LEFT JOIN best USING (doc_id) LEFT JOIN counted USING (doc_id) LEFT JOIN names USING (template)
+), of_dir AS (
+    SELECT dir AS ldir, license AS dlicense FROM own WHERE license IS NOT NULL AND 2 * lw >= n
+    QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1
+), near AS (
+    SELECT x.dir, ldir, dlicense FROM (SELECT DISTINCT dir FROM own) x
+    JOIN of_dir ON x.dir = ldir OR ldir = '' OR starts_with(x.dir, ldir || '/')
+    QUALIFY row_number() OVER (PARTITION BY x.dir ORDER BY length(ldir) DESC) = 1
+)
+SELECT doc_id, path, coalesce(license, dlicense) AS license, round(score, 4) AS score, k AS n_license_lines,
+    CASE WHEN license IS NOT NULL THEN 'own' WHEN dlicense IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+    CASE WHEN license IS NULL THEN ldir END AS license_dir
+FROM own LEFT JOIN near USING (dir)
+"""
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scans": op1_license_scans,
+    "op7_chat_formatting": op7_chat_formatting,
+    "op9_warc": op9_warc,
     "op2_quality_rules": op2_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op3_document_fingerprints": op3_document_fingerprints,
@@ -151,6 +262,9 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_license_scans": OP1_SQL,
+    "op7_chat_formatting": OP7_SQL,
+    "op9_warc": OP9_SQL,
     "op2_quality_rules": OP2_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
 }
