@@ -18,8 +18,9 @@ document may lack at most ``slack = n - ceil(n * num / den)`` of them in any par
    in full, so no link between components is lost.
 5. *Verification.* Each set has a bit map: bit i is the parity of its tokens that hash to i.
    Two maps differ in no more bits than the sets differ in tokens, which rules out most pairs
-   inside the join that finds them; for the rest, the exact sets of the documents concerned
-   are made again from their texts.
+   inside the join that finds them (maps folded to a fixed size) and then nearly all others
+   (whole maps, which grow with the set); for the rest, the exact sets of the documents
+   concerned are made again from their texts.
 """
 
 from __future__ import annotations
@@ -64,32 +65,45 @@ def low_size(n: int, num: int, den: int) -> int:
     return min(n, int(LOW_PART * (slack(n, num, den) + 1)) + 2)
 
 
-def bit_maps(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of MAP_WORDS integers per set: the parities of its tokens by their hash."""
+def bit_map(tokens: np.ndarray) -> np.ndarray:
+    """The parities of a set's tokens by their hash: twice as many bits as tokens or more.
+
+    The number of bits is a power of two. ``fold`` halves a map, which is then the map of
+    that size.
+    """
     size = 64 * MAP_WORDS
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    slots = (np.concatenate(sets).view(np.uint64) >> np.uint64(32)) % np.uint64(size) if sets else rows
-    counts = np.bincount(rows * size + slots.astype(np.int64), minlength=len(sets) * size) & 1
-    return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(sets), MAP_WORDS)
+    while size < 2 * len(tokens):
+        size *= 2
+    slots = ((tokens.view(np.uint64) >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+    parity = (np.bincount(slots, minlength=size) & 1).astype(np.uint8)
+    return np.packbits(parity, bitorder="little").view(np.int64)
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
 
 
 def document_sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, sid, n, low, m0, m1, ...): set digest (null without words), size, smallest token
-    hashes, and bit map."""
+    """(doc_id, sid, n, low, bits, m0, m1, ...): set digest (null without words), size, smallest
+    token hashes, and bit map, whole and folded to MAP_WORDS words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_hashes(raw, width) for raw in raw_texts(batch, "text")]
             sids = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             low = [s[: low_size(len(s), num, den)] for s in sets]
+            bits = [bit_map(s) for s in sets]
+            maps = np.array([fold(b, MAP_WORDS) for b in bits], np.int64).reshape(len(bits), MAP_WORDS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sids, pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()), list_column(low),
-                 *(pa.array(np.ascontiguousarray(m)) for m in bit_maps(sets).T)],
-                ["doc_id", "sid", "n", "low", *MAPS],
+                 list_column(bits), *(pa.array(np.ascontiguousarray(m)) for m in maps.T)],
+                ["doc_id", "sid", "n", "low", "bits", *MAPS],
             )
 
-    schema = "doc_id long, sid binary, n long, low array<long>, " + ", ".join(f"{m} long" for m in MAPS)
+    schema = "doc_id long, sid binary, n long, low array<long>, bits array<long>, " + ", ".join(f"{m} long" for m in MAPS)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, schema)
 
 
@@ -211,16 +225,41 @@ def _may_link(num: int, den: int, x: str = "a", y: str = "b") -> Column:
 
 
 class _Verifier:
-    """Finds which candidate pairs link. ``prepare`` makes the exact sets of their documents."""
+    """Finds which candidate pairs link. ``prepare`` drops those that whole bit maps rule out
+    and makes the exact sets of the documents of the others."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, num: int, den: int):
         self.docs, self.width, self.num, self.den = docs, width, num, den
         self.ids = nodes.select("nid", "n", "doc_id", "sid")
+        self.maps = nodes.select("nid", "n", "bits")
+
+    def _met(self, pairs: DataFrame, lists: DataFrame, *columns: str) -> DataFrame:
+        """``pairs`` with ``columns`` of both ends, named a_... and b_..."""
+        left, right = (lists.select(F.col("nid").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in columns)) for s in "ab")
+        if pairs.count() <= BROADCAST_ROWS:
+            return left.join(F.broadcast(pairs), "a").join(right, "b")
+        return pairs.join(left, "a").join(right, "b")
 
-    def prepare(self, pairs: DataFrame) -> None:
+    def prepare(self, pairs: DataFrame) -> DataFrame:
+        num, den = self.num, self.den
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+                differ = np.zeros(len(sizes), np.int64)
+                for i, (x, y) in enumerate(zip(list_rows(batch, "a_bits"), list_rows(batch, "b_bits"), strict=True)):
+                    words = min(len(x), len(y))
+                    differ[i] = np.bitwise_count(fold(x, words) ^ fold(y, words)).sum()
+                names = ["a", "b", "differ"]
+                made = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(differ)], names)
+                yield made.filter(pa.array(differ * (num + den) <= sizes * (den - num)))
+
+        pairs = self._met(pairs.select("a", "b"), self.maps, "n", "bits").select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
+        pairs = stored(pairs.mapInArrow(work, "a long, b long, differ long"), "likely")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "ends")
         wanted = stored(join_small(self.ids, ends, ["nid"], "left_semi", spread=F.col("n")), "wanted")
         self.sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
+        return pairs
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose exact sets reach the threshold."""
@@ -228,18 +267,14 @@ class _Verifier:
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                both = zip(list_rows(batch, "la"), list_rows(batch, "lb"), strict=True)
+                both = zip(list_rows(batch, "a_tokens"), list_rows(batch, "b_tokens"), strict=True)
                 keep = np.zeros(batch.num_rows, bool)
                 for i, (x, y) in enumerate(both):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep[i] = den * common >= num * (len(x) + len(y) - common)
                 yield batch.filter(pa.array(keep)).select(["a", "b"])
 
-        left = self.sets.select(F.col("nid").alias("a"), F.col("tokens").alias("la"))
-        right = self.sets.select(F.col("nid").alias("b"), F.col("tokens").alias("lb"))
-        if pairs.count() <= BROADCAST_ROWS:
-            pairs = F.broadcast(pairs)
-        both = left.join(pairs, "a").join(right, "b").select("a", "b", "la", "lb")
+        both = self._met(pairs, self.sets, "tokens").select("a", "b", "a_tokens", "b_tokens")
         return stored(both.mapInArrow(work, "a long, b long"), "verified")
 
 
@@ -257,10 +292,10 @@ class _Settled:
         self.comp = spark.createDataFrame([], "node long, comp long")
 
     def settle(self, pairs: DataFrame) -> None:
-        """Verifies candidates (a, b, differ) until each has both ends in one component or is
+        """Verifies candidates (a, b) until each has both ends in one component or is
         known to be no link. At first only the most alike pair of each component is verified,
         which makes most of the others needless; then all that are left."""
-        self.verify.prepare(pairs)
+        pairs = self.verify.prepare(pairs)
         for turn in range(SPANNING_ROUNDS + 1):
             ends = self.comp
             for side in ("a", "b"):
@@ -284,7 +319,7 @@ def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, d
     """(node, comp) from (sig, nid); see the module's fourth step."""
     found = _Settled(verify, buckets.sparkSession)
     maps = nodes.select("nid", "n", *MAPS)
-    pair = [F.col("a.nid").alias("a"), F.col("b.nid").alias("b"), _differ().alias("differ")]
+    pair = [F.col("a.nid").alias("a"), F.col("b.nid").alias("b")]
     for turn in range(PIVOT_ROUNDS + 1):
         named = buckets.join(found.comp.withColumnRenamed("node", "nid"), "nid", "left").select(
             "sig", "nid", F.coalesce("comp", "nid").alias("comp")
