@@ -19,6 +19,7 @@ from gradeledger.llm.fingerprint import fingerprints
 from gradeledger.llm.importance import classify
 from gradeledger.llm.jaccard import jaccard_components
 from gradeledger.llm.licenses import TEMPLATES, THRESHOLD, WORD, scan, template_words
+from gradeledger.llm.lm import score
 from gradeledger.llm.mixing import draws
 from gradeledger.llm.rules import judge
 from gradeledger.llm.warc import round_trip
@@ -71,6 +72,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(table(spark, sf_dir, "conversations"))
 
@@ -251,6 +256,7 @@ FROM own LEFT JOIN near USING (dir)
 
 QUERIES: dict[str, Query] = {
     "op1_license_scans": op1_license_scans,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_warc": op9_warc,
     "op2_quality_rules": op2_quality_rules,
