@@ -18,10 +18,10 @@ from collections.abc import Iterator
 from hashlib import sha256, shake_128
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 from gradeledger.llm.arrow import mix
 
@@ -120,9 +120,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     n = int(min(max(count // BUCKET, 1), MOST_BUCKETS))
     bounds = np.unique(rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))) if n > 1 else np.zeros(0)
 
-    @pandas_udf("int")
+    @F.pandas_udf("int")
     def bucket(ids):
-        return np.searchsorted(bounds, ids.fillna(-np.inf).to_numpy(float), "right").astype(np.int32)
+        return pd.Series(np.searchsorted(bounds, ids.fillna(-np.inf).to_numpy(float), "right").astype(np.int32))
 
     placed = rows.withColumn("bucket", bucket("doc_id") if len(bounds) else F.lit(0))
     ids = placed.select("doc_id", "bucket").groupBy("bucket").agg(
