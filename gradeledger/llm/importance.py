@@ -137,8 +137,10 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     if k <= 0:
         return math.inf
     low, high, n = rows.select(F.min(column), F.max(column), F.count(column)).first()
-    if k >= n:
+    if k > n or n == 0:
         return -math.inf
+    if k == n:
+        return low
     above, bins = 0, 4096
     while high > low:
         step = (high - low) / bins
@@ -164,14 +166,38 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
     and stay or go together; a null id can't be labelled but is judged. Further columns are
     ignored; an empty table gives no rows.
     """
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows, _, least = _threshold(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, seed)
+    return rows.withColumn("kept", (F.col("n_grams") > 0) & (F.col("key") >= least))
+
+
+def _threshold(docs: DataFrame, labels: DataFrame, seed: int) -> tuple[DataFrame, np.ndarray, float]:
+    """Weighed documents, the log ratios, and the least key that is kept."""
     good = stored(good_ids(labels.select(F.col("doc_id").cast("long"), "quality")), "good")
-    ratios = log_ratios(narrow, narrow.join(F.broadcast(good), "doc_id", "left_semi"))
-    rows = stored(weighed(narrow, ratios, seed), "weighed")
+    ratios = log_ratios(docs, docs.join(F.broadcast(good), "doc_id", "left_semi"))
+    rows = stored(weighed(docs, ratios, seed), "weighed")
     per_gram = F.col("log_weight") / F.col("n_grams")
     known = rows.where("n_grams > 0").join(F.broadcast(good), "doc_id", "left_semi").select(per_gram.alias("x"))
+    known = stored(known, "known")
     n = known.count()
-    bar = kth_largest(stored(known, "known"), "x", n - int(MISS * n)) if n else -math.inf
+    bar = kth_largest(known, "x", n - int(MISS * n)) if n else -math.inf
     k = rows.where((F.col("n_grams") > 0) & (per_gram >= bar)).count()
-    least = kth_largest(rows.where("n_grams > 0"), "key", k)
-    return rows.withColumn("kept", (F.col("n_grams") > 0) & (F.col("key") >= least))
+    return rows, ratios, kth_largest(rows.where("n_grams > 0"), "key", k)
+
+
+def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
+    """The documents that ``classify`` keeps, their columns unchanged. Weights are made a
+    second time on the rows instead of shuffling texts to meet them."""
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ratios, least = _threshold(narrow, labels, seed)[1:]
+    table = docs.sparkSession.sparkContext.broadcast((ratios, least))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bar = table.value
+        for batch in batches:
+            grams = [gram_buckets(raw) for raw in raw_texts(batch, "_text")]
+            keys = np.array([own[g].sum() for g in grams]) + batch.column("_noise").to_numpy()
+            kept = batch.filter(pa.array((np.array([len(g) for g in grams]) > 0) & (keys >= bar)) if grams else pa.array([], pa.bool_()))
+            yield kept.drop_columns(["_text", "_noise"])
+
+    rows = docs.withColumns({"_noise": _noise(seed), "_text": F.col("text").cast("string")})
+    return rows.mapInArrow(work, docs.schema)

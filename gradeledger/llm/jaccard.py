@@ -407,10 +407,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     )
 
 
-def one_per_group(docs: DataFrame, **how) -> DataFrame:
-    """The documents of which one of each group of near-duplicates stays: that with the
-    component's smallest doc_id. Equal rows under that id stay once. Columns are unchanged."""
-    groups = jaccard_components(docs, **how)
-    gone = stored(groups.where("component_id < doc_id or doc_id is null and component_id is not null")
-                  .select("doc_id").distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").dropDuplicates(["doc_id", "text"])
+def one_per_group(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest doc_id; columns
+    are unchanged. Equal rows of that id stay once. Rows without an id can't be named and stay,
+    as do documents without words."""
+    groups = jaccard_components(docs, width, num, den).where("doc_id is not null")
+    rows = stored(groups, "groups")
+    gone = stored(rows.where("component_id < doc_id").select("doc_id").distinct(), "gone")
+    left = join_small(docs, gone, ["doc_id"], "left_anti", spread=F.col("text"))
+    again = stored(rows.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    once = join_small(left, again, ["doc_id"], "left_anti", spread=F.col("text"))
+    often = join_small(left, again, ["doc_id"], "left_semi", spread=F.col("text"))
+    return once.unionByName(often.dropDuplicates(["doc_id", "text"]))

@@ -23,8 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from gradeledger.llm.arrow import mix as mix_bits
 from gradeledger.llm.store import join_small, stored
 from gradeledger.llm.words import words
 
@@ -79,103 +79,129 @@ def split_units(counts: Sequence[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _fill(block: pd.DataFrame) -> pd.DataFrame:
-    """Marks documents of a border block, in random order, that still fit what it must give;
+def _key() -> Column:
+    """Tells documents apart, also those that share an id."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _fill(block: pd.DataFrame, seed: int) -> pd.DataFrame:
+    """Keys of documents of a border block, in random order, that still fit what it must give;
     then the one more that comes nearest, if the sum gets nearer by it."""
-    block = block.sort_values(["_at", "doc_id", "key"], ignore_index=True)
-    left, fits = block["part"].iloc[0] if len(block) else 0.0, []
+    order = mix_bits(block["_key"].to_numpy(np.int64).view(np.uint64) + np.uint64(seed)).argsort(kind="stable")
+    block = block.iloc[order].reset_index(drop=True)
+    left, fits = block["_part"].iloc[0], []
     for size in block["size"]:
         fits.append(size <= left)
         left -= size if fits[-1] else 0
     over = [(abs(left - size), i) for i, size in enumerate(block["size"]) if not fits[i]]
     if over and min(over)[0] < left:
         fits[min(over)[1]] = True
-    return block.assign(in_rest=fits)
+    return block.loc[fits, ["_key"]]
 
 
 def _hash(seed: int, *columns: str) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def draws(
-    docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] = (5, 2, 1), shards: int = SHARDS, seed: int = SEED
-) -> DataFrame:
-    """One row per document: doc_id, source, size (words), key (tells rows apart that share an
-    id), source_size, target, and copies: an array of the shards that take it, one entry per
-    repeat, empty if the mix leaves it out.
+Weights = Mapping[str | None, float] | Sequence[float]
+
+
+class _Plan:
+    """What is drawn: a row per source, a row per block with the shards of its copies, and the
+    documents of border blocks that the rest takes. ``of`` attaches it to documents."""
+
+    def __init__(self, docs: DataFrame, weights: Weights, shards: int, seed: int):
+        self.seed = seed
+        rows = docs.select("source", F.size(words(F.col("text").cast("string"))).cast("long").alias("size"), "doc_id", _key().alias("_key"))
+        rows = stored(rows, "sizes")
+        known = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        known.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
+        names, sizes = [r["source"] for r in known], [r["size"] for r in known]
+        cycle = not isinstance(weights, Mapping)
+        of = [weights[i % len(weights)] if cycle else weights.get(n, 0.0) for i, n in enumerate(names)]
+        goal = targets(sizes, of)
+        blocks = [1 << max(0, int(min(np.ceil(np.log2(r["n"]) / 2), np.log2(r["n"] / LEAST_BLOCK)))) for r in known]
+        whole = [int(g // s) if s else 0 for g, s in zip(goal, sizes, strict=True)]
+        self.sources = stored(docs.sparkSession.createDataFrame(
+            [(n or "", n is None, i, int(s), float(g), b, w, float(g - w * s))
+             for i, (n, s, g, b, w) in enumerate(zip(names, sizes, goal, blocks, whole, strict=True))],
+            "_name string, _null boolean, _source long, source_size long, target double, _blocks long, _whole long, _rest double",
+        ), "sources")
+
+        # whole blocks of the rest, in the order of their hash; part: what the rest takes of a block
+        rows = self._placed(rows)
+        sums = rows.groupBy("_source", "_block", "_whole", "_rest").agg(F.sum("size").alias("words"))
+        order = Window.partitionBy("_source").orderBy(_hash(seed + 1, "_source", "_block"), "_block")
+        before = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")
+        part = F.greatest(F.least(F.col("_rest") - before, "words"), F.lit(0.0))
+        units = sums.withColumn("_part", part).withColumn("n", F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))
+        units = stored(units.drop("_rest", "_whole"), "blocks")
+        self.units = stored(self._dealt(units, len(names), shards), "units")
+
+        border = self.units.where("_part > 0 and _part < words").select("_source", "_block", "_part")
+        inside = join_small(rows.drop("_part"), stored(border, "border"), ["_source", "_block"], "inner", spread=F.col("_key"))
+        inside = inside.select("_source", "_block", "_part", "doc_id", "_key", "size")
+        self.border = stored(
+            inside.groupBy("_source", "_block").applyInPandas(lambda b: _fill(b, seed), "_key long").distinct().withColumn("_in", F.lit(True)),
+            "taken",
+        )
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source, doc_id, _key) with their source's figures and their block."""
+        keyed = rows.withColumns({"_name": F.coalesce("source", F.lit("")), "_null": F.col("source").isNull()})
+        known = join_small(keyed, self.sources, ["_name", "_null"], spread=F.col("_key")).drop("_name", "_null")
+        return known.withColumn("_block", F.pmod(_hash(self.seed, "_key"), F.col("_blocks"))).drop("_blocks")
+
+    def _dealt(self, units: DataFrame, n_sources: int, shards: int) -> DataFrame:
+        """``units`` with ``_shards``: the shard of each copy, drawn by the splitting tree."""
+        counts = {r[0]: r[1] for r in units.groupBy("_source").agg(F.sum("n")).collect()}
+        quota = split_units([counts.get(i, 0) for i in range(n_sources)], shards, self.seed)
+        ends = np.cumsum(quota, axis=1).tolist()
+        bounds = units.sparkSession.createDataFrame(list(enumerate(ends)), "_source long, bounds array<long>")
+        copies = units.withColumn("copy", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(1), F.col("n").cast("int")))))
+        drawn = Window.partitionBy("_source").orderBy(_hash(self.seed + 2, "_source", "_block", "copy"), "_block", "copy")
+        copies = copies.withColumn("at", F.row_number().over(drawn) - 1)
+        copies = join_small(copies, stored(bounds, "bounds"), ["_source"], "inner", spread=F.col("at"))
+        shard = F.size(F.filter("bounds", lambda b: b <= F.col("at"))).alias("shard")
+        by_block = copies.groupBy("_source", "_block").agg(F.array_sort(F.collect_list(F.struct("copy", shard))).alias("_shards"))
+        return units.drop("n").join(by_block, ["_source", "_block"], "left")
+
+    def of(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with source_size, target and copies, in columns of those names with ``_`` before."""
+        rows = self._placed(docs.withColumn("_key", _key()))
+        rows = join_small(rows, self.units, ["_source", "_block"], spread=F.col("_key"))
+        rows = join_small(rows, self.border, ["_key"], spread=F.col("_key"))
+        in_rest = (F.col("_part") >= F.col("words")) | F.coalesce("_in", F.lit(False))
+        taken = F.filter(F.coalesce("_shards", F.array()), lambda c: (in_rest & (F.col("_part") > 0)) | (c.copy <= F.col("_whole")))
+        return rows.withColumns({
+            "_copies": F.transform(taken, lambda c: c.shard), "_source_size": F.col("source_size"), "_target": F.col("target"),
+        })
+
+
+def draws(docs: DataFrame, weights: Weights = (5, 2, 1), shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """One row per document: doc_id, source, size (words), source_size, target, and copies: an
+    array of the shards that take it, one entry per repeat, empty if the mix leaves it out.
 
     ``weights`` are by source, or a cycle over the sources by code point, null last. Null and
     empty texts have size 0 and go with their block. A null source is a source. Equal rows
     are drawn together, up to ``REPEATS`` times each. Totals of the sources, a row each, are
-    the only rows that come to the driver. An empty table gives no rows.
+    the only rows that come to the driver. An empty table gives no rows; further columns are
+    ignored.
     """
-    spark = docs.sparkSession
-    rows = docs.select(
-        "doc_id", "source", F.size(words(F.col("text").cast("string"))).cast("long").alias("size"),
-        F.xxhash64("doc_id", "text").alias("key"),
-    )
-    rows = stored(rows, "sizes")
-    known = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    known.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    names, sizes = [r["source"] for r in known], [r["size"] for r in known]
-    of = [weights.get(n, 0.0) for n in names] if isinstance(weights, Mapping) else [weights[i % len(weights)] for i in range(len(names))]
-    goal = targets(sizes, of)
-    blocks = [1 << max(0, int(min(np.ceil(np.log2(r["n"]) / 2), np.log2(r["n"] / LEAST_BLOCK)))) for r in known]
-    whole = [int(g // s) if s else 0 for g, s in zip(goal, sizes, strict=True)]
-    plan = stored(spark.createDataFrame(
-        [(n, i, int(s), float(g), b, w, float(g - w * s)) for i, (n, s, g, b, w) in enumerate(zip(names, sizes, goal, blocks, whole, strict=True))],
-        "_name string, source_no long, source_size long, target double, n_blocks long, whole long, rest double",
-    ), "plan")
-    rows = rows.withColumn("_named", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull())
-    plan = plan.withColumn("_named", F.coalesce("_name", F.lit(""))).withColumn("_null", F.col("_name").isNull()).drop("_name")
-    rows = join_small(rows, plan, ["_named", "_null"], spread=F.col("key")).drop("_named", "_null")
-    rows = rows.withColumn("block", F.pmod(_hash(seed, "doc_id", "key"), F.col("n_blocks")))
-
-    # whole blocks of the rest, in the order of their hash; part: what the border block gives
-    sums = rows.groupBy("source_no", "block").agg(F.sum("size").alias("words"), F.first("whole").alias("whole"), F.first("rest").alias("rest"))
-    order = Window.partitionBy("source_no").orderBy(_hash(seed + 1, "source_no", "block"), "block").rowsBetween(Window.unboundedPreceding, 0)
-    part = F.col("rest") - (F.sum("words").over(order) - F.col("words"))
-    sums = sums.withColumn("part", F.when(part <= 0, 0.0).otherwise(F.least(part, "words")))
-    extra = F.when((F.col("part") > 0), 1).otherwise(0)
-    units = stored(sums.select("source_no", "block", "words", "part", (F.col("whole") + extra).alias("n_copies")), "blocks")
-
-    # shards of the units
-    counts = {r[0]: r[1] for r in units.groupBy("source_no").agg(F.sum("n_copies")).collect()}
-    quota = split_units([counts.get(i, 0) for i in range(len(names))], shards, seed)
-    ends = np.cumsum(quota, axis=1)
-    shards_of = stored(spark.createDataFrame(
-        [(i, s, int(ends[i, s] - quota[i, s]), int(ends[i, s])) for i in range(len(names)) for s in range(shards) if quota[i, s]],
-        "source_no long, shard int, from long, to long",
-    ).groupBy("source_no").agg(F.sort_array(F.collect_list(F.struct("to", "shard"))).alias("bounds")), "quotas")
-    copies = units.withColumn("copy", F.explode(F.when(F.col("n_copies") > 0, F.sequence(F.lit(1), F.col("n_copies").cast("int")))))
-    drawn = Window.partitionBy("source_no").orderBy(_hash(seed + 2, "source_no", "block", "copy"), "block", "copy")
-    copies = copies.withColumn("at", F.row_number().over(drawn) - 1)
-    copies = join_small(copies, shards_of, ["source_no"], "inner", spread=F.col("at"))
-    shard = F.get(F.filter("bounds", lambda b: b.to > F.col("at")), F.lit(0)).shard
-    by_block = copies.groupBy("source_no", "block").agg(F.array_sort(F.collect_list(F.struct("copy", shard.alias("shard")))).alias("taken"))
-    units = units.join(by_block, ["source_no", "block"], "left").drop("n_copies")
-
-    # documents: the last copy of a border block goes to its first documents only
-    joined = rows.drop("rest", "n_blocks").join(units, ["source_no", "block"])
-    border = joined.where((F.col("part") > 0) & (F.col("part") < F.col("words"))).withColumn("_at", _hash(seed + 3, "doc_id", "key"))
-    border = border.withColumn("in_rest", F.lit(False)).groupBy("source_no", "block")
-    schema = StructType([*joined.schema.fields, StructField("_at", LongType()), StructField("in_rest", BooleanType())])
-    border = border.applyInPandas(_fill, schema).drop("_at")
-    others = joined.where((F.col("part") <= 0) | (F.col("part") >= F.col("words"))).withColumn("in_rest", F.col("part") > 0)
-    taken = F.filter(F.coalesce("taken", F.array()), lambda c: F.col("in_rest") | (c.copy <= F.col("whole")))
-    return border.unionByName(others).select(
-        "doc_id", "source", "size", "key", "source_size", "target", F.transform(taken, lambda c: c.shard).alias("copies")
+    docs = docs.select("doc_id", "source", "text")
+    size = F.size(words(F.col("text").cast("string"))).cast("long").alias("size")
+    return _Plan(docs, weights, shards, seed).of(docs).select(
+        "doc_id", "source", size, F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies")
     )
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mix: rows of ``docs``, each as often as it is drawn, with ``_shard`` and ``_order``
-    (a random order within the shard). Parameters as for ``draws``. Write it with
-    ``repartition("_shard").sortWithinPartitions("_shard", "_order")``."""
-    seed = how.get("seed", SEED)
-    drawn = draws(docs, **how).where(F.size("copies") > 0).dropDuplicates(["doc_id", "key"])
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "copies")
-    keyed = docs.withColumn("_key2", F.xxhash64("doc_id", "text"))
-    met = keyed.join(drawn, (F.col("_key2") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    met = met.select(*docs.columns, F.posexplode("copies").alias("_copy", "_shard"))
-    return met.withColumn("_order", _hash(seed + 4, "doc_id", "_copy")).drop("_copy")
+def mix(docs: DataFrame, weights: Weights = (5, 2, 1), shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """The mix: rows of ``docs``, each as often as it is drawn, dealt to partitions by shard
+    and, within a shard, in a random order. Cases are those of ``draws``; columns are kept."""
+    plan = _Plan(docs.select("doc_id", "source", "text"), weights, shards, seed)
+    named = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select("doc_id", "source", "text", F.struct(*named).alias("_row"))
+    rows = plan.of(rows).select("_row", "_key", F.posexplode("_copies").alias("_copy", "_shard"))
+    rows = rows.withColumn("_at", _hash(seed + 4, "_key", "_copy"))
+    rows = rows.repartition(shards, "_shard").sortWithinPartitions("_shard", "_at")
+    return rows.select(*(F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
