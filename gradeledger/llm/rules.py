@@ -67,34 +67,36 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with its measures as one struct, ``_quality``."""
-    text = F.coalesce(F.col("_text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(without(x, SEPARATORS)) > 0)
-    rows = docs.withColumn("_text", F.col("text").cast("string"))
-    rows = rows.withColumns({"_words": words(F.col("_text")), "_lines": lines})
-    counts = {
-        "n_words": F.size("_words"),
-        "word_chars": F.length(without(text, SEPARATORS)),
-        "n_symbols": F.length(text) - F.length(without(text, SYMBOLS)),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": repeated_words(F.col("_words")),
-    }
-    struct = F.struct(*(c.cast("long").alias(name) for name, c in counts.items()))
-    return rows.withColumn("_quality", struct).drop("_text", "_words", "_lines")
-
-
-def failures(m: str = "") -> dict[str, Column]:
-    """base_failed, and the numbers of hard and mild rules failed, from measures named m..."""
-    n_words, n_repeat = F.col(f"{m}n_words"), F.col(f"{m}n_repeat_words")
-    fails = {
-        name: condition(lambda c: F.col(m + c)) for name, _, condition in RULES
-    }
+def measure(text: Column) -> Column:
+    """The measures of a text as one struct. Parts are computed once: what is used several
+    times is bound, so the optimizer can't copy it into loops over words."""
+
+    def counts(t: Column, w: Column, lines: Column) -> Column:
+        found = {
+            "n_words": F.size(w),
+            "word_chars": F.length(without(t, SEPARATORS)),
+            "n_symbols": F.length(t) - F.length(without(t, SYMBOLS)),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": repeated_words(w),
+        }
+        return F.struct(*(c.cast("long").alias(name) for name, c in found.items()))
+
+    def parts(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: F.length(without(x, SEPARATORS)) > 0)
+        return F.struct(t.alias("t"), words(t).alias("w"), lines.alias("l"))
+
+    bound = _let(F.coalesce(text.cast("string"), F.lit("")), parts)
+    return _let(bound, lambda p: counts(p.t, p.w, p.l))
+
+
+def failures(m: Callable[[str], Column]) -> dict[str, Column]:
+    """base_failed, and the numbers of hard and mild rules failed, from measures by name."""
+    fails = {name: condition(m).cast("int") for name, _, condition in RULES}
     return {
-        "base_failed": (n_words < LEAST_WORDS) | (100 * n_repeat > 50 * n_words),
-        "hard": sum((fails[n].cast("int") for n, mild, _ in RULES if not mild), F.lit(0)),
-        "mild": sum((fails[n].cast("int") for n, mild, _ in RULES if mild), F.lit(0)),
+        "base_failed": (m("n_words") < LEAST_WORDS) | (100 * m("n_repeat_words") > 50 * m("n_words")),
+        "hard": sum((fails[n] for n, mild, _ in RULES if not mild), F.lit(0)),
+        "mild": sum((fails[n] for n, mild, _ in RULES if mild), F.lit(0)),
     }
 
 
@@ -133,8 +135,8 @@ def judge(docs: DataFrame) -> DataFrame:
     documents are judged by their own rules alone (verdict ``plain``). Repeated rows each
     count and stay. Further columns are ignored; an empty table gives no rows.
     """
-    rows = measured(docs.select("doc_id", F.col("source").alias("host"), "text")).select("doc_id", "host", "_quality.*")
-    judged = stored(rows.withColumns(failures()), "judged")
+    rows = docs.select("doc_id", F.col("source").alias("host"), measure(F.col("text")).alias("q")).select("doc_id", "host", "q.*")
+    judged = stored(rows.withColumns(failures(F.col)), "judged")
     verdicts = stored(host_verdicts(judged).select("host", "rate", "verdict"), "verdicts")
     joined = join_small(judged, verdicts, ["host"], spread=F.col("doc_id"))
     joined = joined.withColumn("verdict", F.coalesce("verdict", F.lit("plain")))
@@ -147,12 +149,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     Texts are measured twice, once for the hosts and once for the rows, instead of being
     shuffled to meet their verdicts.
     """
-    narrow = measured(docs.select("doc_id", F.col("source").alias("host"), "text")).select("host", "_quality.*")
-    verdicts = stored(
-        host_verdicts(narrow.withColumns(failures())).select(F.col("host").alias("_host"), F.col("verdict").alias("_verdict")),
-        "verdicts",
-    )
-    rows = join_small(docs.withColumn("_host", F.col("source")), verdicts, ["_host"], spread=F.col("doc_id"))
+    fails = lambda q: F.struct(*(c.alias(n) for n, c in failures(lambda name: q[name]).items()))
+    narrow = docs.select(F.col("source").alias("host"), _let(measure(F.col("text")), fails).alias("f")).select("host", "f.*")
+    verdicts = host_verdicts(narrow).select(F.col("host").alias("_host"), F.col("verdict").alias("_verdict"))
+    rows = docs.withColumn("_host", F.col("source"))
+    rows = join_small(rows, stored(verdicts, "verdicts"), ["_host"], spread=F.col("doc_id"))
     verdict = F.coalesce("_verdict", F.lit("plain"))
-    kept = _kept(*failures("_quality.").values(), verdict)
-    return measured(rows).where(kept).select(*docs.columns)
+    kept = _let(_let(measure(F.col("text")), fails), lambda f: _kept(f.base_failed, f.hard, f.mild, verdict))
+    return rows.where(kept).select(*docs.columns)
