@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
 from gradeledger.llm.components import components
-from gradeledger.llm.store import BROADCAST_ROWS, join_small, stored
+from gradeledger.llm.store import BROADCAST_IDS, BROADCAST_ROWS, join_small, stored
 
 #: Nodes that may hold a token in their low part before it counts as frequent.
 RARE = 48
@@ -170,7 +170,7 @@ def _sign(rows: DataFrame, num: int, den: int) -> DataFrame:
 def _frequent_of(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
     """(nid, counts, frequent): the frequent ones among each node's tokens."""
     rows = tokens.select("nid", F.explode("tokens").alias("token"))
-    found = join_small(rows, frequent, ["token"], "inner", spread=F.col("nid"))
+    found = join_small(rows, frequent, ["token"], "inner", spread=F.col("nid"), limit=BROADCAST_IDS)
     pairs = F.sort_array(F.collect_list(F.struct("token", "count")))
     return found.groupBy("nid").agg(pairs.alias("p")).select(
         "nid", F.col("p.count").alias("counts"), F.col("p.token").alias("frequent")
@@ -257,7 +257,7 @@ class _Verifier:
         pairs = self._met(pairs.select("a", "b"), self.maps, "n", "bits").select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
         pairs = stored(pairs.mapInArrow(work, "a long, b long, differ long"), "likely")
         ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "ends")
-        wanted = stored(join_small(self.ids, ends, ["nid"], "left_semi", spread=F.col("n")), "wanted")
+        wanted = stored(join_small(self.ids, ends, ["nid"], "left_semi", spread=F.col("n"), limit=BROADCAST_IDS), "wanted")
         self.sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
         return pairs
 
@@ -372,7 +372,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         "firsts",
     )
     copies = stored(ids.join(firsts.where("k > 1").select("sid", "first"), "sid").where("nid <> first").select("nid"), "copies")
-    nodes = join_small(sets.where("n > 0"), copies, ["nid"], "left_anti", spread=F.col("nid"))
+    nodes = join_small(sets.where("n > 0"), copies, ["nid"], "left_anti", spread=F.col("nid"), limit=BROADCAST_IDS)
 
     tokens = nodes.select("nid", "n", F.col("low").alias("tokens"))
     frequent = stored(
@@ -394,7 +394,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     members = [F.bit_xor(F.xxhash64(F.lit(i), "nid")).alias(f"x{i}") for i in (1, 2)]
     shared = signed.groupBy("sig").agg(F.count("*").alias("m"), *members).where("m > 1")
     shared = stored(shared.groupBy("m", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig"), "shared")
-    buckets = stored(join_small(signed, shared, ["sig"], "left_semi", spread=F.col("nid")).distinct(), "buckets")
+    buckets = stored(join_small(signed, shared, ["sig"], "left_semi", spread=F.col("nid"), limit=BROADCAST_IDS).distinct(), "buckets")
     comp = _linked(buckets, nodes, _Verifier(docs, nodes, width, num, den), num, den)
 
     named = firsts.join(comp.withColumnRenamed("node", "first"), "first", "left")
@@ -414,7 +414,7 @@ def one_per_group(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
     groups = jaccard_components(docs, width, num, den).where("doc_id is not null")
     rows = stored(groups, "groups")
     gone = stored(rows.where("component_id < doc_id").select("doc_id").distinct(), "gone")
-    left = join_small(docs, gone, ["doc_id"], "left_anti", spread=F.col("text"))
+    left = join_small(docs, gone, ["doc_id"], "left_anti", spread=F.col("text"), limit=BROADCAST_IDS)
     again = stored(rows.groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id"), "again")
     if again.isEmpty():
         return left

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a join sends its right side to every executor (a few dozen bytes each).
 BROADCAST_ROWS = 200_000
+#: The same for tables of one number a row.
+BROADCAST_IDS = 1_000_000
 #: Parts into which ``join_small`` splits every key of the left side beyond that.
-SALTS = 32
+SALTS = 16
 
 
 def shared_folder(spark: SparkSession) -> str:
