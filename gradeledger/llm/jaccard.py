@@ -85,6 +85,10 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
+def differing_bits(x: np.ndarray, y: np.ndarray) -> int:
+    return int(np.bitwise_count((x ^ y).view(np.uint64)).sum())  # of signed numbers it takes the absolute value
+
+
 def document_sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(doc_id, sid, n, low, bits, m0, m1, ...): set digest (null without words), size, smallest
     token hashes, and bit map, whole and folded to MAP_WORDS words."""
@@ -249,7 +253,7 @@ class _Verifier:
                 differ = np.zeros(len(sizes), np.int64)
                 for i, (x, y) in enumerate(zip(list_rows(batch, "a_bits"), list_rows(batch, "b_bits"), strict=True)):
                     words = min(len(x), len(y))
-                    differ[i] = np.bitwise_count(fold(x, words) ^ fold(y, words)).sum()
+                    differ[i] = differing_bits(fold(x, words), fold(y, words))
                 names = ["a", "b", "differ"]
                 made = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(differ)], names)
                 yield made.filter(pa.array(differ * (num + den) <= sizes * (den - num)))
