@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from gradeledger.llm.arrow import list_column
 
 #: Runs of text, and pairs of tokens, that a worker remembers at most.
-REMEMBERED = 400_000
-#: Ids decoded at once.
+REMEMBERED = 120_000
+#: Documents worked on at once, and ids decoded at once.
+ROWS = 1_000
 DECODE_IDS = 1 << 20
 
 # The cutting pattern of the vocabulary, the mark of a word's end, and white
@@ -236,7 +237,7 @@ def encode_decode(docs: DataFrame, path: str | Path, outputs: tuple[str, ...] =
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(content.value)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             all_ids = [words.encode(t) if t else np.zeros(0, "<u4") for t in batch.column("text").to_pylist()]
             made = [batch.column("doc_id"), pa.array([len(i) for i in all_ids], pa.int64())]
             texts = [words.decode(i) for i in all_ids] if {"decoded", "decoded_sha256"} & {*outputs} else []

@@ -35,7 +35,7 @@ MISS = 0.002
 SMOOTH = 0.05
 SEED = 10
 #: Tokens whose hashes a worker remembers at most.
-REMEMBERED = 500_000
+REMEMBERED = 120_000
 
 _TOKEN = re.compile(rb"[\x80-\xff\w]+|[^\x80-\xff\w\s]+")
 
