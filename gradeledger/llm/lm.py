@@ -33,9 +33,11 @@ from gradeledger.llm.arrow import list_column, list_rows, raw_texts, word_hashes
 from gradeledger.llm.store import stored
 
 #: Words whose counts every task has, at most (about 100 bytes each in a worker).
-HEAD = 1 << 17
+HEAD = 1 << 16
 #: Words that a task counts before it passes the sums on.
-FLUSH = 400_000
+FLUSH = 150_000
+#: Documents worked on at once.
+ROWS = 1_000
 #: Symbols of one training run, runs per partition (about), rounds, and Adam's rate.
 RUN, RUNS, ROUNDS, RATE = 2 * gru.WINDOW, 4_000, 4, 0.02
 SEED = 6
@@ -45,6 +47,10 @@ END, OTHER = gru.SYMBOLS - 1, gru.SYMBOLS - 2
 ADD = 0.1
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
+
+
 def tokens(raw: bytes | None) -> list[bytes]:
     """Words, A-Z lower-cased; the end of the text (an empty word) is added by the callers."""
     return raw.lower().split() if raw else []
@@ -70,7 +76,7 @@ def word_counts(train: DataFrame) -> DataFrame:
             counts.clear()
             return pa.RecordBatch.from_arrays(made, ["word", "n"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             for raw in raw_texts(batch, "text"):
                 counts.update(tokens(raw))
                 counts[b""] += 1
@@ -133,7 +139,7 @@ def training_runs(train: DataFrame, words: Lexicon) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             runs, lengths = [], []
             for raw, at in zip(raw_texts(batch, "text"), batch.column("at").to_pylist(), strict=True):
                 found = tokens(raw)
@@ -196,7 +202,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, network = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             symbols, n_tokens, logs, within, known = [], [], [], [], []
             rest_row, rest_hash, rest_n = [], [], []
             for at, raw in zip(batch.column("row").to_pylist(), raw_texts(batch, "text"), strict=True):
