@@ -67,7 +67,13 @@ ENTITY_OLD = {
     "cdicode": "CAST(c_custkey * 7 + ver AS STRING)",
     "creditportfolio": "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'OTHER_CP' ELSE 'ALPHA_CP' END",
 }
-ENTITY_NEW = ENTITY_OLD | {"entityid": "CAST(c_custkey AS STRING)"}
+# New entity data comes a few days later and carries other customer ids.
+ENTITY_NEW = ENTITY_OLD | {
+    "entityid": "CAST(c_custkey AS STRING)",
+    "sourcepopulateddate_":
+        "CAST(DATE '1995-01-01' + CAST(ver * 200 + c_custkey % 100 + 40 AS INT) AS TIMESTAMP)",
+    "cdicode": "CAST(c_custkey * 7 + ver + 1000000 AS STRING)",
+}
 STATEMENT_KEY = {"pkid_": "c_custkey * 10 + stmt", "versionid_": "ver"}
 HEADER_OLD = {
     "entityid": "CAST(c_custkey AS INT)",
@@ -75,7 +81,8 @@ HEADER_OLD = {
     "statementid": "CAST(stmt AS INT)",
     "statementyear": "1994 + stmt",
     "statementmonths": "CASE WHEN (c_custkey + stmt) % 6 = 0 THEN 6 ELSE 12 END",
-    "statementdatekey_": "(1994 + stmt) * 10000 + 1231",
+    "statementdatekey_": """CASE WHEN c_custkey % 5 = 0 THEN (2004 - stmt) * 10000 + 1231
+        ELSE (1994 + stmt) * 10000 + 1231 END""",
     "sourcepopulateddate_": """CAST(DATE '1996-01-01'
         + CAST((c_custkey * 37) % 1500 + stmt * 30 + ver * 200 AS INT) AS TIMESTAMP)""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from gradeledger.config import ReportConfig
 from gradeledger.operators.accounts import account_group_for
-from gradeledger.operators.reuse import Keeper
+from gradeledger.operators.reuse import Keep, Keeper
 from gradeledger.plans import risk
 from gradeledger.sources.tables import ReportSource
 
@@ -20,8 +20,8 @@ def groups_by_ten_joins(source: ReportSource, cfg: ReportConfig, scope: DataFram
     return wide
 
 
-def report_r_long(source: ReportSource, cfg: ReportConfig) -> DataFrame:
-    keep = Keeper(cfg.sharing)
+def report_r_long(source: ReportSource, cfg: ReportConfig, keep: Keep | None = None) -> DataFrame:
+    keep = keep or Keeper("none")
     scope = keep(risk.perimeter_r(source, cfg))
     found = keep(risk.statements_in_scope(source, cfg, scope))
     return risk.assemble(found, groups_by_ten_joins(source, cfg, scope), cfg)

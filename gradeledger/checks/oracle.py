@@ -130,7 +130,8 @@ def ctes(cfg: ReportConfig) -> dict[str, str]:
         "ratings_union", "entityid",
         "sourcepopulateddate_rating DESC NULLS FIRST, "
         "CASE generation WHEN 'old' THEN 0 ELSE 1 END, "
-        "versionid_ DESC NULLS FIRST, pkid_ DESC NULLS FIRST",
+        "versionid_ DESC NULLS FIRST, pkid_ DESC NULLS FIRST, finalgrade DESC NULLS LAST, "
+        "ratingscalevalue DESC NULLS LAST",
         "approveddate IS NOT NULL AND islatestapprovedscenario",
     )
     q["r_union"] = "SELECT * FROM r_pinned_old UNION SELECT * FROM r_pinned_new"
@@ -242,7 +243,7 @@ def ctes(cfg: ReportConfig) -> dict[str, str]:
     q["macros_new"] = "SELECT * EXCLUDE (id_, sourcepopulateddate_rating) FROM (" + first_per(
         "macros_new_all", per_account, latest_balance
     ) + ")"
-    q["macros_old"] = f"""SELECT {booked} FROM bal_old b JOIN perim_r per {join}
+    q["macros_old"] = f"""SELECT DISTINCT {booked} FROM bal_old b JOIN perim_r per {join}
         WHERE per.generation = 'old' AND per.approveddate >= {live}
         AND per.approveddate <= {bound}"""
     q["macros_all"] = "SELECT * FROM macros_old UNION ALL SELECT * FROM macros_new"
@@ -361,8 +362,7 @@ def ctes(cfg: ReportConfig) -> dict[str, str]:
     q["first_years"] = """SELECT entityid, cdicode, afm, min(statementyear) AS first_year
         FROM capital_base GROUP BY ALL"""
     q["seed_candidates"] = """SELECT k.* FROM known_latest k JOIN first_years y
-        ON k.entityid = y.entityid AND k.cdicode IS NOT DISTINCT FROM y.cdicode
-        AND k.afm IS NOT DISTINCT FROM y.afm AND k.statementyear = y.first_year - 1"""
+        ON k.entityid = y.entityid AND k.cdicode = y.cdicode AND k.afm = y.afm AND k.statementyear = y.first_year - 1"""
     q["seeds"] = first_per(
         "seed_candidates", "entityid, cdicode, afm",
         "statementyear DESC NULLS FIRST, sourcepopulateddate_financial DESC NULLS FIRST, "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -20,17 +20,24 @@ from gradeledger.operators import (
     diff_reports,
     distinct_on,
     find_duplicates,
+    long_groups,
     metric_slice,
     side_by_side,
     split_by_model,
     step_counts,
     usable_context,
 )
-from gradeledger.operators.reuse import CHECKPOINT_CONF
+from gradeledger.operators.reuse import shared_dir
 from gradeledger.plans import matched, position, risk, variants
 from gradeledger.plans.jobs import run_report_p, run_report_r
 from gradeledger.plans.matched import union_all
-from gradeledger.sources.sinks import append_audit, audit_record, read_report, register_view
+from gradeledger.sources.sinks import (
+    AUDIT_SCHEMA,
+    append_audit,
+    audit_record,
+    read_report,
+    register_view,
+)
 from gradeledger.sources.tables import (
     METRICS,
     ReportSource,
@@ -358,14 +365,27 @@ for group in ACCOUNT_GROUPS:
 check(
     "ag_lookup", (*risk.SCOPE_KEYS, "account_group", "amount"),
     " UNION ALL ".join(
-        f"SELECT {', '.join(risk.SCOPE_KEYS)}, '{g}' AS account_group, {g} AS amount FROM ag_{g}"
-        for g in ACCOUNT_GROUPS if g != "goodwill"
+        f"SELECT {', '.join(risk.SCOPE_KEYS)}, '{g}' AS account_group, {g} AS amount FROM ag_{g} "
+        f"WHERE {g} IS NOT NULL" for g in ACCOUNT_GROUPS
     ),
-    lambda s: union_all([
-        account_group_for(risk.macros_all(s, CONFIG, scope(s)), g)
-        .withColumnRenamed(g, "amount").withColumn("account_group", F.lit(g))
-        for g in ACCOUNT_GROUPS if g != "goodwill"
-    ]),
+    lambda s: long_groups(risk.macros_all(s, CONFIG, scope(s))),
+)
+
+
+def _one_group(source: ReportSource) -> DataFrame:
+    """The debt of one statement: the first one of the first entity."""
+    balances = risk.macros_all(source, CONFIG, scope(source))
+    debt = balances.where(F.col("accountid").isin([abs(c) for c in ACCOUNT_GROUPS["total_debt"]]))
+    first = debt.select(*ONE_STATEMENT).orderBy(*ONE_STATEMENT).first()
+    return account_group_for(balances, "total_debt", **first.asDict())
+
+
+ONE_STATEMENT = ("entityid", "financialid", "statementid")
+check(
+    "ag_lookup_one", (*risk.SCOPE_KEYS, "total_debt"),
+    f"SELECT a.* FROM ag_total_debt a JOIN (SELECT {', '.join(ONE_STATEMENT)} FROM ag_total_debt "
+    f"ORDER BY {', '.join(ONE_STATEMENT)} LIMIT 1) USING ({', '.join(ONE_STATEMENT)})",
+    _one_group,
 )
 check(
     "share_capital_base", CAPITAL_BASE, "capital_base",
@@ -419,11 +439,17 @@ check(
     ),
 )
 check(
-    "ratio_guarded", words("pkid_ versionid_ plain filled"),
-    f"SELECT pkid_, versionid_, {ratio('totalassets', 'ebitda')} AS plain, "
-    f"{ratio('netprofit', 'ebitda', null_as_zero=True)} AS filled FROM statement_new",
-    lambda s: s.load_statements_new().select(
-        "pkid_", "versionid_",
+    "ratio_guarded", words("pkid_ versionid_ generation plain filled"),
+    " UNION ALL ".join(
+        f"SELECT pkid_, versionid_, '{g}' AS generation, {ratio('totalassets', 'ebitda')} AS plain, "
+        f"{ratio('netprofit', 'ebitda', null_as_zero=True)} AS filled FROM {table}"
+        for g, table in {
+            NEW: "statement_new",
+            OLD: "statement_old JOIN statement_metrics_old USING (pkid_, versionid_)",
+        }.items()
+    ),
+    lambda s: tagged_union(s.load_statements(OLD), s.load_statements(NEW)).select(
+        "pkid_", "versionid_", "generation",
         scalars.guarded_ratio("totalassets", "ebitda").alias("plain"),
         scalars.guarded_ratio("netprofit", "ebitda", null_as_zero=True).alias("filled"),
     ),
@@ -442,10 +468,14 @@ check(
 NO_PORTFOLIO = replace(CONFIG, portfolio=None)
 BALANCE_KEY = words("financialid statementid accountid versionid_")
 check(
-    "dq_duplicates", (*BALANCE_KEY, "n_rows"),
-    f"SELECT {', '.join(BALANCE_KEY)}, count(*) AS n_rows FROM balance_old GROUP BY ALL "
-    "HAVING count(*) > 1",
-    lambda s: find_duplicates(s.load_balances(OLD), BALANCE_KEY),
+    "dq_duplicates", (*BALANCE_KEY, "generation", "n_rows"),
+    " UNION ALL ".join(
+        f"SELECT {', '.join(f'CAST({c} AS INT) AS {c}' for c in BALANCE_KEY)}, '{g}' AS generation, "
+        f"count(*) AS n_rows FROM balance_{g} GROUP BY ALL HAVING count(*) > 1" for g in BOTH
+    ),
+    lambda s: find_duplicates(
+        tagged_union(s.load_balances(OLD), s.load_balances(NEW)), (*BALANCE_KEY, "generation")
+    ),
 )
 check(
     "step_counts", words("step n_rows"),
@@ -471,7 +501,7 @@ check(
 
 def _diff(source: ReportSource) -> DataFrame:
     only_a, only_b = diff_reports(
-        position.report_p_years(source, CONFIG), position.report_p(source, CONFIG),
+        position.report_p_years(source, CONFIG), position.report_p(source, NO_PORTFOLIO),
         ignore=("creditcommitteedate",),
     )
     return only_a.withColumn("side", F.lit("a")).unionByName(only_b.withColumn("side", F.lit("b")))
@@ -479,26 +509,38 @@ def _diff(source: ReportSource) -> DataFrame:
 
 DIFF_COLUMNS = tuple(c for c in P_COLUMNS if c != "creditcommitteedate")
 _some = ", ".join(DIFF_COLUMNS)
+_other = "SELECT * FROM (" + with_steps(f"SELECT {_some} FROM report_p", NO_PORTFOLIO) + ")"
 check(
     "report_diff", (*DIFF_COLUMNS, "side"),
-    f"SELECT *, 'a' AS side FROM (SELECT {_some} FROM p_years EXCEPT SELECT {_some} FROM report_p)"
-    f" UNION ALL SELECT *, 'b' AS side FROM (SELECT {_some} FROM report_p EXCEPT "
-    f"SELECT {_some} FROM p_years)",
+    f"SELECT *, 'a' AS side FROM (SELECT {_some} FROM p_years EXCEPT {_other})"
+    f" UNION ALL SELECT *, 'b' AS side FROM (({_other}) EXCEPT SELECT {_some} FROM p_years)",
     _diff,
 )
 _text_r = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in R_COLUMNS)
+# Rows of two revisions that are put side by side: a part of the customers, one year.
+SELECTED = "cdi LIKE '%1%' AND fnc_year = '1996'"
 check(
     "report_side_by_side", ("source", *R_COLUMNS),
-    f"SELECT 'a' AS source, {_text_r} FROM report_r "
-    f"UNION ALL SELECT 'b' AS source, {_text_r} FROM report_r WHERE cdi LIKE '%%'",
+    f"SELECT 'a' AS source, {_text_r} FROM report_r WHERE {SELECTED} UNION ALL SELECT 'b' AS source, "
+    f"{_text_r} FROM ({with_steps('SELECT * FROM report_r', NO_PORTFOLIO)}) WHERE {SELECTED}",
     lambda s: side_by_side(
-        risk.report_r(s, CONFIG), risk.report_r(s, CONFIG), where=F.col("cdi").like("%%")
+        risk.report_r(s, CONFIG), risk.report_r(s, NO_PORTFOLIO), where=F.expr(SELECTED)
     ),
 )
+
+
+def _slice(source: ReportSource) -> DataFrame:
+    """One customer and year: the first of the report."""
+    report = risk.report_r(source, CONFIG)
+    first = report.where("cdi IS NOT NULL").select("cdi", "fnc_year").orderBy("cdi", "fnc_year").first()
+    return metric_slice(report, *first, cols=("balancedividendspayable",))
+
+
 check(
     "metric_slice", words("cdi afm fnc_year balancedividendspayable approveddate entityid"),
-    "report_r",
-    lambda s: metric_slice(risk.report_r(s, CONFIG), cols=("balancedividendspayable",)),
+    "SELECT * FROM report_r JOIN (SELECT cdi, fnc_year FROM report_r WHERE cdi IS NOT NULL "
+    "ORDER BY cdi, fnc_year LIMIT 1) USING (cdi, fnc_year)",
+    _slice,
 )
 
 # -- jobs, sinks, log --------------------------------------------------------
@@ -506,10 +548,7 @@ check(
 
 def _out(spark: SparkSession) -> str:
     """A folder of its own for each run, below the shared one where that is named."""
-    shared = spark.conf.get(CHECKPOINT_CONF, None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="gradeledger-")
-    return f"{shared}/gradeledger-{datetime.now():%Y%m%d%H%M%S%f}"
+    return f"{shared_dir(spark)}/gradeledger-{uuid.uuid4().hex}"
 
 
 def _must(ok: bool) -> None:
@@ -523,23 +562,42 @@ def _job_p(source: ReportSource) -> str:
     return out
 
 
+def _rerun_view(source: ReportSource) -> DataFrame:
+    """The view that was registered before the job ran again for the same date."""
+    out = _job_p(source)
+    shown = register_view(source.spark, f"{out}/report_p", "report_p_view")
+    _must(run_report_p(source.spark, source, CONFIG.ref_date, out, CONFIG, view="report_p_view"))
+    return shown
+
+
 def _audit(source: ReportSource) -> DataFrame:
     out = _out(source.spark)
-    _must(run_report_r(source.spark, source, CONFIG.ref_date, out, CONFIG))
-    extra = audit_record("check", "report_r", 0, "appended", datetime(2000, 9, 29))
-    append_audit(source.spark, f"{out}/etl_log", extra)
-    return source.spark.read.parquet(f"{out}/etl_log")
+    spark, when = source.spark, datetime(2000, 9, 29)
+    _must(run_report_r(spark, source, CONFIG.ref_date, out, CONFIG, lambda: when))
+    append_audit(spark, f"{out}/etl_log", audit_record("check", "report_r", 0, "appended", when))
+    record = F.from_json("payload", AUDIT_SCHEMA).alias("record")
+    log = spark.read.parquet(f"{out}/etl_log").select(record).select("record.*")
+    return log.withColumn("n_written", F.lit(read_report(spark, f"{out}/report_r").count()))
 
 
 check(
-    "report_p_roundtrip", P_COLUMNS, None,
+    "report_p_roundtrip", P_COLUMNS, "report_p",
     lambda s: read_report(s.spark, f"{_job_p(s)}/report_p", CONFIG.ref_date),
 )
 check(
     "report_view", P_COLUMNS, "report_p",
-    lambda s: register_view(s.spark, f"{_job_p(s)}/report_p", "report_p_view"),
+    _rerun_view,
+)
+LOGGED = words("t_ JobId ETLFunction SourceTableCount TargetTableName TargetTableCount LogMessage SchemaName")
+check(
+    "audit_log", (*LOGGED, "n_written"),
+    "SELECT 'reports.etl_log' AS t_, 'populate_report200009290000' AS JobId, f AS ETLFunction, "
+    "CAST(0 AS BIGINT) AS SourceTableCount, 'report_r' AS TargetTableName, "
+    "CASE f WHEN 'check' THEN 0 ELSE n END AS TargetTableCount, m AS LogMessage, "
+    "'reports' AS SchemaName, n AS n_written FROM (SELECT count(*) AS n FROM report_r), "
+    "(VALUES ('check', 'appended'), ('run_report_r', 'report_r has been populated')) AS v(f, m)",
+    _audit,
 )
-check("audit_log", ("payload",), None, _audit)
 
 # -- revisions and variants --------------------------------------------------
 
@@ -548,9 +606,12 @@ OLD_ENTITIES = replace(CONFIG, nonfin_entity_gen=OLD)
 LAG_YEAR = replace(CONFIG, lag_order="year")
 for name, cfg in {
     "rev_p_no_portfolio": NO_PORTFOLIO, "rev_p_pinned_models": PINNED_ONE,
-    "rev_p_nonfin_entity_gen": OLD_ENTITIES,
 }.items():
     check(name, P_COLUMNS, "report_p", lambda s, c=cfg: position.report_p(s, c), cfg)
+check(
+    "rev_p_nonfin_entity_gen", P_COLUMNS, "p_nonfin",
+    lambda s: position.report_p_nonfin(s, OLD_ENTITIES), OLD_ENTITIES,
+)
 for name, cfg in {"rev_r_no_portfolio": NO_PORTFOLIO, "rev_r_lag_order": LAG_YEAR}.items():
     check(name, R_COLUMNS, "report_r", lambda s, c=cfg: risk.report_r(s, c), cfg)
 

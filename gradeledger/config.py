@@ -15,7 +15,7 @@ GENERATIONS = (NEW, OLD)
 FINANCIALS, NON_FINANCIALS = "financials", "non_financials"
 
 # Account codes summed into each report line. A negative code is
-# subtracted. Goodwill is not summed; see operators.accounts.
+# subtracted. Goodwill is not summed; see LARGEST_GROUPS.
 ACCOUNT_GROUPS: Mapping[str, tuple[int, ...]] = MappingProxyType(
     {
         "inventories": (1520, 1521, 1522, 1523),
@@ -31,6 +31,9 @@ ACCOUNT_GROUPS: Mapping[str, tuple[int, ...]] = MappingProxyType(
     }
 )
 
+# Groups of which the largest value is read instead of the sum.
+LARGEST_GROUPS: tuple[str, ...] = ("goodwill",)
+
 # Multiplier of each rounding code; any other code means zero.
 ROUNDING_FACTORS: Mapping[int, int] = MappingProxyType({0: 1, 1: 1000, 2: 100000})
 
@@ -59,6 +62,7 @@ class ReportConfig:
     lag_order: str = "date"
     rounding_map: Mapping[int, int] = field(default=ROUNDING_FACTORS)
     accounts: Mapping[str, tuple[int, ...]] = field(default=ACCOUNT_GROUPS)
+    largest: tuple[str, ...] = LARGEST_GROUPS
     sharing: str = "persist"
     splits: int = 2
 

@@ -1,6 +1,6 @@
 """Reusable operators: DataFrame in, DataFrame out, columns given by name."""
 
-from gradeledger.operators.accounts import account_group_for, account_groups
+from gradeledger.operators.accounts import account_group_for, account_groups, long_groups
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import (
     attach_grade,
@@ -27,6 +27,6 @@ from gradeledger.operators.statements import change_vs_previous, choose_statemen
 __all__ = [
     "account_group_for", "account_groups", "attach_grade", "change_vs_previous",
     "choose_statement_version", "diff_reports", "distinct_on", "eligible_ratings",
-    "final_rating", "find_duplicates", "in_scope", "latest_before", "match_asof",
+    "final_rating", "find_duplicates", "in_scope", "latest_before", "long_groups", "match_asof",
     "match_pinned_version", "metric_slice", "side_by_side", "split_by_model", "step_counts", "usable_context",
 ]

@@ -15,9 +15,13 @@ def attach_grade(df: DataFrame, grades: DataFrame, scale: DataFrame) -> DataFram
     """Add the final grade's label (NULL if there is none) and whether one exists.
 
     The scale is left to Spark's own size check: it is broadcast when it is below
-    the threshold and shuffled otherwise.
+    the threshold and shuffled otherwise. Rows without an approval have no grade and
+    stay out of the join, where they would be one hot key.
     """
-    graded = df.join(grades.select("approveid", "finalgrade"), "approveid", "left")
+    asked = df.where(F.col("approveid").isNotNull())
+    graded = asked.join(grades.select("approveid", "finalgrade"), "approveid", "left").unionByName(
+        df.where(F.col("approveid").isNull()), allowMissingColumns=True
+    )
     labels = scale.select(F.col("ratingscalekey_").alias("finalgrade"), "ratingscalevalue")
     return graded.join(labels, "finalgrade", "left").select(
         *df.columns,
@@ -34,10 +38,14 @@ def match_pinned_version(
     version_col: str,
     bound: Column,
     ts: str = "sourcepopulateddate_entity",
+    splits: int = 2,
 ) -> DataFrame:
-    """Inner join on the keys and the exact version, versions known by ``bound`` only."""
+    """Inner join on the keys and the exact version, versions known by ``bound`` only.
+
+    Every pair of a key is wanted here; the rows of a key go to ``splits`` places.
+    """
     known = versions.where(F.col(ts) <= bound).withColumnRenamed("versionid_", version_col)
-    return df.join(known, [*keys, version_col])
+    return in_scope(df, known, [*keys, version_col], splits)
 
 
 def match_asof(

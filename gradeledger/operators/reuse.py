@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -13,9 +13,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named."""
+    """The cluster's shared folder. Only a local session, where there is one machine, may go
+    without a named one."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
-    return named or tempfile.mkdtemp(prefix="gradeledger-")
+    if named is None and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        named = tempfile.mkdtemp(prefix="gradeledger-")
+    if named is None:
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
+    return named
 
 
 def shared(df: DataFrame, mode: str) -> DataFrame:

@@ -27,11 +27,13 @@ def _run(
     cfg: ReportConfig,
     build: Callable[[Keeper], DataFrame],
     clock: Callable[[], datetime],
+    view: str | None,
 ) -> bool:
-    """Success flag. A failure anywhere is logged and leaves the old snapshot."""
+    """Success flag. A failure anywhere is logged and leaves the old snapshot; a log that
+    can't be written makes the run a failure too, but doesn't raise."""
     now, keeper = clock(), Keeper(cfg.sharing)
     try:
-        count = write_report(build(keeper), f"{out}/{target}", cfg.ref_date)
+        count = write_report(build(keeper), f"{out}/{target}", cfg.ref_date, view)
         message, ok = f"{target} has been populated", True
     except Exception as failure:
         count, ok = 0, False
@@ -39,7 +41,11 @@ def _run(
         log.warning("%s", message)
     finally:
         keeper.release()
-    append_audit(spark, f"{out}/etl_log", audit_record(function, target, count, message, now))
+    try:
+        append_audit(spark, f"{out}/etl_log", audit_record(function, target, count, message, now))
+    except Exception as failure:
+        log.warning("the audit log can't be written: %s", failure)
+        return False
     return ok
 
 
@@ -54,12 +60,14 @@ def run_report_p(
     out: str,
     cfg: ReportConfig | None = None,
     clock: Callable[[], datetime] = datetime.now,
+    view: str | None = None,
 ) -> bool:
-    """Write report P for a date below ``out``; ``cfg`` selects a revision."""
+    """Write report P for a date below ``out``; ``cfg`` selects a revision, ``view`` names a
+    view that shall show the latest snapshot."""
     cfg = _config(cfg, ref_date)
     return _run(
         spark, "run_report_p", "report_p", out, cfg,
-        lambda keep: report_p(source, cfg, keep), clock,
+        lambda keep: report_p(source, cfg, keep), clock, view,
     )
 
 
@@ -70,10 +78,11 @@ def run_report_r(
     out: str,
     cfg: ReportConfig | None = None,
     clock: Callable[[], datetime] = datetime.now,
+    view: str | None = None,
 ) -> bool:
-    """Write report R for a date below ``out``; ``cfg`` selects a revision."""
+    """Write report R for a date below ``out``; ``cfg`` and ``view`` as for report P."""
     cfg = _config(cfg, ref_date)
     return _run(
         spark, "run_report_r", "report_r", out, cfg,
-        lambda keep: report_r(source, cfg, keep), clock,
+        lambda keep: report_r(source, cfg, keep), clock, view,
     )

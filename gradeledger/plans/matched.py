@@ -98,7 +98,7 @@ def latest_pairs(source, cfg: ReportConfig, generation: str) -> DataFrame:
     """Financials ratings of report P: the one with the newest entity data per entity."""
     financials, _ = split_by_model(eligible(source, cfg, generation), cfg.pinned)
     return distinct_on(
-        pinned_matches(financials, source, cfg, generation), ["entityid"], LATEST_PAIR_ORDER
+        best_pinned(financials, source, cfg, generation), ["entityid"], LATEST_PAIR_ORDER
     )
 
 
@@ -169,23 +169,24 @@ def final_rating_p(source, cfg: ReportConfig) -> DataFrame:
     """One rating per entity over all models, graded."""
     candidates = []
     for g in (OLD, NEW):
-        financials, others = split_by_model(eligible(source, cfg, g), cfg.pinned)
-        pairs = distinct_on(
-            best_pinned(financials, source, cfg, g), ["entityid"], LATEST_PAIR_ORDER
-        )
-        candidates += [pairs, best_asof(others, source, cfg, g)]
+        _, others = split_by_model(eligible(source, cfg, g), cfg.pinned)
+        candidates += [latest_pairs(source, cfg, g), best_asof(others, source, cfg, g)]
     chosen = final_rating(union_all(candidates), order=FINAL_ORDER_P)
     return graded(chosen, source)
 
 
 def graded(ratings: DataFrame, source) -> DataFrame:
-    """Grades for ratings of both generations; the better of repeated ones."""
+    """Grades for ratings of both generations; the better of repeated ones, and of the labels
+    that the scale repeats for one grade the last by name. One row per rating stays."""
     grades = distinct_on(
         tagged_union(source.load_entity_rating(OLD), source.load_entity_rating(NEW)),
         ["generation", "approveid"], [F.col("finalgrade").desc_nulls_last()],
     )
-    scale = source.load_rating_scale().select(
-        F.col("ratingscalekey_").alias("finalgrade"), "ratingscalevalue"
+    scale = distinct_on(
+        source.load_rating_scale().select(
+            F.col("ratingscalekey_").alias("finalgrade"), "ratingscalevalue"
+        ),
+        ["finalgrade"], [F.col("ratingscalevalue").desc_nulls_last()],
     )
     return ratings.join(grades, ["generation", "approveid"], "left").join(
         scale, "finalgrade", "left"

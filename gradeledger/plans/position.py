@@ -69,7 +69,7 @@ def chosen_statements(
 
     ``strict`` leaves out statements that have no version known at rating time.
     """
-    keep = keep or Keeper(cfg.sharing)
+    keep = keep or Keeper("none")
     scope = keep(perimeter_p(source, cfg))
     found = statements_in_scope(source, cfg, scope, generations)
     if strict:

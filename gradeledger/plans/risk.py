@@ -115,7 +115,12 @@ def macros_new(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
 
 
 def macros_old(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
-    """Old balances in scope, every version."""
+    """Old balances in scope, every version, equal rows once."""
+    return old_in_scope(source, cfg, scope).distinct()
+
+
+def old_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
+    """As ``macros_old``, equal rows repeated: for groupings that drop repeats themselves."""
     return in_scope(
         source.load_balances(OLD, cfg.account_codes),
         _scope_of(_approved_in_window(scope, cfg), OLD),
@@ -127,16 +132,16 @@ def macros_all(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
     cols = [*SCOPE_KEYS, "accountid", "versionid_", "sourcepopulateddate_",
             "originrounding", "originbalance"]
     return union_all(
-        [m(source, cfg, scope).select(*cols) for m in (macros_old, macros_new)]
+        [m(source, cfg, scope).select(*cols) for m in (old_in_scope, macros_new)]
     )
 
 
 def groups_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
     """The account groups of every statement in scope. New balances are one per
     account already; only old ones need the distinct of ``account_groups``."""
-    old = scaled_balances(macros_old(source, cfg, scope), cfg.rounding_map).distinct()
+    old = scaled_balances(old_in_scope(source, cfg, scope), cfg.rounding_map).distinct()
     new = scaled_balances(macros_new(source, cfg, scope), cfg.rounding_map)
-    return sum_groups(old.unionByName(new), cfg.accounts)
+    return sum_groups(old.unionByName(new), cfg.accounts, largest=cfg.largest)
 
 
 def statements_in_scope(
@@ -203,7 +208,7 @@ def report_r_metrics(
     Two results are kept because two or more branches read them: the perimeter, and
     the statements found in it.
     """
-    keep = keep or Keeper(cfg.sharing)
+    keep = keep or Keeper("none")
     scope = keep(perimeter_r(source, cfg))
     found = keep(statements_in_scope(source, cfg, scope))
     return assemble(found, groups_in_scope(source, cfg, scope), cfg)

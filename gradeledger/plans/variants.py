@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import in_scope
-from gradeledger.operators.ratings import final_rating
+from gradeledger.operators.ratings import LATEST_PAIR_ORDER, final_rating
 from gradeledger.operators.statements import change_vs_previous
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -42,7 +42,8 @@ def rank_per_version(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     """The final rating per rating record and version instead of per entity."""
     return final_rating(
         ratings_union(source, cfg), ["entityid", "pkid_", "versionid_"],
-        ["-sourcepopulateddate_rating", "-generation"],
+        ["-sourcepopulateddate_rating", "-generation", F.col("finalgrade").desc_nulls_last(),
+         F.col("ratingscalevalue").desc_nulls_last(), *LATEST_PAIR_ORDER],
     )
 
 
@@ -119,13 +120,14 @@ def _known_statements(source: ReportSource, cfg: ReportConfig, scope: DataFrame)
 def prior_year_seed(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
     """Share-capital change with the year before the first one in scope as a start.
 
-    Seed rows carry ``exclude_from_rating``, the others ``include_in_rating``.
+    Seed rows carry ``exclude_from_rating``, the others ``include_in_rating``. An owner whose
+    customer or tax id is NULL equals no other and gets no seed.
     """
     owner = ["entityid", "cdicode", "afm"]
     base = share_capital_base(statements_in_scope(source, cfg, scope, CAPITAL))
     first = base.groupBy(*owner).agg(F.min("statementyear").alias("first_year"))
     known = _known_statements(source, cfg, scope).alias("k")
-    same_owner = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in owner]
+    same_owner = [F.col(f"k.{c}") == F.col(f"f.{c}") for c in owner]
     before = F.col("k.statementyear") == F.col("f.first_year") - 1
     seeds = distinct_on(
         known.join(first.alias("f"), [*same_owner, before]).select("k.*"), owner,

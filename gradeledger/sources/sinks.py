@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,45 +17,106 @@ AUDIT_SCHEMA = (
 )
 
 
-def _partition(path: str, ref_date: date) -> str:
-    return f"{path}/ref_date={ref_date.isoformat()}"
-
-
-def write_report(df: DataFrame, path: str, ref_date: date) -> int:
+# Folder of the runs below a report, and the file that names the current run of each date.
+_RUNS, _CURRENT = "_runs", "_current"
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and a maker of its paths."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _publish(spark: SparkSession, path: str, ref_date: date, run: str) -> None:
+    """Points a date to a finished run: one small file, replaced by a rename."""
+    fs, make = _files(spark, path)
+    target = make(f"{path}/{_CURRENT}/{ref_date.isoformat()}")
+    new = make(f"{path}/{_CURRENT}/.{run}")
+    out = fs.create(new, True)
+    out.write(bytearray(run.encode()))
+    out.close()
+    old = make(f"{path}/{_CURRENT}/.{run}-old")
+    replaces = fs.exists(target)
+    if replaces and not fs.rename(target, old):
+        raise OSError(f"cannot set the pointer aside: {target}")
+    if not fs.rename(new, target):
+        if replaces:
+            fs.rename(old, target)
+        raise OSError(f"cannot publish run {run} of {ref_date}")
+    if replaces:
+        fs.delete(old, False)
+
+
+def _current(spark: SparkSession, path: str) -> dict[date, str]:
+    """The published run of each date. A pointer that a crash left aside still counts."""
+    fs, make = _files(spark, path)
+    folder = make(f"{path}/{_CURRENT}")
+    if not fs.exists(folder):
+        return {}
+    found = {}
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith("."):
+            found[date.fromisoformat(name)] = spark.read.text(status.getPath().toString()).first()[0]
+    return found
+
+
+def write_report(df: DataFrame, path: str, ref_date: date, view: str | None = None) -> int:
     """Replace the snapshot of one reference date; returns its row count.
 
-    The report is computed into a staging folder first, so a failing build leaves
-    the old snapshot as it was; only then is the finished, report-sized result
-    copied over the one partition. Other dates are not touched, and an empty report
-    replaces a full one.
+    Each run writes a folder of its own, so no reader and no other run of the date meets
+    half-written files. Only when it is complete does the date's pointer change, by a
+    rename: a failure before leaves the old snapshot as it was. Other dates are not
+    touched, and an empty report replaces a full one. Runs that are no longer named stay
+    until ``drop_old_runs``, for readers that still hold them. With ``view``, the view of
+    that name shows the new state.
     """
-    spark = df.sparkSession
-    staged = _partition(f"{path}/_staged", ref_date)
-    df.write.mode("overwrite").parquet(staged)
-    finished = spark.read.schema(df.schema).parquet(staged)
-    finished.write.mode("overwrite").parquet(_partition(path, ref_date))
-    return finished.count()
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    folder = f"{path}/{_RUNS}/{run}"
+    df.write.parquet(folder)
+    count = spark.read.schema(df.schema).parquet(folder).count()
+    _publish(spark, path, ref_date, run)
+    if view is not None:
+        register_view(spark, path, view)
+    return count
 
 
 def read_report(spark: SparkSession, path: str, ref_date: date | None = None) -> DataFrame:
-    """The snapshot of a reference date, by default the latest one that has rows.
-
-    The latest date is a subquery on the partition column, so other dates are pruned.
-    """
-    if ref_date is not None:
-        return spark.read.parquet(_partition(path, ref_date))
-    history = spark.read.parquet(path)
-    latest = history.agg(F.max("ref_date")).scalar()
-    return history.where(F.col("ref_date") == latest).drop("ref_date")
+    """The snapshot of a reference date, by default the latest one written, empty or not."""
+    runs = _current(spark, path)
+    if not runs:
+        raise FileNotFoundError(f"no snapshot below {path}")
+    return spark.read.parquet(f"{path}/{_RUNS}/{runs[ref_date or max(runs)]}")
 
 
 def register_view(
     spark: SparkSession, path: str, name: str, ref_date: date | None = None
 ) -> DataFrame:
-    """Expose the snapshot under a view name."""
-    df = read_report(spark, path, ref_date)
-    df.createOrReplaceTempView(name)
-    return df
+    """Expose the snapshot under a view name.
+
+    The files of a run never change, so the view stays readable whatever is written later;
+    a job that is given the view's name registers it anew when it publishes.
+    """
+    read_report(spark, path, ref_date).createOrReplaceTempView(name)
+    return spark.table(name)
+
+
+def drop_old_runs(spark: SparkSession, path: str) -> int:
+    """Delete the runs that no date points to; returns how many. For quiet times: a reader of
+    such a run, or a job that is about to publish one, would lose it."""
+    fs, make = _files(spark, path)
+    named, folder = set(_current(spark, path).values()), make(f"{path}/{_RUNS}")
+    old = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName() not in named]
+    return sum(bool(fs.delete(p, True)) for p in old)
+
+
+def export_report(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Write a report in presentation order: files in the order of the keys, each sorted.
+
+    Range partitioning orders the files without one task that sees everything.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def job_id(now: datetime) -> str:

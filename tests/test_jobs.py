@@ -6,9 +6,10 @@ from datetime import date, datetime
 
 import pytest
 
-from gradeledger.plans import run_report_p, run_report_r
+from gradeledger.plans import jobs, run_report_p, run_report_r
 from gradeledger.plans.position import report_p
-from gradeledger.sources import read_report, register_view, write_report
+from gradeledger.plans.risk import report_r
+from gradeledger.sources import read_report, register_view, sinks, write_report
 from helpers import CFG, MemorySource, entity, rating, statement
 
 DAY = CFG.ref_date
@@ -62,6 +63,63 @@ def test_persisted_results_are_released(spark, tmp_path):
     assert cached().size() == before
 
 
+def test_view_survives_reruns(spark, tmp_path):
+    """The same date again, a later date, and a later empty run, all after registering."""
+    out, source = str(tmp_path), world(spark)
+    assert run_report_p(spark, source, DAY, out, view="live_p")
+    shown = register_view(spark, f"{out}/report_p", "before")
+    assert run_report_p(spark, source, DAY, out, view="live_p")
+    assert shown.count() == spark.table("live_p").count() == 1
+    later = date(2024, 9, 29)
+    assert run_report_p(spark, source, later, out, view="live_p")
+    files = set(read_report(spark, f"{out}/report_p", later).inputFiles())
+    assert files and set(spark.table("live_p").inputFiles()) == files
+    assert run_report_p(spark, MemorySource(spark), date(2025, 9, 29), out, view="live_p")
+    assert spark.table("live_p").count() == 0
+    assert read_report(spark, f"{out}/report_p", DAY).count() == 1
+
+
+def test_failed_publishing_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    out = f"{tmp_path}/r"
+    write_report(spark.createDataFrame([("1", "old")], "cdi string, v string"), out, DAY)
+
+    def fails(*args):
+        raise OSError("no rename today")
+
+    monkeypatch.setattr(sinks, "_publish", fails)
+    with pytest.raises(OSError, match="no rename"):
+        write_report(spark.createDataFrame([("1", "new")], "cdi string, v string"), out, DAY)
+    monkeypatch.undo()
+    assert [r.v for r in read_report(spark, out, DAY).collect()] == ["old"]
+    assert sinks.drop_old_runs(spark, out) == 1
+    assert [r.v for r in read_report(spark, out, DAY).collect()] == ["old"]
+
+
+def test_log_that_cannot_be_written_does_not_raise(spark, tmp_path, monkeypatch):
+    def fails(*args):
+        raise OSError("log is full")
+
+    monkeypatch.setattr(jobs, "append_audit", fails)
+    assert run_report_p(spark, world(spark), DAY, str(tmp_path)) is False
+    assert read_report(spark, f"{tmp_path}/report_p", DAY).count() == 1
+
+
+def test_export_is_ordered(spark, tmp_path):
+    rows = spark.range(500).selectExpr("cast(pmod(id * 37, 501) as int) as k", "id")
+    sinks.export_report(rows.repartition(5), f"{tmp_path}/e", ["k"])
+    files = sorted((tmp_path / "e").glob("part-*"))
+    keys = [r.k for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert keys == sorted(keys) and len(keys) == 500
+
+
+def test_reports_leave_nothing_cached(spark):
+    cached = spark.sparkContext._jsc.getPersistentRDDs
+    before = cached().size()
+    report_p(world(spark), CFG).collect()
+    report_r(world(spark), CFG).collect()
+    assert cached().size() == before
+
+
 def test_failed_run_keeps_the_old_snapshot(spark, tmp_path):
     out, source = str(tmp_path), world(spark)
     assert run_report_p(spark, source, DAY, out)

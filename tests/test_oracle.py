@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from gradeledger.checks.compare import differences, star_schema
+from compare import differences, star_schema
 from gradeledger.checks.registry import CHECKS
 
 SF = "/root/testdata/sf0.001"
