@@ -44,9 +44,9 @@ GROUPS = 8
 #: The low part of a set, as a multiple of the shortest prefix.
 LOW_PART = 1.5
 #: Rounds with one pivot per signature, at most.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 #: Pairs left per row at which the rest is compared in full.
-FEW_PAIRS = 1000
+FEW_PAIRS = 50
 #: Rounds in which only one pair of each component is verified.
 SPANNING_ROUNDS = 1
 #: Words of 64 bits in a set's bit map.
@@ -260,7 +260,8 @@ class _Verifier:
 
         pairs = self._met(pairs.select("a", "b"), self.maps, "n", "bits").select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
         pairs = stored(pairs.mapInArrow(work, "a long, b long, differ long"), "likely")
-        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "ends")
+        first, second = (pairs.select(F.col(c).alias("nid")).distinct() for c in ("a", "b"))
+        ends = stored(first.unionByName(second).distinct(), "ends")
         wanted = stored(join_small(self.ids, ends, ["nid"], "left_semi", spread=F.col("n"), limit=BROADCAST_IDS), "wanted")
         self.sets = stored(_tokens_again(self.docs, wanted, self.width), "exact")
         return pairs
