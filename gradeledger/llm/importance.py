@@ -3,11 +3,14 @@
 Two bags of hashed n-grams are counted: the target's from labelled good documents, and the
 raw one from all documents. A document's log weight is the log ratio of their likelihoods.
 Keys are log weights plus Gumbel noise; the k documents with the largest keys are a sample
-without replacement in proportion to the weights (Gumbel top-k).
+without replacement in proportion to the weights (Gumbel top-k). For the keys, log weights
+are tempered to texts of ``GRAMS`` grams: otherwise a long clean text with a rate just below
+zero would lose to a short bad one.
 
 k is the number of documents that look like the target: those whose log weight per gram
-reaches what all but ``MISS`` of the labelled good documents reach. So k follows the data,
-and a table of good documents alone loses next to nothing.
+reaches what all but ``MISS`` of the labelled good documents reach that were left out of the
+target model (every other one, by a hash). So k follows the data, and a table of good
+documents alone loses next to nothing.
 """
 
 from __future__ import annotations
@@ -27,13 +30,16 @@ from gradeledger.llm.store import stored
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 14
-#: Labelled good documents of which the target model is made, at most: those least by hash.
+#: Labelled good documents that are used, at most: those least by hash. Half make the target
+#: model, the others set the bar.
 TARGET_DOCS = 20_000
 #: Share of the labelled good documents that may fall below the bar.
 MISS = 0.002
 #: Added to every bucket's share, as a part of an even share.
 SMOOTH = 0.05
 SEED = 10
+#: Length of text that log weights are tempered to in the keys.
+GRAMS = 300
 #: Tokens whose hashes a worker remembers at most.
 REMEMBERED = 120_000
 
@@ -129,7 +135,7 @@ def weighed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("noise", _noise(seed))
     rows = rows.mapInArrow(work, "doc_id long, n_grams long, log_weight double, noise double")
-    return rows.withColumn("key", F.col("log_weight") + F.col("noise")).drop("noise")
+    return rows.withColumn("key", F.lit(GRAMS) * F.col("log_weight") / F.greatest("n_grams", F.lit(1)) + F.col("noise")).drop("noise")
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
@@ -172,11 +178,13 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
 
 def _threshold(docs: DataFrame, labels: DataFrame, seed: int) -> tuple[DataFrame, np.ndarray, float]:
     """Weighed documents, the log ratios, and the least key that is kept."""
-    good = stored(good_ids(labels.select(F.col("doc_id").cast("long"), "quality")), "good")
-    ratios = log_ratios(docs, docs.join(F.broadcast(good), "doc_id", "left_semi"))
+    half = (F.xxhash64(F.lit(seed), "doc_id") % 2 == 0).alias("model")
+    good = stored(good_ids(labels.select(F.col("doc_id").cast("long"), "quality")).select("doc_id", half), "good")
+    ratios = log_ratios(docs, docs.join(F.broadcast(good.where("model")), "doc_id", "left_semi"))
     rows = stored(weighed(docs, ratios, seed), "weighed")
     per_gram = F.col("log_weight") / F.col("n_grams")
-    known = rows.where("n_grams > 0").join(F.broadcast(good), "doc_id", "left_semi").select(per_gram.alias("x"))
+    known = rows.where("n_grams > 0").join(F.broadcast(good.where("not model")), "doc_id", "left_semi")
+    known = known.select(per_gram.alias("x"))
     known = stored(known, "known")
     n = known.count()
     bar = kth_largest(known, "x", n - int(MISS * n)) if n else -math.inf
@@ -195,7 +203,7 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
         own, bar = table.value
         for batch in batches:
             grams = [gram_buckets(raw) for raw in raw_texts(batch, "_text")]
-            keys = np.array([own[g].sum() for g in grams]) + batch.column("_noise").to_numpy()
+            keys = np.array([GRAMS * float(own[g].sum()) / max(len(g), 1) for g in grams]) + batch.column("_noise").to_numpy()
             kept = batch.filter(pa.array((np.array([len(g) for g in grams]) > 0) & (keys >= bar)) if grams else pa.array([], pa.bool_()))
             yield kept.drop_columns(["_text", "_noise"])
 
