@@ -157,6 +157,7 @@ def _sign(rows: DataFrame, num: int, den: int) -> DataFrame:
             ids, sizes, sigs = [], [], []
             for nid, n, t, c, f in zip(nids, ns, tokens, counts, frequent, strict=True):
                 own = signatures(int(n), t, f, c, num, den)
+                own = np.unique(own) if own is not None else None
                 sigs += own.tolist() if own is not None else [None]
                 k = 1 if own is None else len(own)
                 ids.append(np.full(k, nid))
@@ -182,10 +183,11 @@ def _frequent_of(tokens: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(nid, n, tokens) of ``nodes``: their whole sets, made again from the texts.
+    """(nid, n, tokens) of ``nodes``: their whole sets, made again from the texts, once each.
 
     A bit table of fixed size, set from the wanted ids, keeps most other texts out of the
-    work; the join on the set's digest is exact.
+    work; the join on the set's digest is exact. Rows that repeat an id and a set are made one
+    before it.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     words = (
@@ -212,7 +214,7 @@ def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             )
 
     made = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("s", slot)
-    made = made.mapInArrow(work, "doc_id long, sid binary, tokens array<long>")
+    made = made.mapInArrow(work, "doc_id long, sid binary, tokens array<long>").dropDuplicates(["doc_id", "sid"])
     return (
         nodes.select("nid", "n", "doc_id", "sid")
         .withColumnRenamed("doc_id", "_id")

@@ -16,7 +16,7 @@ from gradeledger.llm.chat import maximal_conversations
 from gradeledger.llm.components import components
 from gradeledger.llm.fingerprint import Fingerprint, fingerprints
 from gradeledger.llm.importance import classify, keep_sampled, kth_largest
-from gradeledger.llm.jaccard import bit_map, differing_bits, fold, jaccard_components, one_per_group, signatures
+from gradeledger.llm.jaccard import _tokens_again, bit_map, differing_bits, document_sets, fold, jaccard_components, one_per_group, signatures
 from gradeledger.llm.licenses import scan
 from gradeledger.llm.lm import score
 from gradeledger.llm.mixing import draws, mix, split_units, targets
@@ -79,6 +79,29 @@ def test_jaccard_join_of_near_copies(spark, monkeypatch):
     assert got == brute_components(rows, 3, 80, 100)
 
 
+@pytest.mark.parametrize("named", [True, False])
+def test_jaccard_join_of_repeated_near_copies(spark, monkeypatch, named):
+    """Near copies whose every row occurs twice, with ids and without."""
+    monkeypatch.setattr("gradeledger.llm.jaccard.RARE", 3)
+    rng = np.random.default_rng(7)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(int(rng.integers(40, 160)))]
+        for _ in range(12):
+            own = list(base)
+            for _ in range(int(rng.integers(0, 4))):
+                own[int(rng.integers(0, len(own)))] = f"e{rng.integers(0, 9)}"
+            rows += [(len(rows) // 2 if named or group % 2 else None, " ".join(own))] * 2
+    far = 1 << 40  # stands for null, which is no one's smallest id
+    want = brute_components([(far if i is None else i, t) for i, t in rows], 3, 80, 100)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard_components(frame, 3, 80, 100).na.fill(far).collect()
+    assert sorted(tuple(r) for r in got) == want
+    nodes = spark.createDataFrame([(0, 4, *rows[-1])], "nid long, n long, doc_id long, text string")
+    sid = document_sets(frame.where(F.col("doc_id") == rows[-1][0]), 3, 80, 100).select("doc_id", "sid").distinct()
+    assert _tokens_again(frame, nodes.join(sid, "doc_id"), 3).count() == 1
+
+
 def test_one_per_group(odd, no_docs):
     kept = one_per_group(odd)
     assert kept.columns == odd.columns
