@@ -121,21 +121,34 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     return -float((logs * weight.ravel()).sum()), grads, states[-1]
 
 
-def train(p: dict[str, np.ndarray], samples: np.ndarray, lengths: np.ndarray, rate: float, rows: int = 64) -> dict[str, np.ndarray]:
-    """One pass of Adam over samples (n, 1 + steps): the symbol before, then the symbols."""
+def train(p: dict[str, np.ndarray], runs: list[np.ndarray], skips: np.ndarray, rate: float, rows: int = 64) -> dict[str, np.ndarray]:
+    """One pass of Adam over all runs: the symbol before, then the symbols, of which the first
+    ``skips`` only warm the state up. The state is carried through the whole run.
+
+    Runs of like lengths go together; the order of these batches is shuffled.
+    """
     p = {k: v.copy() for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    order = sorted(range(len(runs)), key=lambda i: -len(runs[i]))
+    starts = np.random.default_rng(len(runs)).permutation(np.arange(0, len(runs), rows))
     step = 0
-    for i in range(0, len(samples), rows):
-        own, n = samples[i : i + rows].T, lengths[i : i + rows]
-        h = np.zeros((own.shape[1], HIDDEN), np.float32)
-        for at in range(0, len(own) - 1, WINDOW):
-            end = min(at + WINDOW, len(own) - 1)
-            weight = (np.arange(at, end)[:, None] < n[None, :]).astype(np.float32)
+    for i in starts:
+        own = order[i : i + rows]
+        n = np.array([len(runs[j]) - 1 for j in own])
+        symbols = np.zeros((max(int(n[0]), 0) + 1, len(own)), np.int64)
+        for c, j in enumerate(own):
+            symbols[: len(runs[j]), c] = runs[j]
+        h = np.zeros((len(own), HIDDEN), np.float32)
+        for at in range(0, int(n[0]), WINDOW):
+            live = int((n > at).sum())  # lengths descend
+            end = min(at + WINDOW, int(n[0]))
+            steps = np.arange(at, end)[:, None]
+            weight = ((steps < n[None, :live]) & (steps >= skips[own[:live]][None, :])).astype(np.float32)
             total = weight.sum()
             if not total:
-                break
-            _, grads, h = gradients(p, own[at:end], own[at + 1 : end + 1], weight / total, h)
+                h = run(p, symbols[at:end, :live], h[:live])[-1]
+                continue
+            _, grads, h = gradients(p, symbols[at:end, :live], symbols[at + 1 : end + 1, :live], weight / total, h[:live])
             step += 1
             for k, g in grads.items():
                 np.clip(g, -1, 1, out=g)

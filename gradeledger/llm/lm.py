@@ -7,10 +7,11 @@ classes of their own, the rest share one, the end of a text has one. The class s
 itself factored into groups and members.
 
 1. Words of all training documents are counted (partial counts in tasks, then a shuffle).
-2. From every training document one run of symbols, at a place drawn from the whole text by a
-   hash, trains the network: in each round every partition makes a pass of its own from the
-   same parameters, and the results are averaged, weighted by runs. So training grows with
-   the corpus.
+2. All symbols of all training documents train the network. A text is cut into consecutive
+   runs; the state is carried through a run, and a run that doesn't begin its text is warmed
+   up by the symbols before. In each round every partition makes a pass of its own from the
+   same parameters, and the results are averaged, weighted by symbols. So training grows with
+   the corpus, with the texts' number as with their length.
 3. All documents are scored whole. Counts of the ``HEAD`` most frequent words are at hand in
    every task; the others' counts come by a join on the word's hash, after each task has
    summed a document's repeats.
@@ -38,8 +39,10 @@ HEAD = 1 << 16
 FLUSH = 150_000
 #: Documents worked on at once.
 ROWS = 1_000
-#: Symbols of one training run, runs per partition (about), rounds, and Adam's rate.
-RUN, RUNS, ROUNDS, RATE = 2 * gru.WINDOW, 4_000, 4, 0.02
+#: Symbols of one training run at most, and before it to warm its state up.
+RUN, WARM = 64 * gru.WINDOW, 2 * gru.WINDOW
+#: Runs per partition (about), rounds, and Adam's rate.
+RUNS, ROUNDS, RATE = 4_000, 4, 0.02
 SEED = 6
 #: Bytes of an ending, and what may follow it.
 ENDING, TRAILING = 3, b".,;:!?\"')"
@@ -134,25 +137,32 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
 
 
 def training_runs(train: DataFrame, words: Lexicon) -> DataFrame:
-    """(symbols, n): the symbol before and up to RUN symbols, from a hashed place of each text."""
+    """(symbols, skip): the runs of each text, which together have all its symbols and its end
+    once. ``symbols`` are the symbol before, ``skip`` symbols that warm up, and up to RUN more."""
     shared = train.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        runs: list[np.ndarray] = []
+        skips: list[int] = []
+
+        def flush() -> pa.RecordBatch:
+            made = [list_column(runs, np.int16), pa.array(skips, pa.int32())]
+            runs.clear()
+            skips.clear()
+            return pa.RecordBatch.from_arrays(made, ["symbols", "skip"])
+
         for batch in _slices(batches):
-            runs, lengths = [], []
-            for raw, at in zip(raw_texts(batch, "text"), batch.column("at").to_pylist(), strict=True):
-                found = tokens(raw)
-                start = at % max(len(found) + 1 - RUN // 2, 1)
-                part = found[max(start - 1, 0) : start + RUN]
-                symbols = [own.symbol(w) for w in part]
-                symbols = (symbols if start else [gru.SYMBOLS, *symbols]) + ([END] if start + RUN > len(found) else [])
-                lengths.append(min(len(symbols) - 1, RUN))
-                runs.append(np.array((symbols + [END] * RUN)[: RUN + 1], np.int16))
-            yield pa.RecordBatch.from_arrays([list_column(runs, np.int16), pa.array(lengths, pa.int32())], ["symbols", "n"])
+            for raw in raw_texts(batch, "text"):
+                symbols = np.concatenate([[gru.SYMBOLS], own.read(tokens(raw))[0]]).astype(np.int16)
+                for at in range(1, len(symbols), RUN):
+                    skips.append(min(at - 1, WARM))
+                    runs.append(symbols[at - 1 - skips[-1] : at + RUN])
+                    if len(runs) >= ROWS:
+                        yield flush()
+        yield flush()
 
-    place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 40)).alias("at")
-    return train.select("text", place).mapInArrow(work, "symbols array<short>, n int")
+    return train.select("text").mapInArrow(work, "symbols array<short>, skip int")
 
 
 def train_network(runs: DataFrame, frequencies: np.ndarray) -> dict[str, np.ndarray]:
@@ -169,10 +179,11 @@ def train_network(runs: DataFrame, frequencies: np.ndarray) -> dict[str, np.ndar
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = list(batches)
             if sum(b.num_rows for b in own):
-                samples = np.array([s for b in own for s in list_rows(b, "symbols")], np.int64)
-                lengths = np.concatenate([b.column("n").to_numpy() for b in own])
-                flat = gru.pack(gru.train(shared.value, samples, lengths, RATE)) * len(samples)
-                made = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), len(samples)))]
+                samples = [s for b in own for s in list_rows(b, "symbols")]
+                skips = np.concatenate([b.column("skip").to_numpy() for b in own])
+                learnt = sum(map(len, samples)) - len(samples) - int(skips.sum())
+                flat = gru.pack(gru.train(shared.value, samples, skips, RATE)) * learnt
+                made = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), learnt))]
                 yield pa.RecordBatch.from_arrays(made, ["i", "sum", "w"])
 
         mixed = dealt.mapInArrow(work, "i long, sum double, w long").groupBy("i").agg((F.sum("sum") / F.sum("w")).alias("v"))

@@ -18,7 +18,7 @@ from gradeledger.llm.fingerprint import Fingerprint, fingerprints
 from gradeledger.llm.importance import classify, keep_sampled, kth_largest
 from gradeledger.llm.jaccard import _tokens_again, bit_map, differing_bits, document_sets, fold, jaccard_components, one_per_group, signatures
 from gradeledger.llm.licenses import scan
-from gradeledger.llm.lm import score
+from gradeledger.llm.lm import RUN, WARM, lexicon, score, training_runs, word_counts
 from gradeledger.llm.mixing import draws, mix, split_units, targets
 from gradeledger.llm.rules import host_verdicts, judge, keep_good
 from gradeledger.llm.store import join_small
@@ -243,6 +243,33 @@ def test_lm_scores(odd, no_docs):
         assert r.score < 0
 
 
+def test_lm_trains_on_every_token(odd):
+    """Each text's symbols and its end come once, in order, besides those that warm up."""
+    counts = word_counts(odd)
+    own, frequencies = lexicon(counts)
+    want = Counter(tuple(own.read(words(r.text))[0].tolist()) for r in odd.collect())
+    got = Counter()
+    runs = [(r.symbols, r.skip) for r in training_runs(odd.coalesce(1), own).collect()]
+    text: list = []
+    for symbols, skip in runs:
+        assert symbols[0] == gru.SYMBOLS or text[len(text) - skip :] == symbols[1 : 1 + skip] and skip == WARM
+        text += symbols[1 + skip :]
+        if text[-1] == gru.SYMBOLS - 1:
+            got[tuple(text)] += 1
+            text = []
+    assert got == want and not text and len(runs) > 2 * 30_000 // RUN
+    assert sum(len(s) - 1 - k for s, k in runs) == frequencies.sum()
+
+
+def test_gru_learns_past_the_first_windows():
+    """What comes only far into a run is learnt, unless it is there to warm up."""
+    text = np.concatenate([[gru.SYMBOLS], np.tile([3, 4], 30), np.tile([50, 60], 900)])
+    p = gru.initial(np.ones(gru.SYMBOLS), 1)
+    tail = lambda q: float(np.subtract(*gru.document_scores(q, [text[1:], text[1:1001]])))
+    learnt, none = (gru.train(p, [text] * 3 + [text[:9]], np.full(4, k), 0.02) for k in (0, len(text)))
+    assert tail(learnt) > tail(p) + 1000 and tail(none) == tail(p)
+
+
 def test_gru_gradients_and_windows():
     rng = np.random.default_rng(4)
     p = {k: v.astype(np.float64) for k, v in gru.initial(np.ones(gru.SYMBOLS), 1).items()}
