@@ -6,8 +6,12 @@ a sum over common words only. A line can't reach the threshold by the frequent w
 template alone (their share of its length bounds the cosine), so only lines with one of the
 other words, the anchors, are scored; none that would reach it is missed.
 
-A document whose scored lines hold half of its words or more is a license file and speaks for
-its directory. Documents without a license of their own take that of the nearest directory
+Whole documents are held against the full license texts in ``license_texts/`` in the same way;
+only those with enough of a text's words to reach FILE_THRESHOLD are scored. A document that
+reaches it has the text's license, whatever its lines say.
+
+Such a document, or one whose scored lines hold half of its words or more, is a license file
+and speaks for its directory. Documents without a license of their own take that of the nearest directory
 above that has one, found by joining directories, not documents, with their ancestors.
 """
 
@@ -15,6 +19,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +29,8 @@ from gradeledger.llm.store import join_small, stored
 
 #: Least cosine of a line to a template.
 THRESHOLD = 0.6
+#: Least cosine of a whole document to a full license text, where common words weigh more.
+FILE_THRESHOLD = 0.85
 #: Words: letters and digits, with dots or hyphens inside.
 WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 # Names of licenses and the header phrases that grant them.
@@ -54,6 +62,12 @@ def template_words() -> list[tuple[int, str, int]]:
     return out
 
 
+def full_texts() -> list[tuple[str, Counter[str]]]:
+    """(license, its text's words with their counts)."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return [(f.stem, Counter(re.findall(WORD, f.read_text("utf-8").lower()))) for f in files]
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
@@ -65,13 +79,56 @@ def _table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFram
 
 
 def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those with each word of the templates: a row per word."""
-    vocabulary = sorted({w for _, w, _ in template_words()})
-    own = F.array_intersect(_words(F.coalesce(F.col("text"), F.lit(""))), F.array(*map(F.lit, vocabulary)))
-    counted = docs.select(F.explode(own).alias("word")).groupBy("word").count().collect()
+    """Number of documents, and of those with each word of the templates and texts: a row per word."""
+    vocabulary = {w for _, w, _ in template_words()}.union(*(words for _, words in full_texts()))
+    rows = docs.select(F.explode(F.array_distinct(_words(F.coalesce(F.col("text"), F.lit(""))))).alias("word"))
+    counted = rows.join(F.broadcast(_vocabulary(docs.sparkSession, vocabulary)), "word").groupBy("word").count().collect()
     return docs.count(), {r["word"]: r["count"] for r in counted}
 
 
+def _array(words: set[str]) -> Column:
+    """A literal array; words have no spaces."""
+    return F.split(F.lit(" ".join(sorted(words))), " ")
+
+
+def _vocabulary(spark: SparkSession, words: set[str]) -> DataFrame:
+    return spark.range(1).select(F.explode(_array(words)).alias("word"))
+
+
+def whole_files(rows: DataFrame, n: int, found: dict[str, int]) -> DataFrame:
+    """(key, file_license, file_score) of the documents that reach a full license text.
+
+    The cosine is at most the share of the text's length that its words in the document make
+    up, so a document needs as many of them as the longest ones that make up FILE_THRESHOLD.
+    """
+    idf = lambda w: math.log((1 + n) / (1 + found.get(w, 0))) + 1
+    words = _words(F.coalesce("text", F.lit("")))
+    vectors, enough, known = [], F.lit(False), set()
+    for i, (_, counts) in enumerate(full_texts()):
+        own = {w: c * idf(w) for w, c in counts.items()}
+        norm = math.sqrt(sum(v * v for v in own.values()))
+        vectors += [(i, w, v / norm) for w, v in own.items()]
+        known |= set(own)
+        least, share = 0, 0.0
+        for v in sorted(own.values(), reverse=True):
+            if share >= (FILE_THRESHOLD - 1e-9) ** 2:
+                break
+            least, share = least + 1, share + (v / norm) ** 2
+        enough = enough | ((F.size("words") >= least) & (F.size(F.array_intersect("words", _array(set(own)))) >= least))
+    likely = rows.select("key", words.alias("words")).where(enough).dropDuplicates(["key"])
+    tokens = stored(likely.select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("tf")), "files")
+    spark = rows.sparkSession
+    weighed = spark.createDataFrame([(w, idf(w)) for w in sorted(known)], "word string, idf double")
+    texts = spark.createDataFrame(vectors, "text int, word string, weight double")
+    weighed = tokens.join(F.broadcast(weighed), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + n) + 1)))
+    norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighed.join(F.broadcast(texts), "word").groupBy("key", "text").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    scores = dots.join(norms, "key").withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= FILE_THRESHOLD)
+    best = scores.groupBy("key").agg(F.max(F.struct("score", (-F.col("text")).alias("t"))).alias("b"))
+    names = F.array(*(F.lit(name) for name, _ in full_texts()))
+    return stored(best.select("key", F.get(names, -F.col("b.t")).alias("file_license"), F.col("b.score").alias("file_score")), "whole")
+
+
 def weights(n: int, found: dict[str, int]) -> tuple[dict[str, float], list[tuple[int, str, float]], list[str]]:
     """Inverse document frequencies, unit template vectors, and the anchors."""
     idf = {w: math.log((1 + n) / (1 + found.get(w, 0))) + 1 for _, w, _ in template_words()}
@@ -92,8 +149,8 @@ def scan(docs: DataFrame, path: Column) -> DataFrame:
     """One row per document: doc_id, path, license, score, n_license_lines, origin (``own``,
     ``inherited`` or ``none``) and license_dir (the directory that it comes from, if inherited).
 
-    ``path`` has directories separated by ``/``; a null path is at the root. The best line
-    decides, ties by the order of TEMPLATES; of a directory's license files, the best score,
+    ``path`` has directories separated by ``/``; a null path is at the root. A full text
+    decides, else the best line, ties by the order of TEMPLATES; of a directory's license files, the best score,
     then the license's name. Null and empty texts have no license of their own. Repeated rows
     stay; further columns are ignored; an empty table gives no rows.
     """
@@ -126,9 +183,12 @@ def scan(docs: DataFrame, path: Column) -> DataFrame:
 
     narrow = rows.select("doc_id", "path", "key", F.size(_words(F.coalesce("text", F.lit("")))).alias("n_words"))
     narrow = narrow.withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
-    own = join_small(narrow, per_doc, ["key"], spread=F.col("doc_id")).withColumn("license", F.get(names, F.col("template")))
+    own = join_small(narrow, per_doc, ["key"], spread=F.col("doc_id"))
+    own = join_small(own, whole_files(rows, n, found), ["key"], spread=F.col("doc_id"))
+    own = own.withColumn("license", F.coalesce("file_license", F.get(names, F.col("template")))).withColumn("score", F.coalesce("file_score", "score"))
     own = stored(own, "own")
-    files = own.where(F.col("license").isNotNull() & (2 * F.col("license_words") >= F.col("n_words")))
+    whole = F.col("file_license").isNotNull() | (2 * F.col("license_words") >= F.col("n_words"))
+    files = own.where(F.col("license").isNotNull() & whole)
     of_dir = files.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
     of_dir = of_dir.select(F.col("dir").alias("license_dir"), F.col("b.license").alias("dir_license"))
     parts = F.split("dir", "/")

@@ -4,13 +4,14 @@ import math
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from gradeledger.llm import gru
+from gradeledger.llm import gru, licenses
 from gradeledger.llm.bpe import Vocabulary, encode_decode
 from gradeledger.llm.chat import maximal_conversations
 from gradeledger.llm.components import components
@@ -401,3 +402,18 @@ def test_license_scan(spark, odd, no_docs):
         6: ("MIT", "own", None), 7: (None, "none", None), 8: ("Apache-2.0", "inherited", "a"),
     }
     assert scan(no_docs, F.col("source")).count() == 0 and scan(odd, F.col("source")).count() == odd.count()
+
+
+def test_full_license_texts(spark):
+    """Whole license files have their license and speak for their directory, wrapped anyhow."""
+    folder = Path(licenses.__file__).parent / "license_texts"
+    rows, want = [], {}
+    for i, file in enumerate(sorted(folder.glob("*.txt"))):
+        text = f"Copyright (c) 2020 Someone Else\n\n{file.read_text('utf-8')}"
+        text = " ".join(text.split()) if i % 2 else text.replace("\n", "\r\n")
+        rows += [(10 * i, f"{file.stem}/LICENSE", text), (10 * i + 1, f"{file.stem}/src/x", "nothing here " * 20), (10 * i, f"{file.stem}/LICENSE", text)]
+        want |= {10 * i: (file.stem, "own", None), 10 * i + 1: (file.stem, "inherited", file.stem)}
+    rows += [(900, "o/essay", "the license and the software of this work " * 80), (901, "o/x", "nothing")]
+    want |= {900: (None, "none", None), 901: (None, "none", None)}
+    got = scan(spark.createDataFrame(rows, "doc_id long, p string, text string"), F.col("p")).collect()
+    assert {r.doc_id: (r.license, r.origin, r.license_dir) for r in got} == want and len(got) == len(rows)
