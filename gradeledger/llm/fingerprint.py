@@ -6,7 +6,7 @@ of two. Order doesn't matter, and a paragraph is inserted or deleted by adding o
 its vector. The vector has two parts:
 
 * ``LANES`` places modulo 2**64 from SHAKE-128 of the paragraph: equality of multisets;
-* ``PLACES`` places modulo 2**16: the paragraph's 8-byte windows and its digest each add 1 or
+* ``PLACES`` places modulo 2**32: the paragraph's 8-byte windows and its digest each add 1 or
   -1 to one place. Read as signed numbers, the sums estimate inner products of the texts'
   window counts, so fingerprints of alike texts are alike.
 """
@@ -28,7 +28,7 @@ from gradeledger.llm.arrow import mix
 LANES = 32
 PLACES = 256
 WINDOW = 8
-WIDTH = 8 * LANES + 2 * PLACES
+WIDTH = 8 * LANES + 4 * PLACES
 #: Documents in a bucket of neighbours, about.
 BUCKET = 2_000
 #: Buckets at most; beyond, buckets grow.
@@ -63,7 +63,7 @@ class Fingerprint:
             at = (h >> np.uint64(40)) % np.uint64(PLACES)
             up = (h >> np.uint64(20)) & np.uint64(1)
             places += np.bincount(at.astype(np.int64) * 2 + up.astype(np.int64), minlength=2 * PLACES).reshape(-1, 2) @ [-1, 1]
-        return cls(vectors.sum(axis=0, dtype=np.uint64), places.astype(np.uint16))
+        return cls(vectors.sum(axis=0, dtype=np.uint64), places.astype(np.uint32))
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.lanes + other.lanes, self.places + other.places)
@@ -78,7 +78,7 @@ class Fingerprint:
         return hash(self.data())
 
     def data(self) -> bytes:
-        return self.lanes.astype("<u8").tobytes() + self.places.astype("<u2").tobytes()
+        return self.lanes.astype("<u8").tobytes() + self.places.astype("<u4").tobytes()
 
     def text(self) -> str:
         return base64.b64encode(self.data()).decode()
@@ -86,13 +86,13 @@ class Fingerprint:
     @classmethod
     def read(cls, text: str) -> Fingerprint:
         data = base64.b64decode(text)
-        return cls(np.frombuffer(data[: 8 * LANES], "<u8").copy(), np.frombuffer(data[8 * LANES :], "<u2").copy())
+        return cls(np.frombuffer(data[: 8 * LANES], "<u8").copy(), np.frombuffer(data[8 * LANES :], "<u4").copy())
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal fingerprints; else 2 x.y / (x.x + y.y) of the signed places, within 0 and 1."""
         if np.array_equal(self.lanes, other.lanes):
             return 1.0
-        x, y = self.places.astype(np.int16).astype(float), other.places.astype(np.int16).astype(float)
+        x, y = self.places.astype(np.int32).astype(float), other.places.astype(np.int32).astype(float)
         square = float(x @ x + y @ y)
         return min(max(2 * float(x @ y) / square, 0.0), 1.0) if square else 0.0
 

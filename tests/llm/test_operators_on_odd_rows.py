@@ -195,6 +195,14 @@ def test_fingerprint_is_homomorphic():
     assert Fingerprint.read(Fingerprint.of(a).text()) == Fingerprint.of(a)
 
 
+def test_fingerprints_of_much_repeated_paragraphs():
+    """A place that adds up beyond 16 bits doesn't wrap."""
+    few, many = (Fingerprint.of(b"one paragraph\n" * k) for k in (33_000, 65_000))
+    x, y = 33_000, 65_000  # both are multiples of one vector, but for the empty paragraph
+    assert abs(few.likeness(many) - 2 * x * y / (x * x + y * y)) < 1e-3
+    assert Fingerprint.read(many.text()) == many and many - few == Fingerprint.of(b"one paragraph\n" * 31_999 + b"one paragraph")
+
+
 def test_mixing(odd, no_docs):
     got = draws(odd).collect()
     assert len(got) == odd.count() and draws(no_docs).count() == 0 and mix(no_docs).count() == 0
