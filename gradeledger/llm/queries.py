@@ -21,6 +21,7 @@ from gradeledger.llm.jaccard import jaccard_components
 from gradeledger.llm.licenses import TEMPLATES, THRESHOLD, WORD, scan, template_words
 from gradeledger.llm.lm import score
 from gradeledger.llm.mixing import draws
+from gradeledger.llm.records import token_records
 from gradeledger.llm.rules import judge
 from gradeledger.llm.warc import round_trip
 
@@ -93,6 +94,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 _WORDS = r"regexp_extract_all(lower_text, '[^\x20\x09-\x0D]+')"
 
 OP4_SQL = f"""
@@ -265,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "op5_source_mixing": op5_source_mixing,
     "op8_bpe_encoding": op8_bpe_encoding,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_token_records": op11_token_records,
 }
 
 ORACLES: dict[str, str] = {
