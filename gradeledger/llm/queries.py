@@ -23,6 +23,7 @@ from gradeledger.llm.lm import score
 from gradeledger.llm.mixing import draws
 from gradeledger.llm.records import token_records
 from gradeledger.llm.rules import judge
+from gradeledger.llm.search import search
 from gradeledger.llm.warc import round_trip
 
 #: The vocabulary file of the BPE query.
@@ -98,6 +99,10 @@ def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 _WORDS = r"regexp_extract_all(lower_text, '[^\x20\x09-\x0D]+')"
 
 OP4_SQL = f"""
@@ -205,6 +210,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d JOIN f USING (payload_digest)
 """
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12_SQL = f"""
+WITH q AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), d AS (
+    SELECT doc_id, {_TERMS} AS w FROM documents
+), n AS (
+    SELECT doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0
+), s AS (
+    SELECT count(*) AS total, sum(n)::BIGINT AS length FROM n
+), tf AS (
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+    SELECT term, floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s
+), m AS (
+    SELECT doc_id, 100 - 90 + (90 * n * total) // length AS m FROM n, s
+), sc AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM sc WHERE score > 0 QUALIFY rank <= 10
+"""
+
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{w}', {c})" for i, w, c in template_words())
 _NAME_ROWS = ", ".join(f"({i}, '{name}')" for i, (name, _) in enumerate(TEMPLATES))
 
@@ -271,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_encoding": op8_bpe_encoding,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_token_records": op11_token_records,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -279,6 +310,7 @@ ORACLES: dict[str, str] = {
     "op9_warc": OP9_SQL,
     "op2_quality_rules": OP2_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
+    "op12_ranked_search": OP12_SQL,
 }
 
 
