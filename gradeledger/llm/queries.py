@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeledger.llm.align import aligned
 from gradeledger.llm.bpe import encode_decode
 from gradeledger.llm.chat import BLOCK, END, START, maximal_conversations
 from gradeledger.llm.fingerprint import fingerprints
@@ -26,8 +27,10 @@ from gradeledger.llm.rules import judge
 from gradeledger.llm.search import search
 from gradeledger.llm.warc import round_trip
 
-#: The vocabulary file of the BPE query.
+#: The vocabulary file of the queries that encode.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: The two vocabularies of the alignment query.
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ROOT = Path(__file__).resolve().parents[2]
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +106,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
 _WORDS = r"regexp_extract_all(lower_text, '[^\x20\x09-\x0D]+')"
 
 OP4_SQL = f"""
@@ -302,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_token_records": op11_token_records,
     "op12_ranked_search": op12_ranked_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {

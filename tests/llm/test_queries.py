@@ -26,7 +26,7 @@ def test_equals_oracle(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
