@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeledger.checks.derived import CONFIG, DerivedSource
@@ -32,11 +32,13 @@ from gradeledger.plans import matched, position, risk, variants
 from gradeledger.plans.jobs import run_report_p, run_report_r
 from gradeledger.plans.matched import union_all
 from gradeledger.sources.sinks import (
-    AUDIT_SCHEMA,
     append_audit,
     audit_record,
+    export_report,
+    read_audit,
     read_report,
     register_view,
+    write_report,
 )
 from gradeledger.sources.tables import (
     METRICS,
@@ -563,11 +565,36 @@ def _job_p(source: ReportSource) -> str:
 
 
 def _rerun_view(source: ReportSource) -> DataFrame:
-    """The view that was registered before the job ran again for the same date."""
-    out = _job_p(source)
-    shown = register_view(source.spark, f"{out}/report_p", "report_p_view")
-    _must(run_report_p(source.spark, source, CONFIG.ref_date, out, CONFIG, view="report_p_view"))
-    return shown
+    """A view registered over another report's rows, once the job ran without its name."""
+    out, name = _out(source.spark), f"report_p_view_{uuid.uuid4().hex}"
+    other = position.report_p(source, NO_PORTFOLIO).limit(5)
+    write_report(other, f"{out}/report_p", CONFIG.ref_date)
+    register_view(source.spark, f"{out}/report_p", name)
+    _must(run_report_p(source.spark, source, CONFIG.ref_date, out, CONFIG))
+    return source.spark.table(name)
+
+
+def _job_r(source: ReportSource) -> DataFrame:
+    """What the job wrote for report R."""
+    out = _out(source.spark)
+    _must(run_report_r(source.spark, source, CONFIG.ref_date, out, CONFIG))
+    return read_report(source.spark, f"{out}/report_r", CONFIG.ref_date)
+
+
+def _export(source: ReportSource) -> DataFrame:
+    """Report P exported in presentation order and read back: each row with its place, from the
+    files' order and the rows' within their file."""
+    folder = f"{_out(source.spark)}/export"
+    export_report(position.report_p(source, CONFIG), folder, PRESENTED)
+    file = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("int")
+    rows = source.spark.read.parquet(folder).withColumns({
+        "file": file, "row": F.expr("_metadata.row_index"),
+    })
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select(
+        "file", F.coalesce(before, F.lit(0)).alias("before")
+    )
+    return rows.join(sizes, "file").withColumn("place", F.col("before") + F.col("row") + 1)
 
 
 def _audit(source: ReportSource) -> DataFrame:
@@ -575,8 +602,7 @@ def _audit(source: ReportSource) -> DataFrame:
     spark, when = source.spark, datetime(2000, 9, 29)
     _must(run_report_r(spark, source, CONFIG.ref_date, out, CONFIG, lambda: when))
     append_audit(spark, f"{out}/etl_log", audit_record("check", "report_r", 0, "appended", when))
-    record = F.from_json("payload", AUDIT_SCHEMA).alias("record")
-    log = spark.read.parquet(f"{out}/etl_log").select(record).select("record.*")
+    log = read_audit(spark, f"{out}/report_r", f"{out}/etl_log")
     return log.withColumn("n_written", F.lit(read_report(spark, f"{out}/report_r").count()))
 
 
@@ -588,6 +614,15 @@ check(
     "report_view", P_COLUMNS, "report_p",
     _rerun_view,
 )
+check("report_r_roundtrip", R_COLUMNS, "report_r", _job_r)
+# The presentation order; text columns that tell rows of one year apart come last.
+PRESENTED = words("entityid cdi afm fiscalyear")
+check(
+    "report_p_export", ("place", *PRESENTED),
+    "SELECT row_number() OVER (ORDER BY entityid NULLS FIRST, cdi NULLS FIRST, afm NULLS FIRST, "
+    "fiscalyear NULLS FIRST) AS place, * FROM report_p",
+    _export,
+)
 LOGGED = words("t_ JobId ETLFunction SourceTableCount TargetTableName TargetTableCount LogMessage SchemaName")
 check(
     "audit_log", (*LOGGED, "n_written"),

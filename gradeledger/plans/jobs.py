@@ -29,24 +29,29 @@ def _run(
     clock: Callable[[], datetime],
     view: str | None,
 ) -> bool:
-    """Success flag. A failure anywhere is logged and leaves the old snapshot; a log that
-    can't be written makes the run a failure too, but doesn't raise."""
-    now, keeper = clock(), Keeper(cfg.sharing)
+    """Success flag. The snapshot and its audit record are one commit. A failure anywhere leaves
+    the old snapshot and is logged; if not even that can be written, nothing is raised."""
+    now, keeper, path = clock(), Keeper(cfg.sharing), f"{out}/{target}"
+
+    def record(count: int, message: str) -> dict:
+        return audit_record(function, target, count, message, now)
+
     try:
-        count = write_report(build(keeper), f"{out}/{target}", cfg.ref_date, view)
-        message, ok = f"{target} has been populated", True
+        write_report(
+            build(keeper), path, cfg.ref_date, view,
+            audit=lambda count: record(count, f"{target} has been populated"),
+        )
+        return True
     except Exception as failure:
-        count, ok = 0, False
         message = f"Failure in function: {function}: {failure}"
         log.warning("%s", message)
     finally:
         keeper.release()
     try:
-        append_audit(spark, f"{out}/etl_log", audit_record(function, target, count, message, now))
+        append_audit(spark, path, record(0, message))
     except Exception as failure:
         log.warning("the audit log can't be written: %s", failure)
-        return False
-    return ok
+    return False
 
 
 def _config(cfg: ReportConfig | None, ref_date: date) -> ReportConfig:

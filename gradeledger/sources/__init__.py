@@ -1,6 +1,16 @@
 """Source tables, their normalisation, and the report and audit sinks."""
 
-from gradeledger.sources.sinks import append_audit, read_report, register_view, write_report
+from gradeledger.sources.commits import PublishConflict
+from gradeledger.sources.sinks import (
+    append_audit,
+    read_audit,
+    read_report,
+    register_view,
+    write_report,
+)
 from gradeledger.sources.tables import ReportSource
 
-__all__ = ["ReportSource", "append_audit", "read_report", "register_view", "write_report"]
+__all__ = [
+    "PublishConflict", "ReportSource", "append_audit", "read_audit", "read_report",
+    "register_view", "write_report",
+]

@@ -1,14 +1,21 @@
-"""Report snapshots, the view over them, and the audit log."""
+"""Report snapshots, the views over them, and the audit log."""
 
 from __future__ import annotations
 
+import logging
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeledger.functions.scalars import sort_keys
+from gradeledger.sources.commits import CommitLog, Files, PublishConflict, State
+
+log = logging.getLogger(__name__)
+
 # Columns of the audit log record, in order.
 AUDIT_SCHEMA = (
     "id_ string, t_ string, JobId string, ETLFunction string, SourceTableName string, "
@@ -16,107 +23,160 @@ AUDIT_SCHEMA = (
     "LogMessage string, SchemaName string"
 )
 
+# Folder of the runs below a report.
+_RUNS = "_runs"
+# A table name, with or without its database.
+_NAME = re.compile(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?")
+
+
+def _folder(path: str, run: str) -> str:
+    return f"{path}/{_RUNS}/{run}"
 
-# Folder of the runs below a report, and the file that names the current run of each date.
-_RUNS, _CURRENT = "_runs", "_current"
-
-
-def _files(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and a maker of its paths."""
-    jvm = spark.sparkContext._jvm
-    make = jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
-
-
-def _publish(spark: SparkSession, path: str, ref_date: date, run: str) -> None:
-    """Points a date to a finished run: one small file, replaced by a rename."""
-    fs, make = _files(spark, path)
-    target = make(f"{path}/{_CURRENT}/{ref_date.isoformat()}")
-    new = make(f"{path}/{_CURRENT}/.{run}")
-    out = fs.create(new, True)
-    out.write(bytearray(run.encode()))
-    out.close()
-    old = make(f"{path}/{_CURRENT}/.{run}-old")
-    replaces = fs.exists(target)
-    if replaces and not fs.rename(target, old):
-        raise OSError(f"cannot set the pointer aside: {target}")
-    if not fs.rename(new, target):
-        if replaces:
-            fs.rename(old, target)
-        raise OSError(f"cannot publish run {run} of {ref_date}")
-    if replaces:
-        fs.delete(old, False)
-
-
-def _current(spark: SparkSession, path: str) -> dict[date, str]:
-    """The published run of each date. A pointer that a crash left aside still counts."""
-    fs, make = _files(spark, path)
-    folder = make(f"{path}/{_CURRENT}")
-    if not fs.exists(folder):
-        return {}
-    found = {}
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if not name.startswith("."):
-            found[date.fromisoformat(name)] = spark.read.text(status.getPath().toString()).first()[0]
-    return found
-
-
-def write_report(df: DataFrame, path: str, ref_date: date, view: str | None = None) -> int:
+
+def write_report(
+    df: DataFrame,
+    path: str,
+    ref_date: date,
+    view: str | None = None,
+    audit: Callable[[int], Mapping] | None = None,
+) -> int:
     """Replace the snapshot of one reference date; returns its row count.
 
-    Each run writes a folder of its own, so no reader and no other run of the date meets
-    half-written files. Only when it is complete does the date's pointer change, by a
-    rename: a failure before leaves the old snapshot as it was. Other dates are not
-    touched, and an empty report replaces a full one. Runs that are no longer named stay
-    until ``drop_old_runs``, for readers that still hold them. With ``view``, the view of
-    that name shows the new state.
+    Each run writes a folder of its own, and one commit points the date to it when it is
+    complete; ``audit`` gives the record, made from the row count, that the same commit holds.
+    So whatever fails or dies before leaves the old snapshot, readers never meet half a run,
+    and a snapshot is never without its record. Other dates are not touched, and an empty
+    report replaces a full one. If another run published the date since this one began, this
+    one raises ``PublishConflict`` and leaves nothing. Runs that are no longer named stay until
+    ``drop_old_runs``, for readers that still hold them.
+
+    Views registered over the report follow; ``view`` registers one.
     """
-    spark, run = df.sparkSession, uuid.uuid4().hex
-    folder = f"{path}/{_RUNS}/{run}"
-    df.write.parquet(folder)
-    count = spark.read.schema(df.schema).parquet(folder).count()
-    _publish(spark, path, ref_date, run)
-    if view is not None:
-        register_view(spark, path, view)
+    spark, run, commits = df.sparkSession, uuid.uuid4().hex, CommitLog(df.sparkSession, path)
+    before = commits.state().number(ref_date)
+    df.write.parquet(_folder(path, run))
+    count = spark.read.schema(df.schema).parquet(_folder(path, run)).count()
+    entry = {"date": ref_date.isoformat(), "run": run, "rows": count}
+    if audit is not None:
+        entry["audit"] = dict(audit(count))
+
+    def unchanged(state: State) -> None:
+        if state.number(ref_date) != before:
+            raise PublishConflict(f"{path}: {ref_date} was published by another run meanwhile")
+
+    try:
+        commits.commit(entry, unchanged)
+    except PublishConflict:
+        runs = Files(spark, f"{path}/{_RUNS}")
+        runs.fs.delete(runs._path(run), True)
+        raise
+    try:
+        if view is not None:
+            register_view(spark, path, view)
+        follow_views(spark, path)
+    except Exception as failure:  # the snapshot is published; the next run moves the views too
+        log.warning("views of %s can't follow: %s", path, failure)
     return count
 
 
 def read_report(spark: SparkSession, path: str, ref_date: date | None = None) -> DataFrame:
     """The snapshot of a reference date, by default the latest one written, empty or not."""
-    runs = _current(spark, path)
-    if not runs:
+    state = CommitLog(spark, path).state()
+    run = state.run(ref_date)
+    if run is None:
+        if ref_date is not None and state.dates:
+            raise KeyError(ref_date)
         raise FileNotFoundError(f"no snapshot below {path}")
-    return spark.read.parquet(f"{path}/{_RUNS}/{runs[ref_date or max(runs)]}")
+    return spark.read.parquet(_folder(path, run))
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where a table of the catalog lies; None if there is none."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return found.data_type if found else None
+
+
+def _same_place(a: str, b: str) -> bool:
+    plain = [re.sub("^file:/+", "/", p).rstrip("/") for p in (a, b)]
+    return plain[0] == plain[1]
+
+
+def _point(spark: SparkSession, name: str, folder: str) -> None:
+    """Lets an external table show a folder; a new one if there is none with its columns."""
+    place = _location(spark, name)
+    if place is not None and _same_place(place, folder):
+        return
+    quoted = folder.replace("'", "\\'")
+    if place is not None:
+        if spark.table(name).schema == spark.read.parquet(folder).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{quoted}'")
 
 
 def register_view(
     spark: SparkSession, path: str, name: str, ref_date: date | None = None
 ) -> DataFrame:
-    """Expose the snapshot under a view name.
+    """Expose the snapshot of a date, by default the latest, under a name of the catalog.
 
-    The files of a run never change, so the view stays readable whatever is written later;
-    a job that is given the view's name registers it anew when it publishes.
+    The name is an external table whose location the writers of the report move, so it is
+    read without a look at the log, and shows later runs without being registered again,
+    also to other sessions of the same metastore. It is in the report's own log that the name
+    follows it. Files of a run never change: queries that are under way go on with theirs.
     """
-    read_report(spark, path, ref_date).createOrReplaceTempView(name)
+    if not _NAME.fullmatch(name):
+        raise ValueError(f"not a table name: {name!r}")
+    commits = CommitLog(spark, path)
+    day = ref_date.isoformat() if ref_date else None
+    state = commits.state()
+    run = state.run(day)
+    if run is None:
+        raise FileNotFoundError(f"no snapshot of {day or 'any date'} below {path}")
+    if state.views.get(name, "") != day:
+        commits.commit({"view": name, "view_date": day})
+    if "." not in name:
+        spark.catalog.dropTempView(name)
+    _point(spark, name, _folder(path, run))
+    follow_views(spark, path)
     return spark.table(name)
 
 
+def follow_views(spark: SparkSession, path: str) -> None:
+    """Moves the registered tables of this catalog to what the log says now.
+
+    Tables that are gone, or have become another report's, are left alone. If the log moved
+    on meanwhile, once more: of two publishers the later one's state stays.
+    """
+    commits = CommitLog(spark, path)
+    last = -1
+    while (state := commits.state()).last != last:
+        last = state.last
+        for name, day in state.views.items():
+            place, run = _location(spark, name), state.run(day)
+            if place is not None and run is not None and _same_place(place.rsplit("/", 1)[0], f"{path}/{_RUNS}"):
+                _point(spark, name, _folder(path, run))
+
+
 def drop_old_runs(spark: SparkSession, path: str) -> int:
     """Delete the runs that no date points to; returns how many. For quiet times: a reader of
     such a run, or a job that is about to publish one, would lose it."""
-    fs, make = _files(spark, path)
-    named, folder = set(_current(spark, path).values()), make(f"{path}/{_RUNS}")
-    old = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName() not in named]
-    return sum(bool(fs.delete(p, True)) for p in old)
+    named = {run for _, run in CommitLog(spark, path).state().dates.values()}
+    runs = Files(spark, f"{path}/{_RUNS}")
+    return sum(bool(runs.fs.delete(runs._path(name), True)) for name in runs.names() if name not in named)
 
 
 def export_report(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Write a report in presentation order: files in the order of the keys, each sorted.
+    """Write a report in presentation order (names as in ``sort_keys``): files in the order of
+    the keys, each sorted.
 
     Range partitioning orders the files without one task that sees everything.
     """
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    keys = sort_keys(order)
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
 def job_id(now: datetime) -> str:
@@ -136,8 +196,15 @@ def audit_record(
 
 
 def append_audit(spark: SparkSession, path: str, record: Mapping) -> None:
-    """Append one record to the log as a JSON payload."""
-    row = spark.createDataFrame([dict(record)], AUDIT_SCHEMA)
-    row.select(
-        F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"}).alias("payload")
-    ).write.mode("append").parquet(path)
+    """Append one record to the log of a report or of its own folder."""
+    CommitLog(spark, path).commit({"audit": dict(record)})
+
+
+def read_audit(spark: SparkSession, *paths: str) -> DataFrame:
+    """The audit records below some folders, in the columns of ``AUDIT_SCHEMA``."""
+    record = F.from_json("value", f"audit struct<{AUDIT_SCHEMA.replace(' string', ': string').replace(' long', ': long')}>")
+    parts = [CommitLog(spark, p).read().select(record.audit.alias("audit")) for p in paths]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out.where("audit IS NOT NULL").select("audit.*")

@@ -1,15 +1,14 @@
 """Snapshots, view, audit log and failure handling."""
 
-import json
 from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 
-from gradeledger.plans import jobs, run_report_p, run_report_r
+from gradeledger.plans import run_report_p, run_report_r
 from gradeledger.plans.position import report_p
 from gradeledger.plans.risk import report_r
-from gradeledger.sources import read_report, register_view, sinks, write_report
+from gradeledger.sources import read_audit, read_report, register_view, sinks, write_report
 from helpers import CFG, MemorySource, entity, rating, statement
 
 DAY = CFG.ref_date
@@ -36,7 +35,7 @@ class Broken(MemorySource):
 
 
 def audit(spark, out):
-    return [json.loads(r.payload) for r in spark.read.parquet(f"{out}/etl_log").collect()]
+    return [r.asDict() for t in ("report_p", "report_r") for r in read_audit(spark, f"{out}/{t}").collect()]
 
 
 def test_both_jobs_write_and_log(spark, tmp_path):
@@ -67,16 +66,17 @@ def test_view_survives_reruns(spark, tmp_path):
     """The same date again, a later date, and a later empty run, all after registering."""
     out, source = str(tmp_path), world(spark)
     assert run_report_p(spark, source, DAY, out, view="live_p")
-    shown = register_view(spark, f"{out}/report_p", "before")
-    assert run_report_p(spark, source, DAY, out, view="live_p")
+    shown = spark.table("live_p")
+    assert run_report_p(spark, source, DAY, out)
     assert shown.count() == spark.table("live_p").count() == 1
     later = date(2024, 9, 29)
-    assert run_report_p(spark, source, later, out, view="live_p")
+    assert run_report_p(spark, source, later, out)
     files = set(read_report(spark, f"{out}/report_p", later).inputFiles())
     assert files and set(spark.table("live_p").inputFiles()) == files
-    assert run_report_p(spark, MemorySource(spark), date(2025, 9, 29), out, view="live_p")
+    assert run_report_p(spark, MemorySource(spark), date(2025, 9, 29), out)
     assert spark.table("live_p").count() == 0
     assert read_report(spark, f"{out}/report_p", DAY).count() == 1
+    spark.sql("DROP TABLE live_p")
 
 
 def test_failed_publishing_leaves_the_old_rows(spark, tmp_path, monkeypatch):
@@ -84,10 +84,10 @@ def test_failed_publishing_leaves_the_old_rows(spark, tmp_path, monkeypatch):
     write_report(spark.createDataFrame([("1", "old")], "cdi string, v string"), out, DAY)
 
     def fails(*args):
-        raise OSError("no rename today")
+        raise OSError("no commit today")
 
-    monkeypatch.setattr(sinks, "_publish", fails)
-    with pytest.raises(OSError, match="no rename"):
+    monkeypatch.setattr(sinks.CommitLog, "commit", fails)
+    with pytest.raises(OSError, match="no commit"):
         write_report(spark.createDataFrame([("1", "new")], "cdi string, v string"), out, DAY)
     monkeypatch.undo()
     assert [r.v for r in read_report(spark, out, DAY).collect()] == ["old"]
@@ -96,12 +96,16 @@ def test_failed_publishing_leaves_the_old_rows(spark, tmp_path, monkeypatch):
 
 
 def test_log_that_cannot_be_written_does_not_raise(spark, tmp_path, monkeypatch):
+    """The snapshot and its record are one commit: without the one there is none of the other."""
     def fails(*args):
         raise OSError("log is full")
 
-    monkeypatch.setattr(jobs, "append_audit", fails)
+    monkeypatch.setattr(sinks.CommitLog, "commit", fails)
     assert run_report_p(spark, world(spark), DAY, str(tmp_path)) is False
-    assert read_report(spark, f"{tmp_path}/report_p", DAY).count() == 1
+    monkeypatch.undo()
+    with pytest.raises(FileNotFoundError):
+        read_report(spark, f"{tmp_path}/report_p", DAY)
+    assert audit(spark, str(tmp_path)) == []
 
 
 def test_export_is_ordered(spark, tmp_path):
@@ -152,6 +156,7 @@ def test_view_shows_the_latest_date_and_others_stay(spark, tmp_path):
     assert [tuple(r) for r in spark.sql("SELECT * FROM shown").collect()] == [("1", "new")]
     register_view(spark, out, "shown", date(2022, 9, 29))
     assert [r.v for r in spark.sql("SELECT * FROM shown").collect()] == ["before"]
+    spark.sql("DROP TABLE shown")
 
 
 @pytest.mark.parametrize("sharing", ["none", "persist", "checkpoint"])
