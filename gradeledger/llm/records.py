@@ -26,6 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,18 +39,19 @@ from gradeledger.llm.store import join_small, new_folder, stored
 #: Bytes of text for one file, about.
 FILE_BYTES = 64 << 20
 #: Runs of text that a worker remembers at most, twice.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 100
-#: Documents encoded, and bytes of records read, at once.
-ROWS = 500
-READ_BYTES = 8 << 20
+#: Bytes of text encoded, and of records read, at once, about.
+TEXT_BYTES = READ_BYTES = 8 << 20
+#: A sign that is a piece and a token of its own, between runs asked for together.
+MARK = "\x01"
 #: Id that ends each document.
 END_ID = 1
 
 _FIELDS = "<qqI"
 _WIDE, _NULL_ID = 1, 2  # flags: ids of 4 bytes; the document's id is null
 _FRAME = 16  # bytes of a frame besides the record
-_ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python alone
+_ODD_SPACE = "[\x1c-\x1f]"  # white space to Arrow and Python, not to the vocabulary
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 INDEX = "file int, path string, offset long, length long"
 
@@ -68,28 +70,36 @@ class RunEncoder:
         self.tokenizer.no_padding()
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _learn(self, runs: list[str]) -> None:
-        for i in range(0, len(runs), 10_000):
-            some = runs[i : i + 10_000]
-            for run, made in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[run] = np.array(made.ids, self.kind).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian integers of ``kind``; null counts as empty."""
-        split = [[] if not t else list(filter(None, _SPACE.split(t))) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        wanted: set[str] = set().union(*split)
-        new: list[str] = []
-        for run in wanted - self.known.keys():
-            if run in self.older:
-                self.known[run] = self.older[run]
+        """Asks the library for many runs in one text, with ``MARK`` between them."""
+        for i in range(0, len(runs), 1_000):
+            some = runs[i : i + 1_000]
+            made = self.tokenizer.encode_batch_fast([f" {MARK} ".join([*some, ""])], add_special_tokens=False)
+            ids = np.array(made[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self.mark).tolist() if len(self.mark) == 1 else []
+            if len(ends) == len(some) and not any(MARK in r for r in some):
+                data, size, at = ids.tobytes(), ids.itemsize, 0
+                for run, end in zip(some, ends, strict=True):
+                    self.known[run] = data[at * size : end * size]
+                    at = end + 1
             else:
-                new.append(run)
+                for run, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    self.known[run] = np.array(one.ids, self.kind).tobytes()
+
+    def _of_runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of distinct runs."""
+        out = list(map(self.known.get, runs))
+        missing = [r for r, ids in zip(runs, out, strict=True) if ids is None]
+        again = {r: self.older[r] for r in missing if r in self.older}
+        self.known.update(again)
+        new = [r for r in missing if r not in again]
         self._learn(new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, runs)) for runs in split]
+        if missing:
+            out = list(map(self.known.__getitem__, runs))
         for run in new:
             if len(run) > LONGEST_REMEMBERED:
                 del self.known[run]
@@ -97,6 +107,30 @@ class RunEncoder:
             self.older, self.known = self.known, {}
         return out
 
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian integers of ``kind``; null counts as empty.
+
+        Runs are made distinct, looked up once each, and their ids gathered by run number.
+        """
+        texts = pc.fill_null(texts, "")
+        if pc.any(pc.match_substring_regex(texts, _ODD_SPACE)).as_py():
+            split = pa.array([list(filter(None, _SPACE.split(t))) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            split = pc.utf8_split_whitespace(texts)
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(split.values)
+        made = self._of_runs(coded.dictionary.to_pylist())
+        size = np.dtype(self.kind).itemsize
+        # white space at a text's ends makes empty runs, which have no ids
+        lengths = np.fromiter(map(len, made), np.int64, len(made)) // size
+        starts, of_word = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
+        n = lengths[of_word]
+        done = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(made), self.kind)
+        flat = ids[np.repeat(starts[of_word] - done[:-1], n) + np.arange(done[-1])].tobytes()
+        cuts = (done[ends] * size).tolist()
+        return [flat[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
 
 _ENCODERS: dict[str, RunEncoder] = {}
 
@@ -110,6 +144,15 @@ def encoder(content: str) -> RunEncoder:
     return _ENCODERS[key]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows together up to about ``TEXT_BYTES``."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // TEXT_BYTES
+    firsts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for first, last in zip(firsts, [*firsts[1:], batch.num_rows], strict=True):
+        yield batch.slice(first, last - first)
+
+
 def frames(records: list[bytes]) -> list[bytes]:
     """Each record with its lengths and checksums."""
     heads = [struct.pack("<Q", len(r)) for r in records]
@@ -157,12 +200,12 @@ def write_records(docs: DataFrame, path: str | Path, folder: str, end_id: int =
         files, place = files_of(folder)
         name, out, offset, before = f"records-{part:06d}-{uuid.uuid4().hex}", None, 0, 0
         try:
-            for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            for batch in (part for b in batches for part in _slices(b)):
                 if out is None:
                     files.create_dir(place, recursive=True)
                     out = files.open_output_stream(f"{place}/{name}")
                 records = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1)), strict=True):
                     flags = _WIDE * words.wide + _NULL_ID * (doc_id is None)
                     records.append(struct.pack(_FIELDS, doc_id or 0, before, flags) + ids + end)
                     before += (len(ids) + len(end)) // len(end)

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,13 +61,13 @@ def test_frames_and_damage():
 
 @pytest.mark.parametrize("text", [
     "Ünï é ́x  İΣΣ", "a\x1cb\x1f c\x85d\xa0e　f g", "x<|endoftext|> <|startoftext|>y", "一丁 \U0001f600‍!?'s it's",
-    "word " * 3000, "w" * 5000, "", " \n\t",
+    "word " * 3000, "w" * 5000, "", " \n\t", "a \x01 b\x01c \x01", "\x01", "x \x02y'\x01",
 ])
 def test_runs_give_the_library_ids(text):
     ours = RunEncoder(Path(VOCABULARY).read_text(encoding="utf-8"))
     library = Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
     for _ in range(2):  # the second time from memory
-        assert np.frombuffer(ours.encode([text])[0], ours.kind).tolist() == library
+        assert np.frombuffer(ours.encode(pa.array([None, text, ""]))[1], ours.kind).tolist() == library
     assert all(len(r) <= records.LONGEST_REMEMBERED for r in ours.known)
 
 
@@ -75,7 +76,7 @@ def test_forgotten_runs(monkeypatch):
     ours = RunEncoder(Path(VOCABULARY).read_text(encoding="utf-8"))
     library = Tokenizer.from_file(VOCABULARY)
     for text in ("a b c d e f", "a b x", "x y z a", "f e d c b a") * 2:
-        assert np.frombuffer(ours.encode([text])[0], ours.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ours.encode(pa.array([None, text, ""]))[1], ours.kind).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_odd_rows(spark, odd, no_docs):
