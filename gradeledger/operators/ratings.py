@@ -58,8 +58,12 @@ def usable_context(df: DataFrame, col: str = "financialcontext", min_len: int =
     return df.where(context.usable(col, min_len))
 
 
+def is_approved() -> Column:
+    return F.col("approveddate").isNotNull() & F.coalesce("islatestapprovedscenario", F.lit(False))
+
+
 def approved(df: DataFrame) -> DataFrame:
-    return df.where(F.col("approveddate").isNotNull() & F.col("islatestapprovedscenario"))
+    return df.where(is_approved())
 
 
 # Total orders, as for ``distinct_on``. The leading keys are the reports' own; the rest

@@ -20,7 +20,7 @@ from gradeledger.functions.scalars import end_of
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import (
     attach_grade,
-    latest_before,
+    in_scope,
     match_asof,
     match_pinned_version,
 )
@@ -33,11 +33,15 @@ from gradeledger.operators.ratings import (
     approved,
     eligible_ratings,
     final_rating,
+    is_approved,
     split_by_model,
     usable_context,
 )
 from gradeledger.sources.tables import ReportSource, in_portfolio, tagged_union
 
+# Stands for the version of ratings that are matched by time.
+ANY_VERSION = -1
+
 # Order among matched versions of one rating record: latest entity data, then as ties.
 ASOF_ORDER = (ENTITY_ORDER[0], *RATING_ORDER[:2], *ENTITY_ORDER[1:])
 
@@ -146,33 +150,75 @@ def best_pinned(ratings: DataFrame, source, cfg: ReportConfig, generation: str)
     return _kind(rating.join(entity, ["entityid", "entityversion"]), FINANCIALS)
 
 
-def best_asof(ratings: DataFrame, source, cfg: ReportConfig, generation: str) -> DataFrame:
-    """Per entity the last approved non-financials rating, with its entity version.
+def candidate_ratings(source, cfg: ReportConfig) -> DataFrame:
+    """Of each generation and kind, the ratings that can still become an entity's final one.
 
-    A later rating has every earlier entity version an earlier rating has, so the
-    last rating is matched if any is. Old records are first cut to their own last
-    row, approved or not: an unapproved one hides the approved ones before it.
+    Of financials ratings the last one per pinned version, ``matched_version``. Of the others
+    the last approved one per entity: a later rating has every earlier entity version an
+    earlier rating has, so the last one is matched if any is. Old records of the others are
+    first cut to their own last row, approved or not: an unapproved one hides the approved
+    ones before it. One scan of each rating table: both kinds share the two cuts, each with
+    its own part of the key.
     """
-    ratings = ratings.where(F.col("sourcepopulateddate_rating").isNotNull())
-    if generation == OLD:
-        ratings = distinct_on(ratings, ["pkid_", "entityid"], RATING_ORDER)
-    last = distinct_on(approved(ratings), ["entityid"], RATING_ORDER)
-    matched = latest_before(
-        last, nonfin_entities(source, cfg, generation), ["entityid"],
-        "sourcepopulateddate_rating", "sourcepopulateddate_entity", ENTITY_ORDER[1:],
-        cfg.splits,
+    financials = F.col("modelid").isin(list(cfg.pinned))
+    ratings = union_all([eligible(source, cfg, g) for g in (OLD, NEW)]).withColumn(
+        "match_kind", F.when(financials, FINANCIALS).when(~financials, NON_FINANCIALS)
+    )
+    pinned, old = F.col("match_kind") == FINANCIALS, F.col("generation") == OLD
+    dated = F.col("sourcepopulateddate_rating").isNotNull()
+    able = F.when(pinned, F.col("entityversion").isNotNull()).otherwise(dated & (old | is_approved()))
+    record = F.when(pinned, F.col("entityversion").cast("long")).when(old, F.col("pkid_"))
+    keys = ["generation", "match_kind", "entityid"]
+    of_record = distinct_on(
+        ratings.where(F.col("match_kind").isNotNull() & able), [*keys, record], RATING_ORDER
+    )
+    version = F.when(pinned, F.col("entityversion")).otherwise(F.lit(ANY_VERSION))
+    return distinct_on(
+        of_record.where(pinned | is_approved()).withColumn("matched_version", version),
+        [*keys, "matched_version"], RATING_ORDER,
+    )
+
+
+def versions_by_use(source, cfg: ReportConfig) -> DataFrame:
+    """Entity versions known on the reference date, a row for each generation and kind of
+    ratings that may meet them. One scan of each entity table."""
+    parts = []
+    for owner in (OLD, NEW):
+        uses = [(owner, FINANCIALS)] + [
+            (g, NON_FINANCIALS) for g in (OLD, NEW)
+            if owner == (OLD if g == OLD else cfg.nonfin_entity_gen)
+        ]
+        use = F.explode(F.array(*[
+            F.struct(F.lit(g).alias("generation"), F.lit(k).alias("match_kind")) for g, k in uses
+        ]))
+        parts.append(
+            entities(source, cfg, owner)
+            .where(F.col("sourcepopulateddate_entity") <= end_of(cfg.ref_date))
+            .withColumn("_use", use).select("*", "_use.*").drop("_use")
+        )
+    version = F.when(F.col("match_kind") == FINANCIALS, F.col("versionid_")).otherwise(
+        F.lit(ANY_VERSION)
     )
-    return _kind(matched, NON_FINANCIALS)
+    return union_all(parts).withColumn("matched_version", version).drop("versionid_")
 
 
 def final_rating_p(source, cfg: ReportConfig) -> DataFrame:
-    """One rating per entity over all models, graded."""
-    candidates = []
-    for g in (OLD, NEW):
-        _, others = split_by_model(eligible(source, cfg, g), cfg.pinned)
-        candidates += [latest_pairs(source, cfg, g), best_asof(others, source, cfg, g)]
-    chosen = final_rating(union_all(candidates), order=FINAL_ORDER_P)
-    return graded(chosen, source)
+    """One rating per entity over all models, graded.
+
+    Pinned and as-of matches are one join: a financials rating meets the rows of its version,
+    another one every version of its entity before it. On the rating's side a key has one row,
+    so there are no more pairs than entity rows, and the newest entity data wins for both.
+    """
+    keys = ["generation", "match_kind", "entityid"]
+    pairs = in_scope(
+        versions_by_use(source, cfg), candidate_ratings(source, cfg),
+        [*keys, "matched_version"], cfg.splits,
+    )
+    before = F.col("sourcepopulateddate_entity") < F.col("sourcepopulateddate_rating")
+    matched = distinct_on(
+        pairs.where((F.col("match_kind") == FINANCIALS) | before), keys, LATEST_PAIR_ORDER
+    ).drop("matched_version")
+    return graded(final_rating(matched, order=FINAL_ORDER_P), source)
 
 
 def graded(ratings: DataFrame, source) -> DataFrame:
@@ -188,8 +234,13 @@ def graded(ratings: DataFrame, source) -> DataFrame:
         ),
         ["finalgrade"], [F.col("ratingscalevalue").desc_nulls_last()],
     )
-    return ratings.join(grades, ["generation", "approveid"], "left").join(
-        scale, "finalgrade", "left"
+    # rows without an approval have no grade; they would be one hot key
+    spread = F.when(F.col("approveid").isNull(), F.xxhash64("entityid")).otherwise(F.lit(0))
+    return (
+        ratings.withColumn("_spread", spread)
+        .join(grades.withColumn("_spread", F.lit(0).cast("long")),
+              ["generation", "approveid", "_spread"], "left")
+        .drop("_spread").join(scale, "finalgrade", "left")
     )
 
 

@@ -65,6 +65,17 @@ def test_rating_filters_reach_the_scan(stored):
         assert "isprimary" in pushed
 
 
+def test_final_rating_scans_each_table_once(stored):
+    """Both kinds of matches share one scan; one join, and a top-1 cut before each shuffle."""
+    for cfg in (CFG, replace(CFG, nonfin_entity_gen=OLD)):
+        text = plan(matched.final_rating_p(stored, cfg))
+        for table in ("rating_new", "rating_old", "entity_new", "entity_old"):
+            assert len(scans(text, table)) == 1, table
+    text = plan(matched.final_rating_r(stored, CFG))
+    for table in ("rating_new", "rating_old", "entity_new", "entity_old"):
+        assert len(scans(text, table)) == 1, table
+
+
 def test_balances_are_scanned_once_filtered_and_narrow(stored):
     text = plan(groups_in_scope(stored, CFG, perimeter_r(stored, CFG)))
     for generation in (NEW, OLD):
