@@ -94,6 +94,16 @@ def test_groups(text):
     assert [divmod(int(p), words().width) for p in words().pairs[links]] == [(x[-1], y[-1]) for x, y in groups]
 
 
+def test_the_quicker_library_gives_the_same_ids():
+    rng = np.random.default_rng(5)
+    signs = [*" \n\t\r'abesTZ0٣9.,!?-—–’“é", "ß", "Ā", "ɏ", "\u2003", "\u00a0", "'s", "'ll", "  ", "the", "ation"]
+    for _ in range(300):
+        text = " " + "".join(rng.choice(signs, int(rng.integers(1, 60))))
+        assert words().ids_a(text).tolist() == libraries()[0].encode(text, add_special_tokens=False).ids
+    every = " ".join(chr(c) + chr(c) for c in [*range(1, 0x250), *range(0x2000, 0x2070)])
+    assert words().quick.encode_ordinary(every) == libraries()[0].encode(every, add_special_tokens=False).ids
+
+
 def test_cuts_are_all_shared_ends():
     rng = np.random.default_rng(0)
     for density in (0.02, 0.3, 0.9):
