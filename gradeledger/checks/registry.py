@@ -17,18 +17,18 @@ from gradeledger.functions import context, scalars
 from gradeledger.operators import (
     account_group_for,
     attach_grade,
-    diff_reports,
+    changed_columns,
     distinct_on,
     find_duplicates,
     long_groups,
-    metric_slice,
+    report_difference,
     side_by_side,
     split_by_model,
     step_counts,
     usable_context,
 )
 from gradeledger.operators.reuse import shared_dir
-from gradeledger.plans import matched, position, risk, variants
+from gradeledger.plans import matched, position, restricted, risk, variants
 from gradeledger.plans.jobs import run_report_p, run_report_r
 from gradeledger.plans.matched import union_all
 from gradeledger.sources.sinks import (
@@ -37,6 +37,7 @@ from gradeledger.sources.sinks import (
     export_report,
     read_audit,
     read_report,
+    read_steps,
     register_view,
     write_report,
 )
@@ -501,12 +502,8 @@ check(
 )
 
 
-def _diff(source: ReportSource) -> DataFrame:
-    only_a, only_b = diff_reports(
-        position.report_p_years(source, CONFIG), position.report_p(source, NO_PORTFOLIO),
-        ignore=("creditcommitteedate",),
-    )
-    return only_a.withColumn("side", F.lit("a")).unionByName(only_b.withColumn("side", F.lit("b")))
+def _two_revisions(source: ReportSource) -> tuple[DataFrame, DataFrame]:
+    return position.report_p_years(source, CONFIG), position.report_p(source, NO_PORTFOLIO)
 
 
 DIFF_COLUMNS = tuple(c for c in P_COLUMNS if c != "creditcommitteedate")
@@ -516,7 +513,36 @@ check(
     "report_diff", (*DIFF_COLUMNS, "side"),
     f"SELECT *, 'a' AS side FROM (SELECT {_some} FROM p_years EXCEPT {_other})"
     f" UNION ALL SELECT *, 'b' AS side FROM (({_other}) EXCEPT SELECT {_some} FROM p_years)",
-    _diff,
+    lambda s: report_difference(*_two_revisions(s), ignore=("creditcommitteedate",)),
+)
+# Few columns, so that rows repeat on both sides.
+REPEATED = ("grade", "ratingmodelname", "fiscalyear")
+_few = ", ".join(REPEATED)
+_other_few = "SELECT * FROM (" + with_steps(f"SELECT {_few} FROM report_p", NO_PORTFOLIO) + ")"
+check(
+    "report_diff_all", (*REPEATED, "side"),
+    f"SELECT *, 'a' AS side FROM (SELECT {_few} FROM p_years EXCEPT ALL {_other_few})"
+    f" UNION ALL SELECT *, 'b' AS side FROM (({_other_few}) EXCEPT ALL SELECT {_few} FROM p_years)",
+    lambda s: report_difference(
+        *[df.select(*REPEATED) for df in _two_revisions(s)], every=True
+    ),
+)
+CHANGE_KEYS = ("entityid", "cdi", "afm")
+_rest = [c for c in P_COLUMNS if c not in CHANGE_KEYS]
+_keyed = ", ".join(CHANGE_KEYS) + ", count(*) AS n, " + ", ".join(f"min({c}) AS {c}" for c in _rest)
+_differing = ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _rest)
+check(
+    "report_changes", (*CHANGE_KEYS, "change", "columns"),
+    f"SELECT {', '.join(f'coalesce(a.{c}, b.{c}) AS {c}' for c in CHANGE_KEYS)}, "
+    "CASE WHEN a.n > 1 OR b.n > 1 THEN 'repeated' WHEN a.n IS NULL THEN 'added' "
+    "WHEN b.n IS NULL THEN 'removed' WHEN concat_ws(',', " + _differing + ") <> '' THEN 'changed' "
+    "ELSE 'same' END AS change, CASE WHEN a.n = 1 AND b.n = 1 THEN concat_ws(',', " + _differing
+    + f") ELSE '' END AS columns FROM (SELECT {_keyed} FROM p_years GROUP BY ALL) a FULL JOIN "
+    f"(SELECT {_keyed} FROM ({with_steps('SELECT * FROM report_p', NO_PORTFOLIO)}) GROUP BY ALL) b ON "
+    + " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in CHANGE_KEYS),
+    lambda s: changed_columns(*_two_revisions(s), CHANGE_KEYS).withColumn(
+        "columns", F.array_join("columns", ",")
+    ),
 )
 _text_r = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in R_COLUMNS)
 # Rows of two revisions that are put side by side: a part of the customers, one year.
@@ -525,24 +551,32 @@ check(
     "report_side_by_side", ("source", *R_COLUMNS),
     f"SELECT 'a' AS source, {_text_r} FROM report_r WHERE {SELECTED} UNION ALL SELECT 'b' AS source, "
     f"{_text_r} FROM ({with_steps('SELECT * FROM report_r', NO_PORTFOLIO)}) WHERE {SELECTED}",
-    lambda s: side_by_side(
-        risk.report_r(s, CONFIG), risk.report_r(s, NO_PORTFOLIO), where=F.expr(SELECTED)
-    ),
+    lambda s: side_by_side(*[
+        restricted.report_r_of(s, cfg, F.expr("cdi LIKE '%1%'")).where("fnc_year = '1996'")
+        for cfg in (CONFIG, NO_PORTFOLIO)
+    ]),
 )
 
 
 def _slice(source: ReportSource) -> DataFrame:
-    """One customer and year: the first of the report."""
-    report = risk.report_r(source, CONFIG)
-    first = report.where("cdi IS NOT NULL").select("cdi", "fnc_year").orderBy("cdi", "fnc_year").first()
-    return metric_slice(report, *first, cols=("balancedividendspayable",))
+    """Report R of the first customers by name."""
+    known = tagged_union(source.load_entities(OLD), source.load_entities(NEW))
+    first = known.where("cdicode IS NOT NULL").select("cdicode").distinct().orderBy("cdicode").limit(20)
+    customers = [r.cdicode for r in first.collect()]
+    return restricted.slice_of(source, CONFIG, customers, cols=("balancedividendspayable",))
 
 
+_customers = (
+    "SELECT DISTINCT cdicode FROM (SELECT cdicode FROM entity_old UNION SELECT cdicode FROM "
+    "entity_new) WHERE cdicode IS NOT NULL ORDER BY cdicode LIMIT 20"
+)
 check(
     "metric_slice", words("cdi afm fnc_year balancedividendspayable approveddate entityid"),
-    "SELECT * FROM report_r JOIN (SELECT cdi, fnc_year FROM report_r WHERE cdi IS NOT NULL "
-    "ORDER BY cdi, fnc_year LIMIT 1) USING (cdi, fnc_year)",
-    _slice,
+    f"SELECT * FROM report_r WHERE cdi IN ({_customers})", _slice,
+)
+check(
+    "report_p_slice", P_COLUMNS, "SELECT * FROM report_p WHERE cdi LIKE '%2'",
+    lambda s: restricted.report_p_of(s, CONFIG, F.expr("cdi LIKE '%2'")),
 )
 
 # -- jobs, sinks, log --------------------------------------------------------
@@ -623,6 +657,17 @@ check(
     "fiscalyear NULLS FIRST) AS place, * FROM report_p",
     _export,
 )
+check(
+    "job_steps", words("step n_rows"),
+    " UNION ALL ".join(
+        f"SELECT '{step}' AS step, count(*) AS n_rows FROM {table}"
+        for step, table in {
+            "eligible_old": "elig_old", "eligible_new": "elig_new", "final": "final_p",
+            "perimeter": "perim_p", "statements": "found_p", "report": "report_p",
+        }.items()
+    ),
+    lambda s: read_steps(s.spark, f"{_job_p(s)}/report_p").where("step <> 'candidates'"),
+)
 LOGGED = words("t_ JobId ETLFunction SourceTableCount TargetTableName TargetTableCount LogMessage SchemaName")
 check(
     "audit_log", (*LOGGED, "n_written"),

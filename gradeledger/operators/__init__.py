@@ -10,9 +10,12 @@ from gradeledger.operators.matching import (
     match_pinned_version,
 )
 from gradeledger.operators.quality import (
+    changed_columns,
     diff_reports,
     find_duplicates,
     metric_slice,
+    report_difference,
+    row_balance,
     side_by_side,
     step_counts,
 )
@@ -26,7 +29,8 @@ from gradeledger.operators.statements import change_vs_previous, choose_statemen
 
 __all__ = [
     "account_group_for", "account_groups", "attach_grade", "change_vs_previous",
-    "choose_statement_version", "diff_reports", "distinct_on", "eligible_ratings",
+    "changed_columns", "choose_statement_version", "diff_reports", "distinct_on", "eligible_ratings",
     "final_rating", "find_duplicates", "in_scope", "latest_before", "long_groups", "match_asof",
-    "match_pinned_version", "metric_slice", "side_by_side", "split_by_model", "step_counts", "usable_context",
+    "match_pinned_version", "metric_slice", "report_difference", "row_balance", "side_by_side",
+    "split_by_model", "step_counts", "usable_context",
 ]

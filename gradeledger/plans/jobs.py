@@ -10,6 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeledger.config import ReportConfig
+from gradeledger.operators.funnel import Funnel
 from gradeledger.operators.reuse import Keeper
 from gradeledger.plans.position import report_p
 from gradeledger.plans.risk import report_r
@@ -25,21 +26,23 @@ def _run(
     target: str,
     out: str,
     cfg: ReportConfig,
-    build: Callable[[Keeper], DataFrame],
+    build: Callable[[Keeper, Funnel], DataFrame],
     clock: Callable[[], datetime],
     view: str | None,
 ) -> bool:
-    """Success flag. The snapshot and its audit record are one commit. A failure anywhere leaves
+    """Success flag. The snapshot, its audit record and the row counts of its steps, which the
+    build counts on the way, are one commit. A failure anywhere leaves
     the old snapshot and is logged; if not even that can be written, nothing is raised."""
-    now, keeper, path = clock(), Keeper(cfg.sharing), f"{out}/{target}"
+    now, keeper, funnel, path = clock(), Keeper(cfg.sharing), Funnel(), f"{out}/{target}"
 
     def record(count: int, message: str) -> dict:
         return audit_record(function, target, count, message, now)
 
     try:
         write_report(
-            build(keeper), path, cfg.ref_date, view,
+            build(keeper, funnel), path, cfg.ref_date, view,
             audit=lambda count: record(count, f"{target} has been populated"),
+            steps=funnel.counts,
         )
         return True
     except Exception as failure:
@@ -72,7 +75,7 @@ def run_report_p(
     cfg = _config(cfg, ref_date)
     return _run(
         spark, "run_report_p", "report_p", out, cfg,
-        lambda keep: report_p(source, cfg, keep), clock, view,
+        lambda keep, mark: report_p(source, cfg, keep, mark), clock, view,
     )
 
 
@@ -89,5 +92,5 @@ def run_report_r(
     cfg = _config(cfg, ref_date)
     return _run(
         spark, "run_report_r", "report_r", out, cfg,
-        lambda keep: report_r(source, cfg, keep), clock, view,
+        lambda keep, mark: report_r(source, cfg, keep, mark), clock, view,
     )

@@ -18,6 +18,7 @@ from gradeledger.config import FINANCIALS, NEW, NON_FINANCIALS, OLD, ReportConfi
 from gradeledger.functions import context
 from gradeledger.functions.scalars import end_of
 from gradeledger.operators.dedup import distinct_on
+from gradeledger.operators.funnel import Mark, unmarked
 from gradeledger.operators.matching import (
     attach_grade,
     in_scope,
@@ -150,7 +151,7 @@ def best_pinned(ratings: DataFrame, source, cfg: ReportConfig, generation: str)
     return _kind(rating.join(entity, ["entityid", "entityversion"]), FINANCIALS)
 
 
-def candidate_ratings(source, cfg: ReportConfig) -> DataFrame:
+def candidate_ratings(source, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
     """Of each generation and kind, the ratings that can still become an entity's final one.
 
     Of financials ratings the last one per pinned version, ``matched_version``. Of the others
@@ -161,7 +162,9 @@ def candidate_ratings(source, cfg: ReportConfig) -> DataFrame:
     its own part of the key.
     """
     financials = F.col("modelid").isin(list(cfg.pinned))
-    ratings = union_all([eligible(source, cfg, g) for g in (OLD, NEW)]).withColumn(
+    ratings = union_all(
+        [mark(f"eligible_{g}", eligible(source, cfg, g)) for g in (OLD, NEW)]
+    ).withColumn(
         "match_kind", F.when(financials, FINANCIALS).when(~financials, NON_FINANCIALS)
     )
     pinned, old = F.col("match_kind") == FINANCIALS, F.col("generation") == OLD
@@ -202,7 +205,7 @@ def versions_by_use(source, cfg: ReportConfig) -> DataFrame:
     return union_all(parts).withColumn("matched_version", version).drop("versionid_")
 
 
-def final_rating_p(source, cfg: ReportConfig) -> DataFrame:
+def final_rating_p(source, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
     """One rating per entity over all models, graded.
 
     Pinned and as-of matches are one join: a financials rating meets the rows of its version,
@@ -211,14 +214,14 @@ def final_rating_p(source, cfg: ReportConfig) -> DataFrame:
     """
     keys = ["generation", "match_kind", "entityid"]
     pairs = in_scope(
-        versions_by_use(source, cfg), candidate_ratings(source, cfg),
+        versions_by_use(source, cfg), mark("candidates", candidate_ratings(source, cfg, mark)),
         [*keys, "matched_version"], cfg.splits,
     )
     before = F.col("sourcepopulateddate_entity") < F.col("sourcepopulateddate_rating")
     matched = distinct_on(
         pairs.where((F.col("match_kind") == FINANCIALS) | before), keys, LATEST_PAIR_ORDER
     ).drop("matched_version")
-    return graded(final_rating(matched, order=FINAL_ORDER_P), source)
+    return mark("final", graded(final_rating(matched, order=FINAL_ORDER_P), source))
 
 
 def graded(ratings: DataFrame, source) -> DataFrame:
@@ -244,13 +247,15 @@ def graded(ratings: DataFrame, source) -> DataFrame:
     )
 
 
-def final_rating_r(source, cfg: ReportConfig) -> DataFrame:
+def final_rating_r(source, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
     """One financials rating per entity: the last approved one."""
     candidates = [
-        best_pinned(approved(eligible_financials(source, cfg, g)), source, cfg, g)
+        best_pinned(
+            approved(mark(f"eligible_{g}", eligible_financials(source, cfg, g))), source, cfg, g
+        )
         for g in (OLD, NEW)
     ]
-    return final_rating(union_all(candidates), order=FINAL_ORDER_R)
+    return mark("final", final_rating(union_all(candidates), order=FINAL_ORDER_R))
 
 
 # -- perimeter ---------------------------------------------------------------

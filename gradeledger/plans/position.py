@@ -14,6 +14,7 @@ from gradeledger.functions.scalars import (
     zoned_text,
 )
 from gradeledger.operators.dedup import distinct_on
+from gradeledger.operators.funnel import Mark, unmarked
 from gradeledger.operators.ratings import split_by_model
 from gradeledger.operators.reuse import Keep, Keeper
 from gradeledger.operators.statements import choose_statement_version
@@ -38,9 +39,10 @@ YEAR_ORDER_P = (
 YEAR_KEYS = ("entityid", "cdicode", "afm", "statementyear")
 
 
-def perimeter_p(source: ReportSource, cfg: ReportConfig) -> DataFrame:
+def perimeter_p(source: ReportSource, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
     """The statements in scope of report P's final ratings."""
-    return perimeter(final_rating_p(source, cfg), cfg).where(F.col("match_kind") == FINANCIALS)
+    found = mark("perimeter", perimeter(final_rating_p(source, cfg, mark), cfg))
+    return found.where(F.col("match_kind") == FINANCIALS)
 
 
 def statements_in_scope(
@@ -64,14 +66,15 @@ def chosen_statements(
     generations=GENERATIONS,
     strict: bool = False,
     keep: Keep | None = None,
+    mark: Mark = unmarked,
 ) -> DataFrame:
     """The chosen version of each statement in scope of report P's final ratings.
 
     ``strict`` leaves out statements that have no version known at rating time.
     """
     keep = keep or Keeper("none")
-    scope = keep(perimeter_p(source, cfg))
-    found = statements_in_scope(source, cfg, scope, generations)
+    scope = keep(perimeter_p(source, cfg, mark))
+    found = mark("statements", statements_in_scope(source, cfg, scope, generations))
     if strict:
         found = found.where("sourcepopulateddate_financial <= sourcepopulateddate_rating")
     return choose_statement_version(
@@ -111,18 +114,20 @@ def report_p_years(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     return year_labels(statement_per_year(source, cfg))
 
 
-def report_p(source: ReportSource, cfg: ReportConfig, keep: Keep | None = None) -> DataFrame:
+def report_p(
+    source: ReportSource, cfg: ReportConfig, keep: Keep | None = None, mark: Mark = unmarked
+) -> DataFrame:
     """Report P: the latest fiscal year per entity, customer and canonical tax id.
 
     Choosing the statement of each year and then the latest year are two steps of
-    one order, so one window does both.
+    one order, so one window does both. ``mark`` may be a ``Funnel``.
     """
     latest = distinct_on(
-        chosen_statements(source, cfg, keep=keep),
+        chosen_statements(source, cfg, keep=keep, mark=mark),
         ["entityid", "cdicode", canonical_tax_id("afm")],
         [newest(F.col("statementyear").cast("string")), *YEAR_ORDER_P],
     )
-    return year_labels(latest)
+    return mark("report", year_labels(latest))
 
 
 def report_p_nonfin(source: ReportSource, cfg: ReportConfig) -> DataFrame:

@@ -21,6 +21,7 @@ from gradeledger.functions.scalars import (
 )
 from gradeledger.operators.accounts import scaled_balances, sum_groups
 from gradeledger.operators.dedup import distinct_on
+from gradeledger.operators.funnel import Mark, unmarked
 from gradeledger.operators.matching import in_scope
 from gradeledger.operators.reuse import Keep, Keeper
 from gradeledger.operators.statements import change_vs_previous, choose_statement_version
@@ -81,9 +82,9 @@ AMOUNT = ("accountid", "originrounding", "originbalance")
 LATEST_BALANCE = ("-sourcepopulateddate_", "-versionid_", "-originbalance", "-originrounding")
 
 
-def perimeter_r(source: ReportSource, cfg: ReportConfig) -> DataFrame:
+def perimeter_r(source: ReportSource, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
     """The statements in scope of report R's final ratings."""
-    return perimeter(final_rating_r(source, cfg), cfg)
+    return mark("perimeter", perimeter(final_rating_r(source, cfg, mark), cfg))
 
 
 def _approved_in_window(df: DataFrame, cfg: ReportConfig):
@@ -200,7 +201,7 @@ def report_r_years(found: DataFrame, cfg: ReportConfig) -> DataFrame:
 
 
 def report_r_metrics(
-    source: ReportSource, cfg: ReportConfig, keep: Keep | None = None
+    source: ReportSource, cfg: ReportConfig, keep: Keep | None = None, mark: Mark = unmarked
 ) -> DataFrame:
     """The 44 columns. Statements are chosen first; the account groups, made in one
     pass, and the share-capital change then join to the chosen rows only.
@@ -209,9 +210,9 @@ def report_r_metrics(
     the statements found in it.
     """
     keep = keep or Keeper("none")
-    scope = keep(perimeter_r(source, cfg))
-    found = keep(statements_in_scope(source, cfg, scope))
-    return assemble(found, groups_in_scope(source, cfg, scope), cfg)
+    scope = keep(perimeter_r(source, cfg, mark))
+    found = keep(mark("statements", statements_in_scope(source, cfg, scope)))
+    return mark("report", assemble(found, groups_in_scope(source, cfg, scope), cfg))
 
 
 def assemble(found: DataFrame, groups: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -246,7 +247,9 @@ def assemble(found: DataFrame, groups: DataFrame, cfg: ReportConfig) -> DataFram
     return wide.select(*[made[name].alias(name) for name in REPORT_R_COLUMNS])
 
 
-def report_r(source: ReportSource, cfg: ReportConfig, keep: Keep | None = None) -> DataFrame:
+def report_r(
+    source: ReportSource, cfg: ReportConfig, keep: Keep | None = None, mark: Mark = unmarked
+) -> DataFrame:
     """Report R. Each entity comes from one generation, so the metrics rows are
     already unique on (entity, customer, tax id, year)."""
-    return report_r_metrics(source, cfg, keep)
+    return report_r_metrics(source, cfg, keep, mark)

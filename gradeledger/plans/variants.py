@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
@@ -29,6 +29,7 @@ from gradeledger.plans.risk import (
 from gradeledger.sources.tables import ReportSource
 
 STATEMENT_KEYS = ("entityid", "financialid", "statementid")
+OWNER = ["entityid", "cdicode", "afm"]
 # What the choice of the pinned balance version reads.
 LATEST = ("sourcepopulateddate_", "accountid", "versionid_")
 
@@ -93,27 +94,51 @@ def reviewed_only(source: ReportSource, cfg: ReportConfig) -> DataFrame:
     return distinct_on(found, [*STATEMENT_KEYS, "accountid"], LATEST_BALANCE)
 
 
-def _known_statements(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
-    """Latest version, known at rating time, of every statement of a rated entity,
-    in the rating's scope or not."""
-    rated = scope.select(
+def _seeds(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame, first: DataFrame
+) -> DataFrame:
+    """Per owner the statement of the year before its ``first_year``, in the rating's scope or
+    not: the latest version known at rating time of each statement, then the newest.
+
+    Headers meet owners that have a first year, and only statements of which some version is
+    of the year before go on; the old generation's metrics are read for these alone.
+    """
+    owners = scope.select(
         "generation", "entityid", "financialid", "cdicode", "afm", "approveddate",
         "approvalstatus", "sourcepopulateddate_rating",
-    ).distinct()
+    ).distinct().join(first, OWNER)
+    header = ["pkid_", "versionid_", *STATEMENT_KEYS, "statementyear", "statementmonths",
+              "statementdatekey_", "sourcepopulateddate_"]
+    year_before = F.col("statementyear") == F.col("first_year") - 1
     parts = []
     for g in GENERATIONS:
-        rating = rated.where(F.col("generation") == g)
+        owner = owners.where(F.col("generation") == g)
         if g == OLD:
-            rating = rating.where(F.col("approvalstatus") == cfg.approved_status)
-        statements = source.load_statements(g).select(
-            "pkid_", F.col("versionid_").alias("versionid_financial"), *STATEMENT_KEYS,
-            "statementyear", "statementmonths", "statementdatekey_",
-            F.col("sourcepopulateddate_").alias("sourcepopulateddate_financial"), *CAPITAL,
-        )
-        parts.append(statements.join(rating, ["entityid", "financialid"]))
+            owner = owner.where(F.col("approvalstatus") == cfg.approved_status)
+            headers = source.load_statement_headers_old().select(*header)
+        else:
+            headers = source.load_statements_new().select(*header, *CAPITAL)
+        known = in_scope(
+            headers, owner, ["entityid", "financialid"], cfg.splits, ["pkid_", "versionid_"]
+        ).where(F.col("sourcepopulateddate_") <= F.col("sourcepopulateddate_rating"))
+        some = F.max(year_before).over(Window.partitionBy("pkid_"))
+        able = known.withColumn("_some", some).where("_some").drop("_some")
+        if g == OLD:
+            able = able.join(
+                source.load_statement_metrics_old().select("pkid_", "versionid_", *CAPITAL),
+                ["pkid_", "versionid_"],
+            )
+        parts.append(able.withColumnsRenamed({
+            "versionid_": "versionid_financial",
+            "sourcepopulateddate_": "sourcepopulateddate_financial",
+        }))
+    latest = distinct_on(
+        union_all(parts), ["generation", "pkid_"],
+        ["-sourcepopulateddate_financial", *STATEMENT_TIES],
+    )
     return distinct_on(
-        union_all(parts).where("sourcepopulateddate_financial <= sourcepopulateddate_rating"),
-        ["generation", "pkid_"], ["-sourcepopulateddate_financial", *STATEMENT_TIES],
+        latest.where(year_before), OWNER,
+        ["-statementyear", "-sourcepopulateddate_financial", "-versionid_financial", "-pkid_"],
     )
 
 
@@ -123,16 +148,9 @@ def prior_year_seed(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -
     Seed rows carry ``exclude_from_rating``, the others ``include_in_rating``. An owner whose
     customer or tax id is NULL equals no other and gets no seed.
     """
-    owner = ["entityid", "cdicode", "afm"]
     base = share_capital_base(statements_in_scope(source, cfg, scope, CAPITAL))
-    first = base.groupBy(*owner).agg(F.min("statementyear").alias("first_year"))
-    known = _known_statements(source, cfg, scope).alias("k")
-    same_owner = [F.col(f"k.{c}") == F.col(f"f.{c}") for c in owner]
-    before = F.col("k.statementyear") == F.col("f.first_year") - 1
-    seeds = distinct_on(
-        known.join(first.alias("f"), [*same_owner, before]).select("k.*"), owner,
-        ["-statementyear", "-sourcepopulateddate_financial", "-versionid_financial", "-pkid_"],
-    )
+    first = base.groupBy(*OWNER).agg(F.min("statementyear").alias("first_year"))
+    seeds = _seeds(source, cfg, scope, first)
     cols = ["pkid_", *SCOPE_KEYS, "cdicode", "afm", "statementyear", "statementmonths",
             "statementdatekey_", "versionid_financial", "sourcepopulateddate_financial", *CAPITAL]
     both = union_all([
@@ -140,6 +158,6 @@ def prior_year_seed(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -
         base.select(*cols, F.lit("include_in_rating").alias("seed_flag")),
     ])
     return change_vs_previous(
-        both, [*owner, "financialid"],
+        both, [*OWNER, "financialid"],
         ["statementdatekey_", "statementid", "pkid_"], CAPITAL,
     )

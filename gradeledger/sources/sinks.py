@@ -39,12 +39,13 @@ def write_report(
     ref_date: date,
     view: str | None = None,
     audit: Callable[[int], Mapping] | None = None,
+    steps: Callable[[], Mapping[str, int]] | None = None,
 ) -> int:
     """Replace the snapshot of one reference date; returns its row count.
 
     Each run writes a folder of its own, and one commit points the date to it when it is
-    complete; ``audit`` gives the record, made from the row count, that the same commit holds.
-    So whatever fails or dies before leaves the old snapshot, readers never meet half a run,
+    complete; ``audit`` gives the record, made from the row count, and ``steps`` the row counts
+    of steps, that the same commit holds. So whatever fails or dies before leaves the old snapshot, readers never meet half a run,
     and a snapshot is never without its record. Other dates are not touched, and an empty
     report replaces a full one. If another run published the date since this one began, this
     one raises ``PublishConflict`` and leaves nothing. Runs that are no longer named stay until
@@ -59,6 +60,8 @@ def write_report(
     entry = {"date": ref_date.isoformat(), "run": run, "rows": count}
     if audit is not None:
         entry["audit"] = dict(audit(count))
+    if steps is not None:
+        entry["steps"] = dict(steps())
 
     def unchanged(state: State) -> None:
         if state.number(ref_date) != before:
@@ -208,3 +211,10 @@ def read_audit(spark: SparkSession, *paths: str) -> DataFrame:
     for more in parts[1:]:
         out = out.unionByName(more)
     return out.where("audit IS NOT NULL").select("audit.*")
+
+
+def read_steps(spark: SparkSession, path: str) -> DataFrame:
+    """Row counts of the steps of each published run: ref_date, run, step, n_rows."""
+    entry = F.from_json("value", "date date, run string, steps map<string, bigint>").alias("e")
+    rows = CommitLog(spark, path).read().select(entry).where("e.steps IS NOT NULL")
+    return rows.select(F.col("e.date").alias("ref_date"), "e.run", F.explode("e.steps").alias("step", "n_rows"))
