@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from xxhash import xxh3_64_intdigest
 
 from gradeledger.llm.arrow import MIX_A, mix, raw_texts
@@ -40,6 +41,8 @@ SMOOTH = 0.05
 SEED = 10
 #: Length of text that log weights are tempered to in the keys.
 GRAMS = 300
+#: Documents worked on at once.
+ROWS = 500
 #: Tokens whose hashes a worker remembers at most.
 REMEMBERED = 120_000
 
@@ -88,7 +91,7 @@ def _counts(docs: DataFrame) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             for raw in raw_texts(batch, "text"):
                 total += np.bincount(gram_buckets(raw), minlength=BUCKETS) if raw else 0
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total)], ["bucket", "n"])
@@ -119,17 +122,22 @@ def _noise(seed: int) -> Column:
     return -F.log(-F.log(u))
 
 
+def _weights(texts: list[bytes | None], ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of grams and log weight of each text; the grams of one text are held at a time."""
+    made = [(len(g), float(ratios[g].sum())) for g in map(gram_buckets, texts)]
+    return np.array([n for n, _ in made], np.int64), np.array([x for _, x in made], float)
+
+
 def weighed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
     """``docs`` (doc_id, text) to doc_id, n_grams, log_weight and key."""
     table = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = table.value
-        for batch in batches:
-            grams = [gram_buckets(raw) for raw in raw_texts(batch, "text")]
-            sums = [float(own[g].sum()) for g in grams]
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            n, sums = _weights(raw_texts(batch, "text"), own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(g) for g in grams], pa.int64()), pa.array(sums, pa.float64()), batch.column("noise")],
+                [batch.column("doc_id"), pa.array(n), pa.array(sums), batch.column("noise")],
                 ["doc_id", "n_grams", "log_weight", "noise"],
             )
 
@@ -201,11 +209,13 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, bar = table.value
-        for batch in batches:
-            grams = [gram_buckets(raw) for raw in raw_texts(batch, "_text")]
-            keys = np.array([GRAMS * float(own[g].sum()) / max(len(g), 1) for g in grams]) + batch.column("_noise").to_numpy()
-            kept = batch.filter(pa.array((np.array([len(g) for g in grams]) > 0) & (keys >= bar)) if grams else pa.array([], pa.bool_()))
-            yield kept.drop_columns(["_text", "_noise"])
-
-    rows = docs.withColumns({"_noise": _noise(seed), "_text": F.col("text").cast("string")})
-    return rows.mapInArrow(work, docs.schema)
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            n, sums = _weights(raw_texts(batch, "text"), own)
+            keys = GRAMS * sums / np.maximum(n, 1) + batch.column("noise").to_numpy()
+            kept = batch.filter(pa.array((n > 0) & (keys >= bar)))
+            yield pa.RecordBatch.from_arrays([kept.column("row")], ["row"])
+
+    # the caller's columns travel as one, so that none can bear a name used here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, _noise(seed).alias("noise"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(work, StructType([StructField("row", docs.schema)])).select("row.*")

@@ -151,9 +151,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     fails = lambda q: F.struct(*(c.alias(n) for n, c in failures(lambda name: q[name]).items()))
     narrow = docs.select(F.col("source").alias("host"), _let(measure(F.col("text")), fails).alias("f")).select("host", "f.*")
-    verdicts = host_verdicts(narrow).select(F.col("host").alias("_host"), F.col("verdict").alias("_verdict"))
-    rows = docs.withColumn("_host", F.col("source"))
-    rows = join_small(rows, stored(verdicts, "verdicts"), ["_host"], spread=F.col("doc_id"))
-    verdict = F.coalesce("_verdict", F.lit("plain"))
-    kept = _let(_let(measure(F.col("text")), fails), lambda f: _kept(f.base_failed, f.hard, f.mild, verdict))
-    return rows.where(kept).select(*docs.columns)
+    verdicts = stored(host_verdicts(narrow).select("host", "verdict"), "verdicts")
+    # the caller's columns travel as one, so that none can bear a name used here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("source").alias("host"))
+    rows = join_small(rows, verdicts, ["host"], spread=F.col("row.doc_id"))
+    verdict = F.coalesce("verdict", F.lit("plain"))
+    kept = _let(_let(measure(F.col("row.text")), fails), lambda f: _kept(f.base_failed, f.hard, f.mild, verdict))
+    return rows.where(kept).select("row.*")
