@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column
+from gradeledger.llm.runs import Runs
 
-#: Runs of text, and pairs of tokens, that a worker remembers at most.
-REMEMBERED = 120_000
+#: Pairs of tokens, and pieces, that a worker remembers at most.
+REMEMBERED = 200_000
+LONGEST_REMEMBERED = 100
 #: Documents worked on at once, and ids decoded at once.
 ROWS = 1_000
 DECODE_IDS = 1 << 20
@@ -45,9 +47,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 SPACES = "\t\n\v\f\r \x85\xa0  -     　"
 
-_SPACE = re.compile(f"[{SPACES}]+")
 _PIECE = regex.compile(PIECES.replace(r"\s", SPACES))
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
 _END = 0x10000  # added to the last character of a piece: one symbol with the word's end
 
 
@@ -61,10 +61,11 @@ def byte_signs() -> list[str]:
     return [signs[b] for b in range(256)]
 
 
-class Vocabulary:
+class Vocabulary(Runs):
     """Tables of one vocabulary file. Tokens are numbered by rank: signs, then merges."""
 
     def __init__(self, content: str):
+        super().__init__()
         file = json.loads(content)
         ids: dict[str, int] = file["model"]["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
@@ -89,7 +90,8 @@ class Vocabulary:
         self.number_table = offset_table([f"{i} ".encode() for i in range(size)])
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.runs: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton()
         for r, form in enumerate(self.forms):
             if self.parts[r] is None or self.joins(*self.parts[r], r):
@@ -158,29 +160,35 @@ class Vocabulary:
                 pos -= lengths[out.pop()]
         return out
 
-    def run(self, text: str) -> bytes:
-        """Ids of a run without white space, as 32-bit little-endian integers."""
-        known = self.runs.get(text)
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of one piece; two generations of pieces are remembered, as of runs."""
+        known = self.pieces.get(piece)
         if known is None:
-            plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            ranks = [r for p in _PIECE.findall(plain) for r in self.piece(p)]
-            known = self.ids[ranks].tobytes() if ranks else b""
-            if len(text) <= 64:
-                if len(self.runs) >= REMEMBERED:
-                    self.runs.clear()
-                self.runs[text] = known
+            known = self.older_pieces.get(piece)
+            if known is None:
+                known = self.ids[self.piece(piece)].tobytes()
+            if len(piece) <= LONGEST_REMEMBERED:
+                if len(self.pieces) >= REMEMBERED:
+                    self.older_pieces, self.pieces = self.pieces, {}
+                self.pieces[piece] = known
         return known
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.cut is None or not any(s in text for s in self.special):
-            return np.frombuffer(self._plain(text), "<u4")
-        parts = self.cut.split(text)
-        made = [self._plain(p) if i % 2 == 0 else np.array([self.special[p]], "<u4").tobytes() for i, p in enumerate(parts)]
-        return np.frombuffer(b"".join(made), "<u4")
+    def run(self, text: str) -> bytes:
+        """Ids of a run without white space, as 32-bit little-endian integers."""
+        if self.cut is not None and self.cut.search(text):
+            parts = enumerate(self.cut.split(text))
+            return b"".join(
+                self._plain(p) if i % 2 == 0 else np.array([self.special[p]], "<u4").tobytes() for i, p in parts
+            )
+        return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        runs = text.split() if not _ODD_SPACE.search(text) else [r for r in _SPACE.split(text) if r]
-        return b"".join(map(self.run, runs))
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return b"".join(map(self.piece_ids, _PIECE.findall(text.lower())))
+
+    def learn(self, runs: list[str]) -> None:
+        self.known.update((r, self.run(r)) for r in runs)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens with one space between, in UTF-8."""
@@ -238,7 +246,7 @@ def encode_decode(docs: DataFrame, path: str | Path, outputs: tuple[str, ...] =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(content.value)
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            all_ids = [words.encode(t) if t else np.zeros(0, "<u4") for t in batch.column("text").to_pylist()]
+            all_ids = [np.frombuffer(ids, "<u4") for ids in words.encode(batch.column("text"))]
             made = [batch.column("doc_id"), pa.array([len(i) for i in all_ids], pa.int64())]
             texts = [words.decode(i) for i in all_ids] if {"decoded", "decoded_sha256"} & {*outputs} else []
             for o in outputs:

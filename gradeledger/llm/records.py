@@ -34,13 +34,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gradeledger.llm.crc32c import crc32c, masked
+from gradeledger.llm.runs import Runs
 from gradeledger.llm.store import join_small, new_folder, stored
 
 #: Bytes of text for one file, about.
 FILE_BYTES = 64 << 20
-#: Runs of text that a worker remembers at most, twice.
-REMEMBERED = 400_000
-LONGEST_REMEMBERED = 100
 #: Bytes of text encoded, and of records read, at once, about.
 TEXT_BYTES = READ_BYTES = 8 << 20
 #: A sign that is a piece and a token of its own, between runs asked for together.
@@ -51,19 +49,14 @@ END_ID = 1
 _FIELDS = "<qqI"
 _WIDE, _NULL_ID = 1, 2  # flags: ids of 4 bytes; the document's id is null
 _FRAME = 16  # bytes of a frame besides the record
-_ODD_SPACE = "[\x1c-\x1f]"  # white space to Arrow and Python, not to the vocabulary
-_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 INDEX = "file int, path string, offset long, length long"
 
 
-class RunEncoder:
-    """The tokenizers library, asked once for each run of text without white space.
-
-    The vocabulary drops white space and no token crosses it, so a text's ids are those of
-    its runs. Two generations of runs are remembered: those not met lately go first.
-    """
+class RunEncoder(Runs):
+    """The tokenizers library, asked once for each run of text without white space."""
 
     def __init__(self, content: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
@@ -71,10 +64,8 @@ class RunEncoder:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
-    def _learn(self, runs: list[str]) -> None:
+    def learn(self, runs: list[str]) -> None:
         """Asks the library for many runs in one text, with ``MARK`` between them."""
         for i in range(0, len(runs), 1_000):
             some = runs[i : i + 1_000]
@@ -90,47 +81,6 @@ class RunEncoder:
                 for run, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                     self.known[run] = np.array(one.ids, self.kind).tobytes()
 
-    def _of_runs(self, runs: list[str]) -> list[bytes]:
-        """The ids of distinct runs."""
-        out = list(map(self.known.get, runs))
-        missing = [r for r, ids in zip(runs, out, strict=True) if ids is None]
-        again = {r: self.older[r] for r in missing if r in self.older}
-        self.known.update(again)
-        new = [r for r in missing if r not in again]
-        self._learn(new)
-        if missing:
-            out = list(map(self.known.__getitem__, runs))
-        for run in new:
-            if len(run) > LONGEST_REMEMBERED:
-                del self.known[run]
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        return out
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text as little-endian integers of ``kind``; null counts as empty.
-
-        Runs are made distinct, looked up once each, and their ids gathered by run number.
-        """
-        texts = pc.fill_null(texts, "")
-        if pc.any(pc.match_substring_regex(texts, _ODD_SPACE)).as_py():
-            split = pa.array([list(filter(None, _SPACE.split(t))) for t in texts.to_pylist()], pa.list_(pa.string()))
-        else:
-            split = pc.utf8_split_whitespace(texts)
-        ends = split.offsets.to_numpy().astype(np.int64)
-        coded = pc.dictionary_encode(split.values)
-        made = self._of_runs(coded.dictionary.to_pylist())
-        size = np.dtype(self.kind).itemsize
-        # white space at a text's ends makes empty runs, which have no ids
-        lengths = np.fromiter(map(len, made), np.int64, len(made)) // size
-        starts, of_word = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
-        n = lengths[of_word]
-        done = np.concatenate([[0], np.cumsum(n)])
-        ids = np.frombuffer(b"".join(made), self.kind)
-        flat = ids[np.repeat(starts[of_word] - done[:-1], n) + np.arange(done[-1])].tobytes()
-        cuts = (done[ends] * size).tolist()
-        return [flat[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
-
 
 _ENCODERS: dict[str, RunEncoder] = {}
 

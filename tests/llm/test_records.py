@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from gradeledger.llm import records
+from gradeledger.llm import runs
 from gradeledger.llm.crc32c import crc32c, masked
 from gradeledger.llm.queries import QUERIES, table
 from gradeledger.llm.records import RunEncoder, frames, read_records, token_records, unframe, write_records
@@ -68,11 +68,11 @@ def test_runs_give_the_library_ids(text):
     library = Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
     for _ in range(2):  # the second time from memory
         assert np.frombuffer(ours.encode(pa.array([None, text, ""]))[1], ours.kind).tolist() == library
-    assert all(len(r) <= records.LONGEST_REMEMBERED for r in ours.known)
+    assert all(len(r) <= runs.LONGEST_REMEMBERED for r in ours.known)
 
 
 def test_forgotten_runs(monkeypatch):
-    monkeypatch.setattr(records, "REMEMBERED", 3)
+    monkeypatch.setattr(runs, "REMEMBERED", 3)
     ours = RunEncoder(Path(VOCABULARY).read_text(encoding="utf-8"))
     library = Tokenizer.from_file(VOCABULARY)
     for text in ("a b c d e f", "a b x", "x y z a", "f e d c b a") * 2:
