@@ -47,7 +47,8 @@ class ReportConfig:
     ``sharing`` says how results that several joins read are kept: ``persist``,
     ``checkpoint`` (reliable, for long lineages) or ``none``. ``splits`` is the number
     of places the rows of one join key may go to; two are enough to let adaptive
-    execution divide a hot key further.
+    execution divide a hot key further. With 0 keys are weighed by a pass over their columns
+    and each heavy one gets its own number; with 1 bucketed tables are joined where they lie.
     """
 
     ref_date: date

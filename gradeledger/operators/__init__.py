@@ -25,12 +25,13 @@ from gradeledger.operators.ratings import (
     split_by_model,
     usable_context,
 )
+from gradeledger.operators.skew import key_places, weighed_join
 from gradeledger.operators.statements import change_vs_previous, choose_statement_version
 
 __all__ = [
     "account_group_for", "account_groups", "attach_grade", "change_vs_previous",
     "changed_columns", "choose_statement_version", "diff_reports", "distinct_on", "eligible_ratings",
-    "final_rating", "find_duplicates", "in_scope", "latest_before", "long_groups", "match_asof",
+    "final_rating", "find_duplicates", "in_scope", "key_places", "latest_before", "long_groups", "match_asof",
     "match_pinned_version", "metric_slice", "report_difference", "row_balance", "side_by_side",
-    "split_by_model", "step_counts", "usable_context",
+    "split_by_model", "step_counts", "usable_context", "weighed_join",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.functions.scalars import presence_flag
 from gradeledger.operators.dedup import distinct_on
+from gradeledger.operators.skew import weighed_join
 
 
 def attach_grade(df: DataFrame, grades: DataFrame, scale: DataFrame) -> DataFrame:
@@ -148,9 +149,14 @@ def in_scope(
     Use it where a grouping by the same key follows the join: without the split both
     would share one partitioning, and adaptive execution could not divide it.
 
+    With ``splits=0`` the keys of ``df`` are weighed first: each heavy one gets as many places
+    as its rows ask for, and nothing is copied for the others.
+
     ``spread`` names the columns that decide the place, by default all others; name
     those that are read anyway, so that the scan stays narrow.
     """
+    if splits == 0:
+        return weighed_join(df, perimeter, on, spread)
     if splits > 1:
         rest = spread or [c for c in df.columns if c not in on]
         place = F.pmod(F.xxhash64(*rest), F.lit(splits)).cast("int")
