@@ -31,6 +31,7 @@ from gradeledger.operators.reuse import shared_dir
 from gradeledger.plans import matched, position, restricted, risk, variants
 from gradeledger.plans.jobs import run_report_p, run_report_r
 from gradeledger.plans.matched import union_all
+from gradeledger.sources.layout import lay_out
 from gradeledger.sources.sinks import (
     append_audit,
     audit_record,
@@ -356,6 +357,21 @@ check("report_p_nonfin", P_COLUMNS, "p_nonfin", lambda s: position.report_p_nonf
 
 check("macros_new", MACRO, "macros_new", lambda s: risk.macros_new(s, CONFIG, scope(s)))
 check("macros_old", MACRO, "macros_old", lambda s: risk.macros_old(s, CONFIG, scope(s)))
+# The same joins with keys weighed first, and on tables laid out by their keys.
+WEIGHED, WHERE_THEY_LIE = replace(CONFIG, splits=0), replace(CONFIG, splits=1)
+check("macros_old_weighed", MACRO, "macros_old", lambda s: risk.macros_old(s, WEIGHED, scope(s)))
+
+
+def _laid_out(source: ReportSource) -> ReportSource:
+    """The source tables in buckets, below a folder and under names of their own."""
+    run = uuid.uuid4().hex
+    return lay_out(source, f"laid_{run}_", f"{shared_dir(source.spark)}/laid-{run}", 16)
+
+
+check(
+    "account_groups_bucketed", (*risk.SCOPE_KEYS, *ACCOUNT_GROUPS), "groups_wide",
+    lambda s: (lambda laid: risk.groups_in_scope(laid, WHERE_THEY_LIE, scope(laid)))(_laid_out(s)),
+)
 check(
     "account_groups", (*risk.SCOPE_KEYS, *ACCOUNT_GROUPS), "groups_wide",
     lambda s: risk.groups_in_scope(s, CONFIG, scope(s)),
