@@ -33,6 +33,8 @@ SEED = 20
 SHARDS = 64
 #: Documents in a block, about, where a source is small.
 LEAST_BLOCK = 256
+#: Equal rows that are numbered in one go.
+NUMBERED = 10_000
 #: A source is repeated this often at most.
 REPEATS = 3
 
@@ -85,18 +87,33 @@ def _key() -> Column:
 
 
 def _fill(block: pd.DataFrame, seed: int) -> pd.DataFrame:
-    """Keys of documents of a border block, in random order, that still fit what it must give;
-    then the one more that comes nearest, if the sum gets nearer by it."""
+    """Documents of a border block, in random order, as many copies of each (``_m`` of ``_n``) as
+    still fit what the block must give; then the one copy more that comes nearest, if the sum
+    gets nearer by it."""
     order = mix_bits(block["_key"].to_numpy(np.int64).view(np.uint64) + np.uint64(seed)).argsort(kind="stable")
     block = block.iloc[order].reset_index(drop=True)
-    left, fits = block["_part"].iloc[0], []
-    for size in block["size"]:
-        fits.append(size <= left)
-        left -= size if fits[-1] else 0
-    over = [(abs(left - size), i) for i, size in enumerate(block["size"]) if not fits[i]]
+    left, taken = block["_part"].iloc[0], []
+    for size, n in zip(block["size"], block["_n"], strict=True):
+        taken.append(min(n, int(left // size)) if size else n)
+        left -= taken[-1] * size
+    over = [(abs(left - size), i) for i, size in enumerate(block["size"]) if taken[i] < block["_n"][i]]
     if over and min(over)[0] < left:
-        fits[min(over)[1]] = True
-    return block.loc[fits, ["_key"]]
+        taken[min(over)[1]] += 1
+    return block[["_key", "_n"]].assign(_m=taken).query("_m > 0")
+
+
+def _some_copies(rows: DataFrame) -> DataFrame:
+    """``_in`` for ``_m`` of the ``_n`` equal rows of each key.
+
+    Which ones doesn't matter. They are numbered, in several parts where a key has more than
+    ``NUMBERED`` rows: a part takes its share to within one row.
+    """
+    parts = 1 + F.floor(F.col("_n") / NUMBERED)
+    rows = rows.withColumn("_number_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts))
+    at = F.row_number().over(Window.partitionBy("_key", "_number_part").orderBy(F.lit(1))).cast("long")
+    start = F.floor(F.col("_number_part") * F.col("_n") / parts)
+    upto = lambda i: F.floor((i * F.col("_m") + start) / F.col("_n"))
+    return rows.withColumn("_in", upto(at) > upto(at - 1)).drop("_number_part")
 
 
 def _hash(seed: int, *columns: str) -> Column:
@@ -140,11 +157,11 @@ class _Plan:
 
         border = self.units.where("_part > 0 and _part < words").select("_source", "_block", "_part")
         inside = join_small(rows.drop("_part"), stored(border, "border"), ["_source", "_block"], "inner", spread=F.col("_key"))
-        inside = inside.select("_source", "_block", "_part", "doc_id", "_key", "size")
-        self.border = stored(
-            inside.groupBy("_source", "_block").applyInPandas(lambda b: _fill(b, seed), "_key long").distinct().withColumn("_in", F.lit(True)),
-            "taken",
-        )
+        # equal rows are one row with their number, so a row that is repeated without end is none
+        inside = inside.groupBy("_source", "_block", "_part", "_key").agg(F.min("size").alias("size"), F.count("*").alias("_n"))
+        fill = inside.groupBy("_source", "_block").applyInPandas(lambda b: _fill(b, seed), "_key long, _n long, _m long")
+        self.border = stored(fill, "taken")
+        self.divided = not self.border.where("_m < _n").isEmpty()
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         """``rows`` (source, doc_id, _key) with their source's figures and their block."""
@@ -171,7 +188,11 @@ class _Plan:
         rows = self._placed(docs.withColumn("_key", _key()))
         rows = join_small(rows, self.units, ["_source", "_block"], spread=F.col("_key"))
         rows = join_small(rows, self.border, ["_key"], spread=F.col("_key"))
-        in_rest = (F.col("_part") >= F.col("words")) | F.coalesce("_in", F.lit(False))
+        rows = rows.withColumn("_in", F.coalesce(F.col("_m") >= F.col("_n"), F.lit(False)))
+        if self.divided:
+            some = F.coalesce(F.col("_m") < F.col("_n"), F.lit(False))
+            rows = rows.where(~some).unionByName(_some_copies(rows.where(some)))
+        in_rest = (F.col("_part") >= F.col("words")) | F.col("_in")
         taken = F.filter(F.coalesce("_shards", F.array()), lambda c: (in_rest & (F.col("_part") > 0)) | (c.copy <= F.col("_whole")))
         return rows.withColumns({
             "_copies": F.transform(taken, lambda c: c.shard), "_source_size": F.col("source_size"), "_target": F.col("target"),
@@ -184,7 +205,7 @@ def draws(docs: DataFrame, weights: Weights = (5, 2, 1), shards: int = SHARDS, s
 
     ``weights`` are by source, or a cycle over the sources by code point, null last. Null and
     empty texts have size 0 and go with their block. A null source is a source. Equal rows
-    are drawn together, up to ``REPEATS`` times each. Totals of the sources, a row each, are
+    lie in one block; of one on the border, some of them are taken and others not. Totals of the sources, a row each, are
     the only rows that come to the driver. An empty table gives no rows; further columns are
     ignored.
     """

@@ -443,3 +443,21 @@ def test_stages_leave_columns_of_any_name_alone(spark):
         assert stage.columns == docs.columns
         kept = stage.collect()
         assert kept and all(r == given[r.doc_id] for r in kept)
+
+
+@pytest.mark.parametrize("numbered", [10_000, 100])
+def test_mix_of_repeated_rows(spark, monkeypatch, numbered):
+    """Half of a source is one row: some of its copies are taken, near the target."""
+    monkeypatch.setattr("gradeledger.llm.mixing.NUMBERED", numbered)
+    one = " ".join(f"w{j}" for j in range(20))
+    rows = [(7, one, "b")] * 1500 + [(100 + i, " ".join(f"x{j}" for j in range(5 + i % 20)), "b") for i in range(1500)]
+    rows += [(5000 + i, " ".join(f"y{j}" for j in range(30)), "a") for i in range(800)] + [(6000 + i, "z " * 9, "c") for i in range(300)]
+    for weights in ((5, 2, 1), (1, 4, 2)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+        drawn = draws(docs, weights).select("source", "size", "target", F.size("copies").alias("n")).collect()
+        assert len(drawn) == len(rows)
+        for source in "abc":
+            own = [r for r in drawn if r.source == source]
+            room = 30 if numbered > 1500 else 30 + 20 * 16
+            assert abs(sum(r.size * r.n for r in own) - own[0].target) <= room
+            assert max(r.n for r in own) <= 3
