@@ -1,6 +1,7 @@
 """Cases that once went wrong on both sides of the comparison, and rows that must differ."""
 
 from dataclasses import replace
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
@@ -106,12 +107,61 @@ def test_both_sides_of_the_difference_have_rows(spark):
 def test_fixed_values():
     """Written out by hand, so that a changed constant can't pass on both sides."""
     assert ROUNDING_FACTORS == {0: 1, 1: 1000, 2: 100000}
-    assert ACCOUNT_GROUPS["net_receivables"] == (1640, 1641, 1642, 1643, 1646, -1650)
-    assert ACCOUNT_GROUPS["interest"] == (3400,) and ACCOUNT_GROUPS["goodwill"] == (1100,)
+    assert dict(ACCOUNT_GROUPS) == {
+        "inventories": (1520, 1521, 1522, 1523),
+        "net_receivables": (1640, 1641, 1642, 1643, 1646, -1650),
+        "trade_payables": (2680, 2685, 2686, 2687),
+        "total_debt": (2100, 2110, 2115, 2120, 2130, 2150, 2400, 2410, 2415, 2420, 2430, 2440, 2450, 2460, 2470),
+        "short_debt": (2400, 2410, 2415, 2420, 2430, 2440, 2450, 2460, 2470),
+        "long_debt": (2100, 2110, 2115, 2120, 2130, 2150),
+        "dividends": (5950, 5960),
+        "interest": (3400,),
+        "goodwill": (1100,),
+    }
     assert len(risk.REPORT_R_COLUMNS) == 44 and len(position.REPORT_P_COLUMNS) == 12
     assert CFG.largest == ("goodwill",) and NEW == "new"
 
 
+def test_every_metric_reaches_its_column(spark):
+    """A statement in which each metric and account has a value of its own."""
+    shown = {
+        "cashandequivalents": "csh", "ebitda": "ebitda", "totequityreserves": "eqty", "netprofit": "nt_incm",
+        "salesrevenues": "sales_revenue", "netfixedassets": "netfixedassets", "totalassets": "totalassets",
+        "commonsharecapital": "commonsharecapital", "totalliabilities": "totalliabilities",
+        "grossprofit": "grossprofit", "ebit": "ebit", "profitbeforetax": "profitbeforetax",
+        "workingcapital": "workingcapital", "dcfcffrmoperact": "flowsoperationalactivity",
+        "dcfcffrominvestact": "flowsinvestmentactivity", "dcfcffromfinact": "flowsfinancingactivity",
+        "grossprofitmargin": "grossprofitmargin", "netprofitmargin": "netprofitmargin",
+        "ebitdamargin": "ebitdamargin", "debttoequity": "totalliabilitiestototalequity",
+        "returnonassets": "returnonassets", "returnontoteqres": "returnonequity",
+        "currentratio": "currentratio", "quickratio": "quickratio",
+    }
+    values = {m: Decimal(100 + i) for i, m in enumerate(sorted(shown))}
+    accounts = {
+        1100: "1", 1520: "2", 1523: "4", 1640: "8", 1650: "3", 2680: "16", 2110: "32", 2410: "64",
+        5950: "128", 5960: "256", 3400: "512",
+    }
+    source = MemorySource(
+        spark, rating_new=[rating(True, 7, "2023-03-04")], entity_new=[entity(True, 7)],
+        statement_new=[statement(True, 7, 1, 2021, "2022-05-01", **values)],
+        balance_new=[balance(True, 7, 1, code, amount) for code, amount in accounts.items()],
+    )
+    (row,) = risk.report_r(source, CFG).collect()
+    assert {out: row[out] for out in shown.values()} == {out: values[m] for m, out in shown.items()}
+    assert {c: int(row[c]) for c in (
+        "gdwill", "inventory", "nettradereceivables", "tradepayable", "totalbankingdebt",
+        "shorttermbankingdebt", "longtermbankingdebt", "balancedividendspayable",
+    )} == {
+        "gdwill": 1, "inventory": 6, "nettradereceivables": 5, "tradepayable": 16, "totalbankingdebt": 96,
+        "shorttermbankingdebt": 64, "longtermbankingdebt": 32, "balancedividendspayable": 384,
+    }
+    ebitda, cash = values["ebitda"], values["cashandequivalents"]
+    cents = Decimal("0.01")
+    assert row.totalbankingdebttoebitda == (96 / ebitda).quantize(cents, ROUND_HALF_UP)
+    assert row.netbankingdebttoebitda == ((96 - cash) / ebitda).quantize(cents, ROUND_HALF_UP)
+    assert row.interestcoverage == (ebitda / 512).quantize(cents, ROUND_HALF_UP)
+
+
 def test_ratings_without_approval_stay_out_of_the_grade_join(spark):
     from gradeledger.operators import attach_grade
 
