@@ -11,6 +11,8 @@ import numpy as np
 GROUPS, MEMBERS = 12, 12
 SYMBOLS = GROUPS * MEMBERS
 HIDDEN = 16
+#: Runs that are trained together.
+ROWS = 512
 #: Steps of one window: gradients stop at its start, states don't.
 WINDOW = 16
 
@@ -107,21 +109,26 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     logs, back = log_probs(p, flat, targets.ravel(), grads, weight.ravel().astype(np.float32))
     back = back.reshape(states.shape)
     carried = np.zeros_like(h)
+    moved = np.empty((*inputs.shape, 3 * HIDDEN), np.result_type(h, p["u"]))
     for t in reversed(range(len(inputs))):
         before, z, r, n, vn = trace[t]
         d = back[t] + carried
         dn = d * (1 - z) * (1 - n * n)
         dz = d * (before - n) * z * (1 - z)
         dr = dn * vn * r * (1 - r)
-        dx = np.concatenate([dz, dr, dn], axis=1)
-        dv = np.concatenate([dz, dr, dn * r], axis=1)
-        np.add.at(grads["x"], inputs[t], dx)
+        dx = np.concatenate([dz, dr, dn], axis=1, out=moved[t])
+        dv = dx.copy()
+        dv[:, 2 * HIDDEN :] *= r
         grads["u"] += before.T @ dv
         carried = d * z + dv @ p["u"].T
+    symbols = inputs.ravel()
+    order = np.argsort(symbols, kind="stable")
+    seen, first = np.unique(symbols[order], return_index=True)
+    grads["x"][seen] = np.add.reduceat(moved.reshape(-1, 3 * HIDDEN)[order], first)
     return -float((logs * weight.ravel()).sum()), grads, states[-1]
 
 
-def train(p: dict[str, np.ndarray], runs: list[np.ndarray], skips: np.ndarray, rate: float, rows: int = 64) -> dict[str, np.ndarray]:
+def train(p: dict[str, np.ndarray], runs: list[np.ndarray], skips: np.ndarray, rate: float, rows: int = ROWS) -> dict[str, np.ndarray]:
     """One pass of Adam over all runs: the symbol before, then the symbols, of which the first
     ``skips`` only warm the state up. The state is carried through the whole run.
 

@@ -9,9 +9,10 @@ itself factored into groups and members.
 1. Words of all training documents are counted (partial counts in tasks, then a shuffle).
 2. All symbols of all training documents train the network. A text is cut into consecutive
    runs; the state is carried through a run, and a run that doesn't begin its text is warmed
-   up by the symbols before. In each round every partition makes a pass of its own from the
-   same parameters, and the results are averaged, weighted by symbols. So training grows with
-   the corpus, with the texts' number as with their length.
+   up by the symbols before. Runs are dealt to shards by a hash of the document, the run's
+   place and its symbols; each shard makes one pass from the same parameters, in an order that
+   its runs fix, and the results are averaged, weighted by symbols. So training grows with
+   the corpus, and files, tasks and cores have no part in the result.
 3. All documents are scored whole. Counts of the ``HEAD`` most frequent words are at hand in
    every task; the others' counts come by a join on the word's hash, after each task has
    summed a document's repeats.
@@ -41,8 +42,8 @@ FLUSH = 150_000
 ROWS = 1_000
 #: Symbols of one training run at most, and before it to warm its state up.
 RUN, WARM = 64 * gru.WINDOW, 2 * gru.WINDOW
-#: Runs per partition (about), rounds, and Adam's rate.
-RUNS, ROUNDS, RATE = 4_000, 4, 0.02
+#: Runs per shard (about), and Adam's rate.
+RUNS, RATE = 4_000, 0.04
 SEED = 6
 #: Bytes of an ending, and what may follow it.
 ENDING, TRAILING = 3, b".,;:!?\"')"
@@ -137,61 +138,80 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
 
 
 def training_runs(train: DataFrame, words: Lexicon) -> DataFrame:
-    """(symbols, skip): the runs of each text, which together have all its symbols and its end
-    once. ``symbols`` are the symbol before, ``skip`` symbols that warm up, and up to RUN more."""
+    """(symbols, skip, place): the runs of each text, which together have all its symbols and its
+    end once. ``symbols`` are the symbol before, ``skip`` symbols that warm up, and up to RUN
+    more; ``place`` is a hash of document, place in the text and symbols."""
     shared = train.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         runs: list[np.ndarray] = []
         skips: list[int] = []
+        places: list[int] = []
 
         def flush() -> pa.RecordBatch:
-            made = [list_column(runs, np.int16), pa.array(skips, pa.int32())]
+            made = [list_column(runs, np.int16), pa.array(skips, pa.int32()), pa.array(np.array(places, np.uint64).view(np.int64))]
             runs.clear()
             skips.clear()
-            return pa.RecordBatch.from_arrays(made, ["symbols", "skip"])
+            places.clear()
+            return pa.RecordBatch.from_arrays(made, ["symbols", "skip", "place"])
 
         for batch in _slices(batches):
-            for raw in raw_texts(batch, "text"):
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch, "text"), strict=True):
                 symbols = np.concatenate([[gru.SYMBOLS], own.read(tokens(raw))[0]]).astype(np.int16)
                 for at in range(1, len(symbols), RUN):
                     skips.append(min(at - 1, WARM))
                     runs.append(symbols[at - 1 - skips[-1] : at + RUN])
+                    places.append(xxh3_64_intdigest(f"{doc_id} {at} ".encode() + runs[-1].tobytes()))
                     if len(runs) >= ROWS:
                         yield flush()
         yield flush()
 
-    return train.select("text").mapInArrow(work, "symbols array<short>, skip int")
+    return train.select("doc_id", "text").mapInArrow(work, "symbols array<short>, skip int, place long")
 
 
 def train_network(runs: DataFrame, frequencies: np.ndarray) -> dict[str, np.ndarray]:
-    """Iterative parameter mixing over ``runs``, a stored table. Parameters (some ten thousand
-    numbers) are averaged on the executors."""
+    """Parameter mixing over ``runs``, a stored table. Parameters (some ten thousand numbers)
+    are averaged on the executors. A task holds one shard's runs at a time."""
     params = gru.initial(frequencies, SEED)
     total = runs.count()
     if not total:
         return params
-    dealt = stored(runs.repartition(max(1, round(total / RUNS)), F.xxhash64("symbols", F.rand(SEED))), "runs")
-    for _ in range(ROUNDS):
-        shared = runs.sparkSession.sparkContext.broadcast(params)
-
-        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = list(batches)
-            if sum(b.num_rows for b in own):
-                samples = [s for b in own for s in list_rows(b, "symbols")]
-                skips = np.concatenate([b.column("skip").to_numpy() for b in own])
-                learnt = sum(map(len, samples)) - len(samples) - int(skips.sum())
-                flat = gru.pack(gru.train(shared.value, samples, skips, RATE)) * learnt
-                made = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), learnt))]
-                yield pa.RecordBatch.from_arrays(made, ["i", "sum", "w"])
-
-        mixed = dealt.mapInArrow(work, "i long, sum double, w long").groupBy("i").agg((F.sum("sum") / F.sum("w")).alias("v"))
-        flat = np.zeros(len(gru.pack(params)))
-        for i, v in mixed.collect():
-            flat[i] = v
-        params = gru.unpack(flat, params)
-    return params
+    shards = max(1, round(total / RUNS))
+    dealt = runs.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")).repartition(shards, "shard")
+    dealt = dealt.sortWithinPartitions("shard", "place", "skip")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples: list[np.ndarray] = []
+        skips: list[np.ndarray] = []
+        shard = None
+
+        def learn() -> pa.RecordBatch:
+            skip = np.concatenate(skips)
+            learnt = sum(map(len, samples)) - len(samples) - int(skip.sum())
+            flat = gru.pack(gru.train(params, samples, skip, RATE)) * learnt
+            samples.clear()
+            skips.clear()
+            made = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), learnt))]
+            return pa.RecordBatch.from_arrays(made, ["i", "sum", "w"])
+
+        for batch in batches:
+            own = batch.column("shard").to_numpy()
+            firsts = np.flatnonzero(np.diff(own, prepend=-1))
+            for first, last in zip(firsts, [*firsts[1:], batch.num_rows], strict=True):
+                if samples and own[first] != shard:
+                    yield learn()
+                shard, part = own[first], batch.slice(first, last - first)
+                samples += [np.array(s) for s in list_rows(part, "symbols")]
+                skips.append(part.column("skip").to_numpy())
+        if samples:
+            yield learn()
+
+    mixed = dealt.mapInArrow(work, "i long, sum double, w long").groupBy("i").agg((F.sum("sum") / F.sum("w")).alias("v"))
+    flat = np.zeros(len(gru.pack(params)))
+    for i, v in mixed.collect():
+        flat[i] = v
+    return gru.unpack(flat, params)
 
 
 def score(docs: DataFrame) -> DataFrame:

@@ -461,3 +461,18 @@ def test_mix_of_repeated_rows(spark, monkeypatch, numbered):
             room = 30 if numbered > 1500 else 30 + 20 * 16
             assert abs(sum(r.size * r.n for r in own) - own[0].target) <= room
             assert max(r.n for r in own) <= 3
+
+
+def test_scores_do_not_depend_on_packing(spark, monkeypatch, tmp_path):
+    """The same documents in other files, read by other tasks: several shards, equal scores."""
+    monkeypatch.setattr("gradeledger.llm.lm.RUNS", 20)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x)}ab{int(x) % 5}" for x in rng.integers(0, 80, int(rng.integers(5, 200))))) for i in range(150)]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string")
+    found = []
+    for files in (1, 7):
+        docs.repartition(files).write.parquet(str(tmp_path / str(files)))
+        made = score(spark.read.parquet(str(tmp_path / str(files)))).orderBy("doc_id", "score").collect()
+        found.append([(r.doc_id, r.n_tokens, r.score) for r in made])
+    assert [f[:2] for f in found[0]] == [f[:2] for f in found[1]]
+    assert np.allclose([f[2] for f in found[0]], [f[2] for f in found[1]], rtol=1e-6)
