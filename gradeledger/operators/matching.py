@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.functions.scalars import presence_flag
 from gradeledger.operators.dedup import distinct_on
-from gradeledger.operators.skew import weighed_join
+from gradeledger.operators.skew import merge_join, weighed_join
 
 
 def attach_grade(df: DataFrame, grades: DataFrame, scale: DataFrame) -> DataFrame:
@@ -20,7 +20,9 @@ def attach_grade(df: DataFrame, grades: DataFrame, scale: DataFrame) -> DataFram
     stay out of the join, where they would be one hot key.
     """
     asked = df.where(F.col("approveid").isNotNull())
-    graded = asked.join(grades.select("approveid", "finalgrade"), "approveid", "left").unionByName(
+    graded = merge_join(
+        asked, grades.select("approveid", "finalgrade"), ["approveid"], "left"
+    ).unionByName(
         df.where(F.col("approveid").isNull()), allowMissingColumns=True
     )
     labels = scale.select(F.col("ratingscalekey_").alias("finalgrade"), "ratingscalevalue")
@@ -109,7 +111,7 @@ def match_asof(
         .where((F.col("_side") == probe) & has_version)
         .select(*keys, F.col("_ts").alias(left_ts), "_version.*")
     )
-    return df.join(answers, [*keys, left_ts])
+    return merge_join(df, answers, [*keys, left_ts])
 
 
 def latest_before(
@@ -142,8 +144,7 @@ def in_scope(
 ) -> DataFrame:
     """Rows of ``df`` that the perimeter asks for, with the perimeter's columns.
 
-    The perimeter grows with the number of entities, so no broadcast is forced:
-    adaptive execution broadcasts it only when its measured size allows. With
+    Both sides grow with the number of entities, so neither is broadcast. With
     ``splits`` the rows of one key go to that many places and the perimeter is copied
     to each, so a key that holds a large part of ``df`` does not end in one task.
     Use it where a grouping by the same key follows the join: without the split both
@@ -162,5 +163,5 @@ def in_scope(
         place = F.pmod(F.xxhash64(*rest), F.lit(splits)).cast("int")
         places = F.explode(F.array(*[F.lit(i) for i in range(splits)]))
         df, perimeter = df.withColumn("_split", place), perimeter.withColumn("_split", places)
-        return df.join(perimeter, [*on, "_split"]).drop("_split")
-    return df.join(perimeter, list(on))
+        return merge_join(df, perimeter, [*on, "_split"]).drop("_split")
+    return merge_join(df, perimeter, on)

@@ -1,4 +1,5 @@
-"""Joins in which each heavy key is dealt to as many places as its weight asks for."""
+"""Joins of tables that both grow: by shuffle, and with each heavy key dealt to as many places as
+its weight asks for."""
 
 from __future__ import annotations
 
@@ -14,6 +15,16 @@ MOST_HEAVY = 10_000
 HEAVY = 2.0
 
 
+def merge_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join by shuffle and sort, whatever sizes Spark expects.
+
+    Before a query runs, Spark knows the size of compressed files only, and that an ``explode``
+    makes many rows of one isn't in it. A side that looks below the broadcast threshold
+    may thus fill the driver, and each task of the join, however large it is.
+    """
+    return left.join(right.hint("merge"), list(on), how)
+
+
 def key_places(df: DataFrame, on: Sequence[str], places: int | None = None) -> Mapping[int, int]:
     """Heavy keys of a join, as hash of the key to number of places.
 
@@ -51,7 +62,7 @@ def weighed_join(
     """
     places = key_places(df, on) if places is None else places
     if not places:
-        return df.join(perimeter, list(on))
+        return merge_join(df, perimeter, on)
     rest = spread or [c for c in df.columns if c not in on]
     heavy = F.broadcast(df.sparkSession.createDataFrame(
         [(k, n) for k, n in places.items()], "_key long, _places int"
@@ -63,4 +74,4 @@ def weighed_join(
 
     left = dealt(df).withColumn("_place", F.pmod(F.xxhash64(*rest), F.col("_places")).cast("int"))
     right = dealt(perimeter).withColumn("_place", F.explode(F.sequence(F.lit(0), F.col("_places") - 1)))
-    return left.drop("_places").join(right.drop("_places"), [*on, "_place"]).drop("_place")
+    return merge_join(left.drop("_places"), right.drop("_places"), [*on, "_place"]).drop("_place")

@@ -38,6 +38,7 @@ from gradeledger.operators.ratings import (
     split_by_model,
     usable_context,
 )
+from gradeledger.operators.skew import merge_join
 from gradeledger.sources.tables import ReportSource, in_portfolio, tagged_union
 
 # Stands for the version of ratings that are matched by time.
@@ -148,7 +149,7 @@ def best_pinned(ratings: DataFrame, source, cfg: ReportConfig, generation: str)
     entity = distinct_on(known, ["entityid", "versionid_"], ENTITY_ORDER).withColumnRenamed(
         "versionid_", "entityversion"
     )
-    return _kind(rating.join(entity, ["entityid", "entityversion"]), FINANCIALS)
+    return _kind(merge_join(rating, entity, ["entityid", "entityversion"]), FINANCIALS)
 
 
 def candidate_ratings(source, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
@@ -239,12 +240,12 @@ def graded(ratings: DataFrame, source) -> DataFrame:
     )
     # rows without an approval have no grade; they would be one hot key
     spread = F.when(F.col("approveid").isNull(), F.xxhash64("entityid")).otherwise(F.lit(0))
-    return (
-        ratings.withColumn("_spread", spread)
-        .join(grades.withColumn("_spread", F.lit(0).cast("long")),
-              ["generation", "approveid", "_spread"], "left")
-        .drop("_spread").join(scale, "finalgrade", "left")
+    found = merge_join(
+        ratings.withColumn("_spread", spread),
+        grades.withColumn("_spread", F.lit(0).cast("long")),
+        ["generation", "approveid", "_spread"], "left",
     )
+    return found.drop("_spread").join(scale, "finalgrade", "left")
 
 
 def final_rating_r(source, cfg: ReportConfig, mark: Mark = unmarked) -> DataFrame:
@@ -302,16 +303,13 @@ def perimeter_statements(
         {"pkid_": "pkid_rating", "versionid_": "versionid_rating"}
     )
     if generation == NEW:
-        found = source.load_statements_new().select(*header, *columns).join(rating, keys)
+        found = merge_join(source.load_statements_new().select(*header, *columns), rating, keys)
     else:
-        found = (
-            source.load_statement_headers_old().select(*header).join(rating, keys)
-            .join(
-                source.load_statement_metrics_old().select("pkid_", "versionid_", *columns),
-                ["pkid_", "versionid_"],
-            )
-            .where(F.col("approvalstatus") == cfg.approved_status)
-        )
+        headers = merge_join(source.load_statement_headers_old().select(*header), rating, keys)
+        found = merge_join(
+            headers, source.load_statement_metrics_old().select("pkid_", "versionid_", *columns),
+            ["pkid_", "versionid_"],
+        ).where(F.col("approvalstatus") == cfg.approved_status)
     return found.withColumnsRenamed(
         {
             "versionid_": "versionid_financial",

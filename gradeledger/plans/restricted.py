@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gradeledger.config import GENERATIONS, ReportConfig
 from gradeledger.operators.quality import metric_slice
 from gradeledger.operators.reuse import Keep, Keeper
+from gradeledger.operators.skew import merge_join
 from gradeledger.plans.matched import union_all
 from gradeledger.plans.position import report_p
 from gradeledger.plans.risk import assemble, groups_in_scope, perimeter_r, statements_in_scope
@@ -34,7 +35,7 @@ class Ids:
     def cut(self, df: DataFrame) -> DataFrame:
         if self.listed is not None:
             return df.where(F.col(self.name).isin(self.listed))
-        return df.join(self.table, self.name, "left_semi")
+        return merge_join(df, self.table, [self.name], "left_semi")
 
 
 class RestrictedSource(ReportSource):

@@ -9,6 +9,7 @@ from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
 from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.matching import in_scope
 from gradeledger.operators.ratings import LATEST_PAIR_ORDER, final_rating
+from gradeledger.operators.skew import merge_join
 from gradeledger.operators.statements import change_vs_previous
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
@@ -86,7 +87,7 @@ def reviewed_only(source: ReportSource, cfg: ReportConfig) -> DataFrame:
         "financialid", "statementid", F.col("versionid_").alias("statement_version"),
         F.col("dimhistoricalstatementid_").alias("id_"),
     )
-    wanted = scope.join(reviewed, ["financialid", "statementid", "statement_version"])
+    wanted = merge_join(scope, reviewed, ["financialid", "statementid", "statement_version"])
     found = in_scope(
         source.load_balances(NEW, cfg.account_codes), wanted,
         ["financialid", "statementid", "id_"], cfg.splits, AMOUNT,
@@ -124,8 +125,8 @@ def _seeds(
         some = F.max(year_before).over(Window.partitionBy("pkid_"))
         able = known.withColumn("_some", some).where("_some").drop("_some")
         if g == OLD:
-            able = able.join(
-                source.load_statement_metrics_old().select("pkid_", "versionid_", *CAPITAL),
+            able = merge_join(
+                able, source.load_statement_metrics_old().select("pkid_", "versionid_", *CAPITAL),
                 ["pkid_", "versionid_"],
             )
         parts.append(able.withColumnsRenamed({

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.config import NEW, OLD
 from gradeledger.functions.scalars import MONEY
+from gradeledger.operators.skew import merge_join
 
 # Metrics of a financial statement, in source order.
 METRICS = (
@@ -137,8 +138,9 @@ class ReportSource:
 
     def load_statements_old(self) -> DataFrame:
         """Header joined to metrics, in the columns of the new generation."""
-        return self.load_statement_headers_old().join(
-            self.load_statement_metrics_old(), ["pkid_", "versionid_"]
+        return merge_join(
+            self.load_statement_headers_old(), self.load_statement_metrics_old(),
+            ["pkid_", "versionid_"],
         )
 
     def load_statements(self, generation: str) -> DataFrame:

@@ -13,7 +13,8 @@ from gradeledger.config import NEW, OLD
 from gradeledger.operators import account_groups, distinct_on
 from gradeledger.plans import matched, report_p, report_r
 from gradeledger.plans.risk import groups_in_scope, macros_old, perimeter_r
-from gradeledger.sources.tables import ReportSource
+from gradeledger.plans.variants import reviewed_only
+from gradeledger.sources.tables import ReportSource, statements_unified
 
 SF = "/root/testdata/sf0.001"
 CFG = replace(DERIVED, sharing="none")
@@ -49,6 +50,18 @@ def test_no_python_and_no_cartesian(stored):
             assert word not in text
 
 
+def test_only_the_rating_scale_is_broadcast(spark, stored):
+    """The tables' files look small, but what they hold grows."""
+    for source in (stored, DerivedSource(spark, SF)):
+        for df in (
+            report_p(source, CFG), matched.final_rating_r(source, CFG), statements_unified(source),
+            matched.rating_entity_p(source, CFG, OLD), matched.ratings_union(source, CFG),
+        ):
+            joins = [x for x in plan(df).splitlines() if "BroadcastHashJoin [" in x]
+            assert all("BroadcastHashJoin [finalgrade" in x for x in joins), joins
+    assert "BroadcastHashJoin [" not in plan(reviewed_only(stored, CFG))
+
+
 def test_top_one_is_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
     text = plan(distinct_on(df, ["k"], ["-v"]))
