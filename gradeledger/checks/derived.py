@@ -163,10 +163,12 @@ class DerivedSource(ReportSource):
         def numbered(df: DataFrame, column: str, n: int) -> DataFrame:
             return df.select("*", F.explode(F.array(*map(F.lit, range(1, n + 1)))).alias(column))
 
-        if name == "customer_versions":
-            return numbered(self._read("customer"), "ver", 3)
-        if name == "customer_statements":
-            return numbered(numbered(self._read("customer"), "stmt", 5), "ver", 2)
+        if name in ("customer_versions", "customer_statements"):
+            # a file of few bytes is one task, which would make all the rows of its customers
+            dealt = self._read("customer").repartition(self.spark.sparkContext.defaultParallelism)
+            if name == "customer_versions":
+                return numbered(dealt, "ver", 3)
+            return numbered(numbered(dealt, "stmt", 5), "ver", 2)
         if name == "booked_lines":
             account = F.element_at(
                 F.array(*map(F.lit, ACCOUNTS)), (F.col("l_partkey") % 33 + 1).cast("int")

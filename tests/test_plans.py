@@ -62,6 +62,12 @@ def test_only_the_rating_scale_is_broadcast(spark, stored):
     assert "BroadcastHashJoin [" not in plan(reviewed_only(stored, CFG))
 
 
+def test_derived_rows_are_made_by_all_cores(spark):
+    for name in ("statement_new", "statement_metrics_old", "entity_old", "historical_statement"):
+        made = DerivedSource(spark, SF).raw(name).rdd.getNumPartitions()
+        assert made == spark.sparkContext.defaultParallelism
+
+
 def test_top_one_is_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
     text = plan(distinct_on(df, ["k"], ["-v"]))
