@@ -210,12 +210,14 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, bar = table.value
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            n, sums = _weights(raw_texts(batch, "text"), own)
+            n, sums = _weights(batch.column("row").field(at).cast(pa.binary()).to_pylist(), own)
             keys = GRAMS * sums / np.maximum(n, 1) + batch.column("noise").to_numpy()
             kept = batch.filter(pa.array((n > 0) & (keys >= bar)))
             yield pa.RecordBatch.from_arrays([kept.column("row")], ["row"])
 
-    # the caller's columns travel as one, so that none can bear a name used here
+    # the caller's columns travel as one, so that none can bear a name used here; a text is read
+    # from among them, so that no batch holds it twice
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, _noise(seed).alias("noise"), F.col("text").cast("string").alias("text"))
+    at = [c.lower() for c in docs.columns].index("text")
+    rows = docs.select(_noise(seed).alias("noise"), row)
     return rows.mapInArrow(work, StructType([StructField("row", docs.schema)])).select("row.*")

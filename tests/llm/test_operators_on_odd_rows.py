@@ -476,3 +476,12 @@ def test_scores_do_not_depend_on_packing(spark, monkeypatch, tmp_path):
         found.append([(r.doc_id, r.n_tokens, r.score) for r in made])
     assert [f[:2] for f in found[0]] == [f[:2] for f in found[1]]
     assert np.allclose([f[2] for f in found[0]], [f[2] for f in found[1]], rtol=1e-6)
+
+
+def test_sampled_documents_travel_with_one_copy_of_their_text(spark, odd):
+    labels = spark.createDataFrame([(0, 1), (11, 0)], "doc_id long, quality int")
+    mapped = keep_sampled(odd, labels)._jdf.queryExecution().optimizedPlan()
+    while "MapInArrow" not in mapped.nodeName():
+        mapped = mapped.children().head()
+    sent = mapped.children().head().output()
+    assert [sent.apply(i).name() for i in range(sent.size())] == ["noise", "row"]
