@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.config import GENERATIONS, ReportConfig
 from gradeledger.operators.quality import metric_slice
-from gradeledger.operators.reuse import Keep, Keeper
+from gradeledger.operators.reuse import Keep, Keeper, shared
 from gradeledger.operators.skew import merge_join
 from gradeledger.plans.matched import union_all
 from gradeledger.plans.position import report_p
@@ -23,12 +23,14 @@ MOST_IDS = 1_000
 class Ids:
     """Some ids: a short list, or a table that scans are semi-joined with.
 
-    Only ``MOST_IDS`` and one more are ever looked at here.
+    Only ``MOST_IDS`` and one more are ever looked at here. The ids are made once, in the shared
+    folder: each scan that they cut would else repeat the plan that finds them, and plans of
+    that size fill the driver.
     """
 
     def __init__(self, table: DataFrame):
         (self.name,) = table.columns
-        self.table = table.where(F.col(self.name).isNotNull()).distinct()
+        self.table = shared(table.where(F.col(self.name).isNotNull()).distinct(), "checkpoint")
         found = [r[0] for r in self.table.limit(MOST_IDS + 1).collect()]
         self.listed = sorted(found) if len(found) <= MOST_IDS else None
 

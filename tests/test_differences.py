@@ -125,6 +125,16 @@ def test_restricted_reports_equal_a_filter_on_the_whole(spark, stored, monkeypat
             assert ours or "3" not in condition
 
 
+def test_many_ids_are_found_once(stored, monkeypatch):
+    """Scans meet the ids as they were made, not the plan that finds them, once for each scan."""
+    monkeypatch.setattr(restricted, "MOST_IDS", 2)
+    cfg = replace(CONFIG, sharing="none")
+    text = plan(restricted.report_r_of(stored, cfg, F.expr("cdi LIKE '%3'")))
+    found = [line for line in text.splitlines() if "FileScan" in line and "cdicode" in line]
+    whole = [line for line in plan(report_r(stored, cfg)).splitlines() if "FileScan" in line and "cdicode" in line]
+    assert len(found) == len(whole) > 0
+
+
 def test_a_rating_with_another_versions_customer(spark):
     """An entity changed hands: rows go by the customer of the rating's own entity version."""
     source = rated_world(spark, 8)
