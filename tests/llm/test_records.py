@@ -129,3 +129,27 @@ def test_query_equals_the_library(spark):
     rows = sorted((r.doc_id, r.text) for r in table(spark, SF, "documents").collect())
     got = sorted(tuple(r) for r in QUERIES["op11_token_records"](spark, SF).collect())
     assert got == sorted(brute(rows))
+
+
+def test_plain_runs_are_asked_without_marks():
+    """Runs whose bytes are known need no mark between them; all have the library's ids."""
+    library = Tokenizer.from_file(VOCABULARY)
+    words = RunEncoder(Path(VOCABULARY).read_text(encoding="utf-8"))
+    asked = []
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **more):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **more)
+
+    words.tokenizer = Recorder()
+    plain = ["it's", "Words,", "</w>", "a</w>b", "</w>", "12,5%", "\u0130stanbul", "\u023a\u00c9", "\u00adx", "<", "|>", "..." * 50, "w" * 300]
+    odd = ["", "<|endoftext|>", "x<|startoftext|>y", "e\u0301", "\u0301e", "\u03a3\u03a3", "\u4e2d\u6587", "\x01", "a\x01b", "\x7f", "\u212a"]
+    for some in (plain, odd, [*plain, *odd], [f"{p}{o}" for p in plain for o in odd]):
+        words.known.clear()
+        words.learn(list(dict.fromkeys(some)))
+        for run in some:
+            want = np.array(library.encode(run, add_special_tokens=False).ids, words.kind).tobytes()
+            assert words.known[run] == want, run
+        if some is plain:
+            assert not any("\x01" in text for text in asked)
