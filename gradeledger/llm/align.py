@@ -30,6 +30,7 @@ from tokenizers import Tokenizer
 
 from gradeledger.llm.arrow import list_column
 from gradeledger.llm.store import stored
+from gradeledger.llm.workers import begin, keeps
 
 #: Characters of text that are tokenized and aligned together, about.
 SLICE = 1 << 19
@@ -224,6 +225,7 @@ def align(words: Tokenizers, texts: list[str | None]) -> list[tuple[int, int, in
 
 
 _LOADED: dict[str, Tokenizers] = {}
+keeps("align", _LOADED.clear)
 
 
 def _load(byte_level: str, pieces: bytes) -> Tokenizers:
@@ -278,6 +280,7 @@ def alignments(docs: DataFrame, byte_level: str | Path, pieces: str | Path) -> D
     schema = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("align")
         words = _load(*sent.value)
         for batch in (s for b in batches if b.num_rows for s in _slices(b)):
             made = align(words, batch.column("text").to_pylist())

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column
 from gradeledger.llm.runs import Runs
+from gradeledger.llm.workers import begin, keeps
 
 #: Pairs of tokens, and pieces, that a worker remembers at most.
 REMEMBERED = 200_000
@@ -217,6 +218,7 @@ def look_up(table: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray) -
 
 
 _LOADED: dict[str, Vocabulary] = {}
+keeps("bpe", _LOADED.clear)
 
 
 def vocabulary(content: str) -> Vocabulary:
@@ -244,6 +246,7 @@ def encode_decode(docs: DataFrame, path: str | Path, outputs: tuple[str, ...] =
     schema = "doc_id long, n_tokens long" + "".join(f", {o} {kinds[o]}" for o in outputs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         words = vocabulary(content.value)
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             all_ids = [np.frombuffer(ids, "<u4") for ids in words.encode(batch.column("text"))]

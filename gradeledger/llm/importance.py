@@ -28,6 +28,7 @@ from xxhash import xxh3_64_intdigest
 
 from gradeledger.llm.arrow import MIX_A, mix, raw_texts
 from gradeledger.llm.store import stored
+from gradeledger.llm.workers import begin, keeps
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 14
@@ -71,6 +72,7 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+keeps("importance", _HASHES.clear)
 
 
 def gram_buckets(raw: bytes | None) -> np.ndarray:
@@ -90,6 +92,7 @@ def _counts(docs: DataFrame) -> np.ndarray:
     """Grams in each bucket over all of ``docs``: summed on the executors, a row per bucket."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("importance")
         total = np.zeros(BUCKETS, np.int64)
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             for raw in raw_texts(batch, "text"):
@@ -133,6 +136,7 @@ def weighed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("importance")
         own = table.value
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             n, sums = _weights(raw_texts(batch, "text"), own)
@@ -208,6 +212,7 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFr
     table = docs.sparkSession.sparkContext.broadcast((ratios, least))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("importance")
         own, bar = table.value
         for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             n, sums = _weights(batch.column("row").field(at).cast(pa.binary()).to_pylist(), own)

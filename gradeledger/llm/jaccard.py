@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
 from gradeledger.llm.components import components
 from gradeledger.llm.store import BROADCAST_IDS, BROADCAST_ROWS, join_small, stored
+from gradeledger.llm.workers import begin
 
 #: Nodes that may hold a token in their low part before it counts as frequent.
 RARE = 48
@@ -49,6 +50,8 @@ PIVOT_ROUNDS = 3
 FEW_PAIRS = 50
 #: Rounds in which only one pair of each component is verified.
 SPANNING_ROUNDS = 1
+#: Documents worked on at once.
+ROWS = 1_000
 #: Words of 64 bits in a set's bit map.
 MAP_WORDS = 8
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
@@ -94,7 +97,8 @@ def document_sets(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     token hashes, and bit map, whole and folded to MAP_WORDS words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        begin("jaccard")
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             sets = [shingle_hashes(raw, width) for raw in raw_texts(batch, "text")]
             sids = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             low = [s[: low_size(len(s), num, den)] for s in sets]
@@ -202,8 +206,9 @@ def _tokens_again(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         bits = shared.value
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             s = batch.column("s").to_numpy()
             wanted = batch.filter(pa.array((bits[s // 32] >> (s % 32)) & 1 == 1))
             sets = [shingle_hashes(raw, width) for raw in raw_texts(wanted, "text")]

@@ -37,6 +37,7 @@ from tokenizers import Tokenizer
 from gradeledger.llm.crc32c import crc32c, masked
 from gradeledger.llm.runs import Runs
 from gradeledger.llm.store import join_small, new_folder, stored
+from gradeledger.llm.workers import begin, keeps
 
 #: Bytes of text for one file, about.
 FILE_BYTES = 64 << 20
@@ -144,6 +145,7 @@ class RunEncoder(Runs):
 
 
 _ENCODERS: dict[str, RunEncoder] = {}
+keeps("records", _ENCODERS.clear)
 
 
 def encoder(content: str) -> RunEncoder:
@@ -205,6 +207,7 @@ def write_records(docs: DataFrame, path: str | Path, folder: str, end_id: int =
     n = max((size.bytes or 0) // FILE_BYTES, min(size.n, spark.sparkContext.defaultParallelism), 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("records")
         words = encoder(content.value)
         end = np.array([end_id], words.kind).tobytes()
         part = TaskContext.get().partitionId()
