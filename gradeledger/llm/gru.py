@@ -42,7 +42,17 @@ def unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarra
 
 
 def _sigmoid(v: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * v) + 0.5
+    v = 0.5 * v
+    np.tanh(v, out=v)
+    v *= 0.5
+    v += 0.5
+    return v
+
+
+def _by_number(numbers: np.ndarray) -> np.ndarray:
+    """Places in ascending order of small numbers, equal ones as they come: by radix, as numpy
+    does for one byte."""
+    return np.argsort(numbers.astype(np.uint8), kind="stable")
 
 
 def run(p: dict[str, np.ndarray], inputs: np.ndarray, h: np.ndarray, trace: list | None = None) -> np.ndarray:
@@ -62,7 +72,17 @@ def run(p: dict[str, np.ndarray], inputs: np.ndarray, h: np.ndarray, trace: list
 
 def _log_softmax(v: np.ndarray) -> np.ndarray:
     v = v - v.max(1, keepdims=True)
-    return v - np.log(np.exp(v).sum(1, keepdims=True))
+    v -= np.log(np.exp(v).sum(1, keepdims=True))
+    return v
+
+
+def _log_share(v: np.ndarray, rows: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """One column of ``_log_softmax`` for each row."""
+    v = v - v.max(1, keepdims=True)
+    own = v[rows, picked]
+    np.exp(v, out=v)
+    own -= np.log(v.sum(1))
+    return own
 
 
 def log_probs(p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray, grads: dict | None = None, weight: np.ndarray | None = None):
@@ -70,27 +90,31 @@ def log_probs(p: dict[str, np.ndarray], states: np.ndarray, targets: np.ndarray,
     adds the gradients of the weighted negative sum and returns that of the states too."""
     group, member = targets // MEMBERS, targets % MEMBERS
     rows = np.arange(len(targets))
-    by_group = _log_softmax(states @ p["g"] + p["gb"])
-    out = by_group[rows, group]
-    back = None
-    if grads is not None:
+    by_group, back = states @ p["g"] + p["gb"], None
+    if grads is None:
+        out = _log_share(by_group, rows, group)
+    else:
+        by_group = _log_softmax(by_group)
+        out = by_group[rows, group]
         d = np.exp(by_group)
         d[rows, group] -= 1
         d *= weight[:, None]
         grads["g"] += states.T @ d
         grads["gb"] += d.sum(0)
         back = d @ p["g"].T
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    order = _by_number(group)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=GROUPS))])
     for g in range(GROUPS):
         own = order[ends[g] : ends[g + 1]]
         if not len(own):
             continue
         s, k = states[own], member[own]
-        logs = _log_softmax(s @ p["m"][g] + p["mb"][g])
-        at = np.arange(len(own))
-        out[own] += logs[at, k]
-        if grads is not None:
+        logs, at = s @ p["m"][g] + p["mb"][g], rows[: len(own)]
+        if grads is None:
+            out[own] += _log_share(logs, at, k)
+        else:
+            logs = _log_softmax(logs)
+            out[own] += logs[at, k]
             d = np.exp(logs)
             d[at, k] -= 1
             d *= weight[own][:, None]
@@ -122,7 +146,7 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
         grads["u"] += before.T @ dv
         carried = d * z + dv @ p["u"].T
     symbols = inputs.ravel()
-    order = np.argsort(symbols, kind="stable")
+    order = _by_number(symbols)
     seen, first = np.unique(symbols[order], return_index=True)
     grads["x"][seen] = np.add.reduceat(moved.reshape(-1, 3 * HIDDEN)[order], first)
     return -float((logs * weight.ravel()).sum()), grads, states[-1]
@@ -186,6 +210,6 @@ def document_scores(p: dict[str, np.ndarray], symbols: list[np.ndarray], rows: i
             inside = np.arange(at, at + steps)[:, None] < n[None, :live]
             logs = log_probs(p, states[inside], targets[inside])
             columns = np.broadcast_to(np.arange(live), inside.shape)[inside]
-            np.add.at(out, np.array(own)[columns], logs.astype(np.float64))
+            out[own[:live]] += np.bincount(columns, logs, live)
             h, last = states[-1], targets[-1]
     return out
