@@ -95,27 +95,52 @@ def _vocabulary(spark: SparkSession, words: set[str]) -> DataFrame:
     return spark.range(1).select(F.explode(_array(words)).alias("word"))
 
 
+def _share(common: Column, squares: dict[str, float]) -> Column:
+    """At least the sum of ``squares`` of the words in ``common`` (distinct): words are counted in
+    classes, within which the squares differ by less than a half, and weigh as the class's largest.
+    Few words are told by their number alone: the largest squares add up to less."""
+    classes: dict[int, list[str]] = {}
+    for w, x in squares.items():
+        classes.setdefault(math.floor(math.log(x, 1.5)), []).append(w)
+    total = F.lit(0.0)
+    for words in classes.values():
+        total = total + F.size(F.array_intersect(common, _array(set(words)))) * max(squares[w] for w in words)
+    least, share = 0, 0.0
+    for x in sorted(squares.values(), reverse=True):
+        if share >= (FILE_THRESHOLD - 1e-9) ** 2:
+            break
+        least, share = least + 1, share + x
+    return F.when(F.size(common) >= least, total).otherwise(0.0)
+
+
 def whole_files(rows: DataFrame, n: int, found: dict[str, int]) -> DataFrame:
     """(key, file_license, file_score) of the documents that reach a full license text.
 
     The cosine is at most the share of the text's length that its words in the document make
-    up, so a document needs as many of them as the longest ones that make up FILE_THRESHOLD.
+    up. ``_share`` bounds that share from above, so no document that would reach
+    FILE_THRESHOLD is left out, and few others are counted word by word.
     """
     idf = lambda w: math.log((1 + n) / (1 + found.get(w, 0))) + 1
-    words = _words(F.coalesce("text", F.lit("")))
-    vectors, enough, known = [], F.lit(False), set()
+    vectors, bounds, known = [], [], set()
     for i, (_, counts) in enumerate(full_texts()):
         own = {w: c * idf(w) for w, c in counts.items()}
         norm = math.sqrt(sum(v * v for v in own.values()))
         vectors += [(i, w, v / norm) for w, v in own.items()]
         known |= set(own)
-        least, share = 0, 0.0
-        for v in sorted(own.values(), reverse=True):
-            if share >= (FILE_THRESHOLD - 1e-9) ** 2:
-                break
-            least, share = least + 1, share + (v / norm) ** 2
-        enough = enough | ((F.size("words") >= least) & (F.size(F.array_intersect("words", _array(set(own)))) >= least))
-    likely = rows.select("key", words.alias("words")).where(enough).dropDuplicates(["key"])
+        bounds.append({w: (v / norm) ** 2 for w, v in own.items()})
+
+    def enough(common: Column) -> Column:
+        found_any = F.lit(False)
+        for squares in bounds:
+            found_any = found_any | (_share(common, squares) >= (FILE_THRESHOLD - 1e-9) ** 2)
+        return found_any
+
+    # within lambdas, so that a text's words and its common ones are found once
+    passed = F.filter(
+        F.array(_words(F.coalesce("text", F.lit("")))),
+        lambda words: F.exists(F.array(F.array_intersect(words, _array(known))), enough),
+    )
+    likely = rows.select("key", F.explode(passed).alias("words")).dropDuplicates(["key"])
     tokens = stored(likely.select("key", F.explode("words").alias("word")).groupBy("key", "word").agg(F.count("*").alias("tf")), "files")
     spark = rows.sparkSession
     weighed = spark.createDataFrame([(w, idf(w)) for w in sorted(known)], "word string, idf double")

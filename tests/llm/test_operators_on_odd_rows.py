@@ -485,3 +485,32 @@ def test_sampled_documents_travel_with_one_copy_of_their_text(spark, odd):
         mapped = mapped.children().head()
     sent = mapped.children().head().output()
     assert [sent.apply(i).name() for i in range(sent.size())] == ["noise", "row"]
+
+
+def test_common_words_of_a_license_text_are_not_enough(spark, monkeypatch):
+    """A document with half of a text's words, but the light ones, is not counted word by word."""
+    _, counts = max(licenses.full_texts(), key=lambda t: len(t[1]))
+    light = sorted(counts, key=lambda w: (counts[w], w))[: len(counts) // 2]
+    rows = [(1, "a/x", " ".join(counts.elements())), (2, "b/x", " ".join(light)), (3, "c/x", None)]
+    real, counted = licenses.stored, []
+
+    def stored(df, name="stage"):
+        out = real(df, name)
+        if name == "files":
+            counted.append(out.select("key").distinct().count())
+        return out
+
+    monkeypatch.setattr(licenses, "stored", stored)
+    got = scan(spark.createDataFrame(rows, "doc_id long, p string, text string"), F.col("p")).collect()
+    assert counted == [1]
+    assert {r.doc_id: r.license is not None for r in got} == {1: True, 2: False, 3: False}
+
+
+def test_share_of_a_text_is_never_too_small(spark):
+    squares = {"a": 0.5, "b": 0.24, "c": 0.2, "d": 0.05, "e": 0.01}
+    sets = [list(squares)[i:j] for i in range(5) for j in range(i + 1, 6)]
+    rows = spark.createDataFrame([(s,) for s in sets], "s array<string>")
+    bar = licenses.FILE_THRESHOLD**2
+    for r in rows.withColumn("bound", licenses._share(F.col("s"), squares)).collect():
+        total = sum(squares[w] for w in r.s)
+        assert r.bound >= total or (r.bound == 0 and total < bar)
