@@ -15,7 +15,8 @@ document may lack at most ``slack = n - ceil(n * num / den)`` of them in any par
 4. *Candidates.* Documents under one signature are compared with one pivot per round, never
    all with all; those already in one component are not compared again. What is left when
    rounds no longer help (documents of different components under one signature) is compared
-   in full, so no link between components is lost.
+   in full, so no link between components is lost. Each document knows some of its signatures
+   before the one at hand; a pair with one of them in common is met there instead.
 5. *Verification.* Each set has a bit map: bit i is the parity of its tokens that hash to i.
    Two maps differ in no more bits than the sets differ in tokens, which rules out most pairs
    inside the join that finds them (maps folded to a fixed size) and then nearly all others
@@ -30,7 +31,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeledger.llm.arrow import list_column, list_rows, mix, raw_texts, shingle_hashes
@@ -48,12 +49,16 @@ LOW_PART = 1.5
 PIVOT_ROUNDS = 3
 #: Pairs left per row at which the rest is compared in full.
 FEW_PAIRS = 50
+#: Share of the pairs that a pivot round must settle for another one to follow.
+HELPS = 0.5
+#: A document's signatures before the one at hand by which pairs met before are told.
+BEFORE = 8
 #: Rounds in which only one pair of each component is verified.
 SPANNING_ROUNDS = 1
 #: Documents worked on at once.
 ROWS = 1_000
 #: Words of 64 bits in a set's bit map.
-MAP_WORDS = 8
+MAP_WORDS = 16
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
 #: Bits of the filter that selects the texts needed again (1 MB at most).
 FILTER_BITS = 1 << 23
@@ -303,12 +308,12 @@ class _Settled:
         self.links: DataFrame | None = None
         self.comp = spark.createDataFrame([], "node long, comp long")
 
-    def settle(self, pairs: DataFrame) -> None:
+    def settle(self, pairs: DataFrame, spanning: int = SPANNING_ROUNDS) -> None:
         """Verifies candidates (a, b) until each has both ends in one component or is
-        known to be no link. At first only the most alike pair of each component is verified,
-        which makes most of the others needless; then all that are left."""
+        known to be no link. For ``spanning`` rounds only the most alike pair of each component is
+        verified, which makes most of the others needless; then all that are left."""
         pairs = self.verify.prepare(pairs)
-        for turn in range(SPANNING_ROUNDS + 1):
+        for turn in range(spanning + 1):
             ends = self.comp
             for side in ("a", "b"):
                 names = ends.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
@@ -317,7 +322,7 @@ class _Settled:
             if pairs.isEmpty():
                 return
             chosen = pairs.select("a", "b")
-            if turn < SPANNING_ROUNDS:
+            if turn < spanning:
                 each = pairs.select(F.explode(F.array("ca", "cb")).alias("c"), F.struct("differ", "a", "b").alias("p"))
                 chosen = each.groupBy("c").agg(F.min("p").alias("p")).select("p.a", "p.b").distinct()
             chosen = stored(chosen, "chosen")
@@ -327,11 +332,26 @@ class _Settled:
             pairs = pairs.join(chosen, ["a", "b"], "left_anti").drop("ca", "cb")
 
 
+def _in_full(live: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components under one signature that sizes and maps don't rule
+    out, from (sig, nid, comp): each at least once, and under few of the signatures it shares.
+
+    The least signature that a pair shares has no shared one before it, so the pair is met there.
+    """
+    before = Window.partitionBy("nid").orderBy("sig").rowsBetween(-BEFORE, -1)
+    rows = live.select("sig", "nid", "comp").withColumn("before", F.collect_list("sig").over(before)).join(maps, "nid")
+    return rows.alias("a").join(rows.alias("b"), (
+        (F.col("a.sig") == F.col("b.sig")) & (F.col("a.nid") < F.col("b.nid"))
+        & (F.col("a.comp") != F.col("b.comp")) & _may_link(num, den)
+        & ~F.arrays_overlap("a.before", "b.before")
+    )).select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b"))
+
+
 def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, den: int) -> DataFrame:
     """(node, comp) from (sig, nid); see the module's fourth step."""
     found = _Settled(verify, buckets.sparkSession)
     maps = nodes.select("nid", "n", *MAPS)
-    pair = [F.col("a.nid").alias("a"), F.col("b.nid").alias("b")]
+    before = None
     for turn in range(PIVOT_ROUNDS + 1):
         named = buckets.join(found.comp.withColumnRenamed("node", "nid"), "nid", "left").select(
             "sig", "nid", F.coalesce("comp", "nid").alias("comp")
@@ -344,21 +364,20 @@ def _linked(buckets: DataFrame, nodes: DataFrame, verify: _Verifier, num: int, d
         if not left["rows"]:
             break
         within = live.groupBy("sig", "comp").agg(F.count("*").alias("k")).select(F.sum(F.col("k") * F.col("k")))
-        last = turn == PIVOT_ROUNDS or left["pairs"] - within.first()[0] <= FEW_PAIRS * left["rows"]
+        pairs = left["pairs"] - within.first()[0]
+        helped = before is None or pairs <= (1 - HELPS) * before
+        last, before = turn == PIVOT_ROUNDS or not helped or pairs <= FEW_PAIRS * left["rows"], pairs
         if last:
-            rows = live.drop("size").join(maps, "nid")
-            met = rows.alias("a").join(rows.alias("b"), (
-                (F.col("a.sig") == F.col("b.sig")) & (F.col("a.nid") < F.col("b.nid"))
-                & (F.col("a.comp") != F.col("b.comp")) & _may_link(num, den)
-            )).select(*pair).distinct()
+            met = _in_full(live, maps, num, den).distinct()
         else:
             pick = F.xxhash64(F.lit(turn), "nid")
             pivots = live.groupBy("sig").agg(F.min_by("nid", pick).alias("p"), F.min_by("comp", pick).alias("pc"))
             met = live.join(pivots, "sig").where("pc <> comp")
             met = met.select(F.least("p", "nid").alias("x"), F.greatest("p", "nid").alias("y")).distinct()
             met = met.join(maps.alias("a"), F.col("x") == F.col("a.nid"))
-            met = met.join(maps.alias("b"), F.col("y") == F.col("b.nid")).where(_may_link(num, den)).select(*pair)
-        found.settle(stored(met, "pairs"))
+            met = met.join(maps.alias("b"), F.col("y") == F.col("b.nid")).where(_may_link(num, den))
+            met = met.select(F.col("a.nid").alias("a"), F.col("b.nid").alias("b"))
+        found.settle(stored(met, "pairs"), SPANNING_ROUNDS if last else 0)
         if last:
             break
     return found.comp

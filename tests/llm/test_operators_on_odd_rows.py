@@ -12,13 +12,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gradeledger.llm import gru, licenses
+from gradeledger.llm import gru, jaccard, licenses
 from gradeledger.llm.bpe import Vocabulary, encode_decode
 from gradeledger.llm.chat import maximal_conversations
 from gradeledger.llm.components import components
 from gradeledger.llm.fingerprint import Fingerprint, fingerprints
 from gradeledger.llm.importance import classify, keep_sampled, kth_largest
-from gradeledger.llm.jaccard import _tokens_again, bit_map, differing_bits, document_sets, fold, jaccard_components, one_per_group, signatures
+from gradeledger.llm.jaccard import MAPS, _in_full, _tokens_again, bit_map, differing_bits, document_sets, fold, jaccard_components, one_per_group, signatures
 from gradeledger.llm.licenses import scan
 from gradeledger.llm.lm import RUN, WARM, lexicon, score, training_runs, word_counts
 from gradeledger.llm.mixing import draws, mix, split_units, targets
@@ -85,6 +85,29 @@ def test_jaccard_join_of_near_copies(spark, monkeypatch):
     assert got == brute_components(rows, 3, 80, 100)
 
 
+def test_jaccard_pairs_of_many_shared_signatures_are_met_seldom(spark):
+    """Near copies share nearly all signatures; each pair is met, but not once for each of them."""
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join([*words[:k], "other", *words[k + 1 :]]) for k in range(0, 300, 25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = document_sets(docs, 3, 80, 100).withColumn("nid", F.col("doc_id"))
+    live = nodes.selectExpr("explode(sequence(nid % 3, 40)) AS sig", "nid", "nid AS comp")
+    met = [tuple(r) for r in _in_full(live, nodes.select("nid", "n", *MAPS), 80, 100).collect()]
+    assert set(met) == {(a, b) for a in range(12) for b in range(a + 1, 12)}
+    assert len(met) <= 3 * len(set(met))
+
+
+def test_jaccard_rounds_end_when_pivots_settle_nothing(spark, monkeypatch):
+    """Unlike documents under one signature cost one pivot round, not all of them."""
+    texts = [" ".join(f"d{i}w{k}" for k in range(30)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = document_sets(docs, 3, 90, 100).withColumn("nid", F.col("doc_id"))
+    buckets, real, rounds = nodes.selectExpr("1L AS sig", "nid"), jaccard.stored, []
+    monkeypatch.setattr(jaccard, "stored", lambda df, name="stage": rounds.append(name) or real(df, name))
+    links = jaccard._linked(buckets, nodes, jaccard._Verifier(docs, nodes, 3, 90, 100), 90, 100)
+    assert links.count() == 0 and rounds.count("live") == 2
+
+
 @pytest.mark.parametrize("named", [True, False])
 def test_jaccard_join_of_repeated_near_copies(spark, monkeypatch, named):
     """Near copies whose every row occurs twice, with ids and without."""
