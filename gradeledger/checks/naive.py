@@ -24,4 +24,4 @@ def report_r_long(source: ReportSource, cfg: ReportConfig, keep: Keep | None = N
     keep = keep or Keeper("none")
     scope = keep(risk.perimeter_r(source, cfg))
     found = keep(risk.statements_in_scope(source, cfg, scope))
-    return risk.assemble(found, groups_by_ten_joins(source, cfg, scope), cfg)
+    return risk.assemble(source, found, groups_by_ten_joins(source, cfg, scope), cfg)

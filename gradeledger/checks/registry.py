@@ -27,7 +27,7 @@ from gradeledger.operators import (
     step_counts,
     usable_context,
 )
-from gradeledger.operators.reuse import shared_dir
+from gradeledger.operators.reuse import Keeper, shared_dir
 from gradeledger.plans import matched, position, restricted, risk, variants
 from gradeledger.plans.jobs import run_report_p, run_report_r
 from gradeledger.plans.matched import union_all
@@ -105,6 +105,11 @@ def scope(source: ReportSource) -> DataFrame:
     return risk.perimeter_r(source, CONFIG)
 
 
+def _both_balances(source: ReportSource) -> ReportSource:
+    """For reports that read both generations' balances."""
+    return source.with_booked_lines() if isinstance(source, DerivedSource) else source
+
+
 def found_r(source: ReportSource, columns: Sequence[str] = METRICS) -> DataFrame:
     return risk.statements_in_scope(source, CONFIG, scope(source), columns)
 
@@ -417,11 +422,20 @@ check(
 check(
     "report_r_years", CHOSEN_R, "year_r", lambda s: risk.report_r_years(found_r(s), CONFIG)
 )
-check("report_r_metrics", R_COLUMNS, "report_r", lambda s: risk.report_r_metrics(s, CONFIG))
+
+
+def _report_r(source: ReportSource, cfg: ReportConfig = CONFIG) -> DataFrame:
+    return risk.report_r(_both_balances(source), cfg, Keeper("files"))
+
+
+check(
+    "report_r_metrics", R_COLUMNS, "report_r",
+    lambda s: risk.report_r_metrics(s, CONFIG),
+)
 check(
     "report_r", R_COLUMNS,
     first_per("report_r", "entityid, cdi, afm, fnc_year", "approveddate DESC NULLS FIRST"),
-    lambda s: risk.report_r(s, CONFIG),
+    _report_r,
 )
 
 # -- scalar functions --------------------------------------------------------

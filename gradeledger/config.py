@@ -45,7 +45,8 @@ class ReportConfig:
     ``pinned_models`` is the model set matched by pinned entity version; ``None``
     means the financials models. ``portfolio=None`` lifts the portfolio filter.
     ``sharing`` says how results that several joins read are kept: ``persist``,
-    ``checkpoint`` (reliable, for long lineages) or ``none``. ``splits`` is the number
+    ``checkpoint`` (reliable, for long lineages), ``files`` (parquet, and the disk of one step
+    at a time) or ``none``. ``splits`` is the number
     of places the rows of one join key may go to; two are enough to let adaptive
     execution divide a hot key further. With 0 keys are weighed by a pass over their columns
     and each heavy one gets its own number; with 1 bucketed tables are joined where they lie.
@@ -72,7 +73,7 @@ class ReportConfig:
             raise ValueError(f"lag_order must be 'date' or 'year', not {self.lag_order!r}")
         if self.nonfin_entity_gen not in GENERATIONS:
             raise ValueError(f"nonfin_entity_gen must be one of {GENERATIONS}")
-        if self.sharing not in ("persist", "checkpoint", "none"):
+        if self.sharing not in ("persist", "checkpoint", "files", "none"):
             raise ValueError(f"unknown sharing mode {self.sharing!r}")
 
     @property

@@ -38,6 +38,7 @@ from gradeledger.operators.ratings import (
     split_by_model,
     usable_context,
 )
+from gradeledger.operators.sieve import Sieve
 from gradeledger.operators.skew import merge_join
 from gradeledger.sources.tables import ReportSource, in_portfolio, tagged_union
 
@@ -285,14 +286,24 @@ def perimeter_versions(final: DataFrame, cfg: ReportConfig) -> DataFrame:
     )
 
 
+SIEVED = ("generation", "financialid", "statementid")
+
+
+def scope_sieve(scope: DataFrame) -> Sieve:
+    """Of the statements in scope; their financial and statement ids are in every table."""
+    return Sieve(scope.select(*SIEVED))
+
+
 def perimeter_statements(
-    scope: DataFrame, source, cfg: ReportConfig, generation: str, columns: list[str]
+    scope: DataFrame, source, cfg: ReportConfig, generation: str, columns: list[str],
+    sieve: Sieve | None = None,
 ) -> DataFrame:
     """Statement versions in scope, with the wanted metrics.
 
     Old headers meet the perimeter before their metrics do, so only statements in
     scope take part in the wide join. Old ratings are checked for approval only here,
     after the ranking: an entity whose last rating is unapproved has no statements.
+    With ``sieve`` (of the scope) most other rows are left out before they are shuffled.
     """
     keys = ["entityid", "financialid", "statementid"]
     header = [
@@ -303,13 +314,19 @@ def perimeter_statements(
         {"pkid_": "pkid_rating", "versionid_": "versionid_rating"}
     )
     if generation == NEW:
-        found = merge_join(source.load_statements_new().select(*header, *columns), rating, keys)
-    else:
-        headers = merge_join(source.load_statement_headers_old().select(*header), rating, keys)
         found = merge_join(
-            headers, source.load_statement_metrics_old().select("pkid_", "versionid_", *columns),
-            ["pkid_", "versionid_"],
-        ).where(F.col("approvalstatus") == cfg.approved_status)
+            statements_near(source.load_statements_new(), NEW, sieve).select(*header, *columns),
+            rating, keys,
+        )
+    else:
+        version = ["pkid_", "versionid_"]
+        near = statements_near(source.load_statement_headers_old(), OLD, sieve).select(*header)
+        metrics = source.load_statement_metrics_old().select(*version, *columns)
+        if sieve is not None:
+            metrics = Sieve(near.select(*version)).cut(metrics, version)
+        found = merge_join(merge_join(near, rating, keys), metrics, version).where(
+            F.col("approvalstatus") == cfg.approved_status
+        )
     return found.withColumnsRenamed(
         {
             "versionid_": "versionid_financial",
@@ -318,4 +335,9 @@ def perimeter_statements(
     )
 
 
+def statements_near(df: DataFrame, generation: str, sieve: Sieve | None) -> DataFrame:
+    """Statements that may be in scope: all of them without a sieve."""
+    return df if sieve is None else sieve.cut(df, [F.lit(generation), *SIEVED[1:]])
+
+
 STATEMENT_TIES = ("-approveddate", "-versionid_financial")

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from gradeledger.config import GENERATIONS, ReportConfig
 from gradeledger.operators.quality import metric_slice
 from gradeledger.operators.reuse import Keep, Keeper, shared
-from gradeledger.operators.skew import merge_join
+from gradeledger.operators.sieve import Sieve
 from gradeledger.plans.matched import union_all
 from gradeledger.plans.position import report_p
-from gradeledger.plans.risk import assemble, groups_in_scope, perimeter_r, statements_in_scope
+from gradeledger.plans.risk import (
+    CAPITAL,
+    SCOPE_COLUMNS,
+    assemble,
+    groups_in_scope,
+    perimeter_r,
+    statements_in_scope,
+)
 from gradeledger.sources.tables import ReportSource
 
 #: Ids up to which a restriction is a list in the filters of the scans.
@@ -21,7 +28,10 @@ MOST_IDS = 1_000
 
 
 class Ids:
-    """Some ids: a short list, or a table that scans are semi-joined with.
+    """Some ids: a short list, or a table that scans are sieved by.
+
+    A sieve lets a few rows of other ids through and shuffles none; the reports leave these rows
+    out, as they ask for their customers again.
 
     Only ``MOST_IDS`` and one more are ever looked at here. The ids are made once, in the shared
     folder: each scan that they cut would else repeat the plan that finds them, and plans of
@@ -33,11 +43,12 @@ class Ids:
         self.table = shared(table.where(F.col(self.name).isNotNull()).distinct(), "checkpoint")
         found = [r[0] for r in self.table.limit(MOST_IDS + 1).collect()]
         self.listed = sorted(found) if len(found) <= MOST_IDS else None
+        self.sieve = Sieve(self.table)
 
     def cut(self, df: DataFrame) -> DataFrame:
         if self.listed is not None:
             return df.where(F.col(self.name).isin(self.listed))
-        return merge_join(df, self.table, [self.name], "left_semi")
+        return self.sieve.cut(df, [self.name])
 
 
 class RestrictedSource(ReportSource):
@@ -101,10 +112,11 @@ def report_r_of(
     keep = keep or Keeper("none")
     own = RestrictedSource(source, entities_of(source, customers))
     scope = perimeter_r(own, cfg).withColumnRenamed("cdicode", "cdi").where(customers)
-    scope = keep(scope.withColumnRenamed("cdi", "cdicode"))
+    scope = keep(scope.withColumnRenamed("cdi", "cdicode").select(*SCOPE_COLUMNS))
     narrow = RestrictedSource(source, own.entities, Ids(scope.select("financialid")))
-    found = keep(statements_in_scope(own, cfg, scope))
-    return assemble(found, groups_in_scope(narrow, cfg, scope), cfg)
+    found = keep(statements_in_scope(own, cfg, scope, CAPITAL))
+    groups = keep(groups_in_scope(narrow, cfg, scope))
+    return assemble(own, found, groups, cfg, keep)
 
 
 def slice_of(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeledger.config import GENERATIONS, NEW, OLD, ReportConfig
@@ -24,17 +24,34 @@ from gradeledger.operators.dedup import distinct_on
 from gradeledger.operators.funnel import Mark, unmarked
 from gradeledger.operators.matching import in_scope
 from gradeledger.operators.reuse import Keep, Keeper
+from gradeledger.operators.sieve import Sieve
+from gradeledger.operators.skew import merge_join
 from gradeledger.operators.statements import change_vs_previous, choose_statement_version
 from gradeledger.plans.matched import (
     STATEMENT_TIES,
     final_rating_r,
     perimeter,
     perimeter_statements,
+    scope_sieve,
+    statements_near,
     union_all,
 )
 from gradeledger.sources.tables import METRICS, ReportSource
 
 SCOPE_KEYS = ("generation", "entityid", "statementid", "financialid")
+# What is read of a perimeter: of the rating, beside the statement's keys.
+SCOPE_COLUMNS = (
+    *SCOPE_KEYS, "versionid_", "cdicode", "afm", "approveddate", "approvalstatus",
+    "creditcommitteedate", "sourcepopulateddate_rating",
+)
+# A statement's header as stored, and the names that chosen statements have for it.
+HEADER = (
+    "pkid_", "versionid_", "entityid", "financialid", "statementid", "statementyear",
+    "statementmonths", "statementdatekey_", "sourcepopulateddate_",
+)
+HEADER_AS = {
+    "versionid_": "versionid_financial", "sourcepopulateddate_": "sourcepopulateddate_financial",
+}
 
 # Output name to statement metric, for metrics shown as zero when missing.
 SHOWN = {
@@ -102,10 +119,19 @@ def _scope_of(scope: DataFrame, generation: str, *columns: str) -> DataFrame:
     return scope.where(F.col("generation") == generation).select(*SCOPE_KEYS, *columns)
 
 
+def _balances_near(
+    source: ReportSource, cfg: ReportConfig, scope: DataFrame, generation: str
+) -> DataFrame:
+    """Balances of the wanted accounts, most of those out of scope left out before they are
+    shuffled. Tables that are joined where they lie are not shuffled."""
+    sieve = None if cfg.splits == 1 else scope_sieve(scope)
+    return statements_near(source.load_balances(generation, cfg.account_codes), generation, sieve)
+
+
 def macros_new(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
     """New balances in scope, the latest per account."""
     found = in_scope(
-        source.load_balances(NEW, cfg.account_codes), _scope_of(scope, NEW),
+        _balances_near(source, cfg, scope, NEW), _scope_of(scope, NEW),
         ["financialid", "statementid"], cfg.splits, AMOUNT,
     )
     return distinct_on(
@@ -123,7 +149,7 @@ def macros_old(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> Dat
 def old_in_scope(source: ReportSource, cfg: ReportConfig, scope: DataFrame) -> DataFrame:
     """As ``macros_old``, equal rows repeated: for groupings that drop repeats themselves."""
     return in_scope(
-        source.load_balances(OLD, cfg.account_codes),
+        _balances_near(source, cfg, scope, OLD),
         _scope_of(_approved_in_window(scope, cfg), OLD),
         ["financialid", "statementid"], cfg.splits, AMOUNT,
     )
@@ -149,8 +175,9 @@ def statements_in_scope(
     source: ReportSource, cfg: ReportConfig, scope: DataFrame, columns=METRICS
 ) -> DataFrame:
     """Every version of the statements in scope, with the wanted metrics."""
+    sieve = scope_sieve(scope)
     return union_all([
-        perimeter_statements(scope, source, cfg, g, list(columns)).select(
+        perimeter_statements(scope, source, cfg, g, list(columns), sieve).select(
             "pkid_", *SCOPE_KEYS, "cdicode", "afm", "versionid_rating", "statementyear",
             "statementmonths", "statementdatekey_", "creditcommitteedate", "approveddate",
             "versionid_financial", "sourcepopulateddate_financial", "sourcepopulateddate_rating",
@@ -203,26 +230,70 @@ def report_r_years(found: DataFrame, cfg: ReportConfig) -> DataFrame:
 def report_r_metrics(
     source: ReportSource, cfg: ReportConfig, keep: Keep | None = None, mark: Mark = unmarked
 ) -> DataFrame:
-    """The 44 columns. Statements are chosen first; the account groups, made in one
-    pass, and the share-capital change then join to the chosen rows only.
+    """The 44 columns. Statements are chosen by their headers; the account groups, made in
+    one pass, the share-capital change and the metrics then join to the chosen rows only.
 
-    Two results are kept because two or more branches read them: the perimeter, and
-    the statements found in it.
+    Results are kept where two or more branches read them, and so that each step can let go of
+    what the ones before needed.
     """
     keep = keep or Keeper("none")
-    scope = keep(perimeter_r(source, cfg, mark))
-    found = keep(mark("statements", statements_in_scope(source, cfg, scope)))
-    return mark("report", assemble(found, groups_in_scope(source, cfg, scope), cfg))
+    scope = keep(perimeter_r(source, cfg, mark).select(*SCOPE_COLUMNS))
+    found = keep(mark("statements", statements_in_scope(source, cfg, scope, CAPITAL)))
+    groups = keep(groups_in_scope(source, cfg, scope))
+    return mark("report", assemble(source, found, groups, cfg, keep))
+
+
+def metrics_of(source: ReportSource, chosen: DataFrame) -> DataFrame:
+    """The metrics of chosen statement versions, by ``_row`` (see ``row_of``), which each has once.
+
+    Of rows that have one header the first by their metrics counts.
+    """
+    own = {c: F.col(c) for c in HEADER}
+    known = dict.fromkeys(HEADER, F.lit(None)) | {c: own[c] for c in HEADER[:2]}
+    kind = row_type(chosen)
+
+    def rows(df: DataFrame, generation: str, columns: dict) -> DataFrame:
+        fields = [F.lit(generation).alias("generation"), *[v.alias(c) for c, v in columns.items()]]
+        return df.select(F.struct(*fields).cast(kind).alias("_row"), *METRICS)
+
+    every = rows(source.load_statements_new(), NEW, own).unionByName(
+        rows(source.load_statement_metrics_old(), OLD, known)
+    )
+    wanted = Sieve(chosen.select(row_of().cast(kind).alias("_row")))
+    return distinct_on(wanted.cut(every, ["_row"]), ["_row"], METRICS)
+
+
+def row_of() -> Column:
+    """What tells a statement's metrics row from others: all of its header in the new generation,
+    where it has both; its id and version in the old one. As a struct, in which NULLs are equal."""
+    new = F.col("generation") == NEW
+    header = {c: F.col(HEADER_AS.get(c, c)) for c in HEADER}
+    return F.struct(
+        "generation",
+        *[(v if c in HEADER[:2] else F.when(new, v)).alias(c) for c, v in header.items()],
+    )
 
 
-def assemble(found: DataFrame, groups: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Chosen statements, account groups and share-capital change to report columns."""
-    years = report_r_years(found, cfg)
+def row_type(chosen: DataFrame) -> str:
+    """The type of ``row_of``, which both sides of a join are cast to: they may differ in what
+    can be NULL, and a cast that Spark adds to one side would cost another shuffle."""
+    return chosen.select(row_of().alias("row")).dtypes[0][1]
+
+
+def assemble(
+    source: ReportSource, found: DataFrame, groups: DataFrame, cfg: ReportConfig,
+    keep: Keep | None = None,
+) -> DataFrame:
+    """Chosen statements, account groups, share-capital change and metrics to report columns."""
+    keep = keep or Keeper("none")
+    years = keep(report_r_years(found, cfg).drop(*CAPITAL))
     change = distinct_on(
         share_capital_change(found, cfg), SCOPE_KEYS,
         ["-statementdatekey_", "-pkid_"],
     ).select(*SCOPE_KEYS, *[f"chg_{c}" for c in CAPITAL])
-    wide = years.join(groups, list(SCOPE_KEYS), "left").join(change, list(SCOPE_KEYS), "left")
+    narrow = years.join(groups, list(SCOPE_KEYS), "left").join(change, list(SCOPE_KEYS), "left")
+    row = row_of().cast(row_type(years))
+    wide = merge_join(narrow.withColumn("_row", row), metrics_of(source, years), ["_row"])
 
     debt, cash = money("total_debt"), money("cashandequivalents")
     made = {
