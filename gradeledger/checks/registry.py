@@ -575,16 +575,23 @@ check(
     ),
 )
 _text_r = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in R_COLUMNS)
+
+
+def _side_by_side(source: ReportSource) -> DataFrame:
+    return side_by_side(*[
+        restricted.report_r_of(source, cfg, F.expr("cdi LIKE '%1%'"), Keeper("files"))
+        .where("fnc_year = '1996'")
+        for cfg in (CONFIG, NO_PORTFOLIO)
+    ])
+
+
 # Rows of two revisions that are put side by side: a part of the customers, one year.
 SELECTED = "cdi LIKE '%1%' AND fnc_year = '1996'"
 check(
     "report_side_by_side", ("source", *R_COLUMNS),
     f"SELECT 'a' AS source, {_text_r} FROM report_r WHERE {SELECTED} UNION ALL SELECT 'b' AS source, "
     f"{_text_r} FROM ({with_steps('SELECT * FROM report_r', NO_PORTFOLIO)}) WHERE {SELECTED}",
-    lambda s: side_by_side(*[
-        restricted.report_r_of(s, cfg, F.expr("cdi LIKE '%1%'")).where("fnc_year = '1996'")
-        for cfg in (CONFIG, NO_PORTFOLIO)
-    ]),
+    lambda s: _side_by_side(_both_balances(s)),
 )
 
 
