@@ -730,7 +730,7 @@ check(
     lambda s: position.report_p_nonfin(s, OLD_ENTITIES), OLD_ENTITIES,
 )
 for name, cfg in {"rev_r_no_portfolio": NO_PORTFOLIO, "rev_r_lag_order": LAG_YEAR}.items():
-    check(name, R_COLUMNS, "report_r", lambda s, c=cfg: risk.report_r(s, c), cfg)
+    check(name, R_COLUMNS, "report_r", lambda s, c=cfg: _report_r(s, c), cfg)
 
 check("var_strict_asof", P_COLUMNS, "strict_years", lambda s: variants.strict_asof(s, CONFIG))
 check(
