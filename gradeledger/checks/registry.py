@@ -619,6 +619,10 @@ check(
 # -- jobs, sinks, log --------------------------------------------------------
 
 
+# Report R's job at the size of a cluster: a step's shuffles go before the next one's come.
+IN_FILES = replace(CONFIG, sharing="files")
+
+
 def _out(spark: SparkSession) -> str:
     """A folder of its own for each run, below the shared one where that is named."""
     return f"{shared_dir(spark)}/gradeledger-{uuid.uuid4().hex}"
@@ -648,7 +652,7 @@ def _rerun_view(source: ReportSource) -> DataFrame:
 def _job_r(source: ReportSource) -> DataFrame:
     """What the job wrote for report R."""
     out = _out(source.spark)
-    _must(run_report_r(source.spark, source, CONFIG.ref_date, out, CONFIG))
+    _must(run_report_r(source.spark, _both_balances(source), CONFIG.ref_date, out, IN_FILES))
     return read_report(source.spark, f"{out}/report_r", CONFIG.ref_date)
 
 
