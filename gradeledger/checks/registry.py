@@ -430,7 +430,7 @@ def _report_r(source: ReportSource, cfg: ReportConfig = CONFIG) -> DataFrame:
 
 check(
     "report_r_metrics", R_COLUMNS, "report_r",
-    lambda s: risk.report_r_metrics(s, CONFIG),
+    lambda s: risk.report_r_metrics(_both_balances(s), CONFIG, Keeper("files")),
 )
 check(
     "report_r", R_COLUMNS,

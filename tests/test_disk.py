@@ -201,5 +201,5 @@ def test_booked_lines_are_joined_once(spark):
 
 def test_queries_of_report_r_run_in_steps(spark):
     """Each step's result is in files, so a query's last plan is small."""
-    for name in ("report_r", "rev_r_lag_order", "rev_r_no_portfolio"):
+    for name in ("report_r", "report_r_metrics", "rev_r_lag_order", "rev_r_no_portfolio"):
         assert "/orders.parquet" not in plan(CHECKS[name].run(spark, SF)), name
