@@ -675,7 +675,7 @@ def _export(source: ReportSource) -> DataFrame:
 def _audit(source: ReportSource) -> DataFrame:
     out = _out(source.spark)
     spark, when = source.spark, datetime(2000, 9, 29)
-    _must(run_report_r(spark, source, CONFIG.ref_date, out, CONFIG, lambda: when))
+    _must(run_report_r(spark, _both_balances(source), CONFIG.ref_date, out, IN_FILES, lambda: when))
     append_audit(spark, f"{out}/etl_log", audit_record("check", "report_r", 0, "appended", when))
     log = read_audit(spark, f"{out}/report_r", f"{out}/etl_log")
     return log.withColumn("n_written", F.lit(read_report(spark, f"{out}/report_r").count()))
